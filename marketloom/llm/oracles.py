@@ -73,4 +73,26 @@ SELECT doc_id, cast(size AS BIGINT) AS size, source_size, cast(target AS DOUBLE)
   cast((floor(k * rate + u) - floor((k - 1) * rate + u)) * size AS BIGINT) AS taken FROM k
 """
 
-ORACLES = {"op1_decontamination": OP1, "op10_mixing": OP10}
+OP7 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWER}, '{SPACE}') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.c),
+m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d LEFT JOIN n USING (doc_id) JOIN m USING (doc_id)
+"""
+
+# A score's bound needs no place in SQL: every pair is scored.
+OP4 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, cast(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, cast(rank AS INT) AS rank, vec_id, score FROM k WHERE rank <= 20
+"""
+
+ORACLES = {"op1_decontamination": OP1, "op4_topk": OP4, "op7_jaccard_join": OP7, "op10_mixing": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, pii
+from . import decontaminate, language_id, mixing, near_duplicates, pii, token_counts, topk
 from .common import read_table
 from .oracles import ORACLES
 
@@ -22,6 +22,17 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(read_table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.with_spans(docs, "spans")
@@ -37,6 +48,17 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"), size=3, num=90, den=100)
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(~language_id.held_out(docs)).select("text", "lang"))
+    rows = docs.select("doc_id", "text", language_id.held_out(docs).alias("held_out"))
+    return language_id.identify(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs).select(
@@ -47,7 +69,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op3_token_counts": op3_token_counts,
+        "op4_topk": op4_topk,
         "op6_pii": op6_pii,
+        "op7_jaccard_join": op7_jaccard_join,
+        "op9_language_id": op9_language_id,
         "op10_mixing": op10_mixing,
     }
 
