@@ -95,4 +95,16 @@ k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, cast(rank AS INT) AS rank, vec_id, score FROM k WHERE rank <= 20
 """
 
-ORACLES = {"op1_decontamination": OP1, "op4_topk": OP4, "op7_jaccard_join": OP7, "op10_mixing": OP10}
+OP5 = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+e AS (SELECT *, len(role || text) + len(regexp_replace(role || text, '[^\\<>]', '', 'g')) + 15 AS n FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  cast(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  cast(sum(n) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+ORACLES = {"op1_decontamination": OP1, "op4_topk": OP4, "op5_chat_format": OP5, "op7_jaccard_join": OP7, "op10_mixing": OP10}

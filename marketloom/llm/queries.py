@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, mixing, near_duplicates, pii, token_counts, topk
+from . import chat, decontaminate, html_text, language_id, mixing, near_duplicates, pii, token_counts, topk
 from .common import read_table
 from .oracles import ORACLES
 
@@ -22,6 +22,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.learn_weights(pages))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -33,6 +38,21 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0)
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id bigint, turn bigint, role string, text string")
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    read = chat.read_packs(chat.format_conversations(rows))
+    line = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    learned = F.array_join("learned", "")
+    return read.select(
+        "conv_id", F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(line, ""), 256).alias("turns_sha256"),
+        F.length(learned).cast("bigint").alias("loss_chars"), F.sha2(learned, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.with_spans(docs, "spans")
@@ -69,8 +89,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op2_html_text": op2_html_text,
         "op3_token_counts": op3_token_counts,
         "op4_topk": op4_topk,
+        "op5_chat_format": op5_chat_format,
         "op6_pii": op6_pii,
         "op7_jaccard_join": op7_jaccard_join,
         "op9_language_id": op9_language_id,
