@@ -29,16 +29,18 @@ def words_of(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(ascii_lower(text), F.lit(pattern), F.lit(0))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder named by spark.checkpoint.dir.
-
-    A folder of our own is set only where the session names none (tests).
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir; one of our own is set only where the session names none (tests)."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

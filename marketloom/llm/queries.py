@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, language_id, mixing, near_duplicates, pii, token_counts, topk
+from . import chat, decontaminate, html_text, language_id, license_scan, mixing, near_duplicates, pii, token_counts, topk
 from .common import read_table
 from .oracles import ORACLES
 
@@ -72,6 +72,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(read_table(spark, sf_dir, "documents"), size=3, num=90, den=100)
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = language_id.fit(docs.where(~language_id.held_out(docs)).select("text", "lang"))
@@ -95,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_chat_format": op5_chat_format,
         "op6_pii": op6_pii,
         "op7_jaccard_join": op7_jaccard_join,
+        "op8_license_scan": op8_license_scan,
         "op9_language_id": op9_language_id,
         "op10_mixing": op10_mixing,
     }
