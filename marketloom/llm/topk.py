@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .common import checkpointed
 
 BLOCK, SLICE = 2048, 4096
+MAX_TASKS = 10_000
 SEGMENTS = (2, 8, 16)
 SCHEMA = "query_id bigint, vec_id bigint, score bigint"
 
@@ -52,12 +53,12 @@ def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 def search_slice(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.DataFrame:
     """The best k vectors of a slice for each query of a block, none that its threshold excludes."""
     found = []
-    for length, part in vectors.groupby(vectors["ints"].map(len), sort=False):
+    for length, part in vectors.groupby(vectors["own_ints"].map(len), sort=False):
         asked = queries[queries["ints"].map(len) == length]
         if not len(asked) or not length:
             continue
-        q, x = np.stack(asked["ints"].to_numpy()), np.stack(part["ints"].to_numpy())
-        q_ids, x_ids = asked["vec_id"].to_numpy(), part["vec_id"].to_numpy()
+        q, x = np.stack(asked["ints"].to_numpy()), np.stack(part["own_ints"].to_numpy())
+        q_ids, x_ids = asked["vec_id"].to_numpy(), part["own_id"].to_numpy()
         floor = asked["threshold"].to_numpy(dtype=np.float64, na_value=-np.inf)
         levels = [(statistics(q, s), statistics(x, s)) for s in SEGMENTS]
         step = max(1, 2_000_000 // len(x))
@@ -77,7 +78,7 @@ def search_slice(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.Dat
             score = np.concatenate([_exact(q[rows][i[b : b + 200_000]], x[j[b : b + 200_000]]) for b in range(0, len(i), 200_000)] or [np.empty(0, np.int64)])
             good = score >= floor[rows][i]
             i, j, score = i[good], j[good], score[good]
-            order = np.lexsort((x_ids[j], -score, i))
+            order = np.lexsort((x_ids[j], ~score, i))  # ~ falls as the score rises, and can't overflow
             i, j, score = i[order], j[order], score[order]
             rank = np.arange(len(i)) - np.searchsorted(i, i)
             top = rank < k
@@ -105,8 +106,16 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     sliced, blocked = vectors.withColumn("slice", dealt(1, slices)), asked.withColumn("block", dealt(2, blocks))
 
     def search(queries: DataFrame, candidates: DataFrame, first: int, last: int) -> DataFrame:
-        meets = queries.withColumn("slice", F.explode(F.sequence(F.lit(first), F.lit(last)))).groupBy("block", "slice")
-        spread = candidates.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).groupBy("block", "slice")
+        # Pairs take long for their bytes, so their number and not their size says how many tasks there are.
+        tasks = min(2 * blocks * (last - first + 1), MAX_TASKS)
+        meets = queries.withColumn("slice", F.explode(F.sequence(F.lit(first), F.lit(last))))
+        meets = meets.repartition(tasks, "block", "slice").groupBy("block", "slice")
+        # Other names than the queries': both come from one table, and Spark tells columns of a pair apart by name.
+        spread = candidates.select(
+            F.col("vec_id").alias("own_id"), F.col("ints").alias("own_ints"), F.col("slice").alias("own_slice"),
+            F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("own_block"),
+        )
+        spread = spread.repartition(tasks, "own_block", "own_slice").groupBy("own_block", "own_slice")
         return meets.cogroup(spread).applyInPandas(lambda a, b: search_slice(a, b, k), SCHEMA)
 
     none = blocked.withColumn("threshold", F.lit(None).cast("bigint"))
