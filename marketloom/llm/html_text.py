@@ -43,6 +43,9 @@ BOX_WORDS = {
 }
 BOX_TAGS = {"div", "section", "ul", "ol", "p", "article", "table", "span", "details", "dl", "figure", "td", "tr", "li", "h2", "h3"}
 ARTICLES = {"article", "main"}
+#: Tags inside running text, and what a tag scores that the labelled pages don't show.
+TEXT_TAGS = INLINE - {"a"} | {"p", "br", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "hr", "img", "figcaption"}
+TEXT_TAG, OTHER_TAG = -0.1, -1.0
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:\"[^\"]*+\"|'[^']*+'|[^<>\"'])*+)>|[^<]++|<", re.S
@@ -165,7 +168,8 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 def main_text(html: str, weight: dict[str, float]) -> str:
     """The main text of one page: blocks joined by one space, white space inside them made one space."""
     page = parse(html)
-    scores = [weight.get(t.name, -1.0) * (t.words if t.kind == "word" else 1) for t in page.tokens]
+    unseen = lambda t: TEXT_TAG if t.name in TEXT_TAGS else OTHER_TAG
+    scores = [weight.get(t.name, unseen(t)) * (t.words if t.kind == "word" else 1) for t in page.tokens]
     start, end = best_run(scores)
     value = lambda a: sum(s for s in scores[max(a[0], start) : min(a[1], end)] if s > 0)
     if page.articles and max(map(value, page.articles)) > 0:

@@ -175,8 +175,13 @@ def held_out(docs: DataFrame):
 
 
 def drop_unidentified(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
-    """``docs`` without the rows that no language fits: without a letter, or with a score below ``min_score``."""
+    """``docs`` without the rows that no language fits: without a letter, or with a score below ``min_score``.
+
+    Where no row is labelled there is no model, and only rows without a letter go.
+    """
     model = fit(docs.where(~held_out(docs)).select("text", "lang"))
+    if model is None:
+        return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     own = hidden(docs, "pred", "score")
     found = identify(docs, model, own["pred"], own["score"])
     return found.where((F.col(own["pred"]) != UNKNOWN) & (F.col(own["score"]) >= min_score)).select(*docs.columns)

@@ -69,6 +69,9 @@ class Bands:
         return (a + b) * (self.den - self.num) // (self.den + self.num)
 
     def of(self, n: int) -> list[int]:
+        """Bands in which a set of n shingles has partners with another set."""
+        if not n:
+            return []
         own = int(np.searchsorted(self.starts, n, "right")) - 1
         below = own and n * self.num <= self.den * (self.starts[own] - 1)
         return [k for k in ([own - 1, own] if below else [own]) if self.limits[k]]
