@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from .common import hidden
 
 #: Rows that the models are fitted on, over all languages together, at most.
-SAMPLE_ROWS = 2400
+SAMPLE_ROWS = 1600
 FEATURES = 4096
 #: Scores of language and family are sigmoids of this times the margin.
 STEEPNESS = 4.0

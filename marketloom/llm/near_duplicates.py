@@ -179,26 +179,35 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10)
     bands = Bands(num, den)
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            for batch in batches:
-                for doc_id, words in zip(batch.column(0).to_pylist(), _lists(batch.column(1)), strict=True):
-                    s = shingle_set(words, size)
-                    yield doc_id, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), block_keys(s, bands)
+        for batch in batches:
+            sets = [shingle_set(words, size) for words in _lists(batch.column(1))]
+            prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+            columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "print"])
 
-        for out in _batches(rows(), 4):
-            yield pa.RecordBatch.from_arrays(
-                [c.cast(t) for c, t in zip(out.columns, (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())), strict=True)],
-                ["doc_id", "n", "print", "keys"],
-            )
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, held, at, n = batch.column(0).to_numpy(), [], 0, 0
+            for k, words in enumerate(_lists(batch.column(1))):
+                held.append(block_keys(shingle_set(words, size), bands).view(np.int64))
+                n += len(held[-1])
+                if k + 1 == len(ids) or n >= OUT_SHINGLES:
+                    nodes = np.repeat(ids[at : k + 1], [len(h) for h in held])
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(held))], ["a", "key"])
+                    held, at, n = [], k + 1, 0
 
     hashed = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), _word_hashes(docs).alias("words"))
-    rows = checkpointed(hashed.mapInArrow(classes, "doc_id bigint, n bigint, print binary, keys array<bigint>"))
+    rows = checkpointed(hashed.mapInArrow(classes, "doc_id bigint, n bigint, print binary"))
     texts = rows.where("n > 0 AND doc_id IS NOT NULL")
-    reps = texts.groupBy("print").agg(F.min("doc_id").alias("rep"), F.min_by("keys", "doc_id").alias("keys"))
-    reps = checkpointed(reps)
-    buckets = reps.select("rep", F.explode("keys").alias("key"))
-    first = F.expr("min(rep) OVER (PARTITION BY key)")
-    stars = buckets.select(F.col("rep").alias("a"), first.alias("b")).where("a <> b")
+    reps = checkpointed(texts.groupBy("print").agg(F.min("doc_id").alias("rep")))
+    copies = checkpointed(texts.select("doc_id").distinct().join(reps, F.col("doc_id") == F.col("rep"), "left_anti"))
+    if copies.count() <= MAX_BROADCAST_IDS:
+        copies = F.broadcast(copies)
+    # The texts are hashed again here: that costs less than to keep the keys of all texts on disk.
+    single = docs.where(F.col("doc_id").isNotNull()).join(copies, docs["doc_id"].cast("bigint") == copies["doc_id"], "left_anti")
+    hashed = single.select(docs["doc_id"].cast("bigint").alias("doc_id"), _word_hashes(docs).alias("words"))
+    first = F.expr("min(a) OVER (PARTITION BY key)")
+    stars = hashed.mapInArrow(keys, "a bigint, key bigint").select("a", first.alias("b")).where("a <> b")
     links = _verified(docs, rows, connected_components(stars), size, bands)
 
     named = texts.select("doc_id", "print").join(reps.select("print", "rep"), "print").select("doc_id", "rep")
