@@ -11,14 +11,13 @@ from marketloom.operators.weekly import first_non_null
 
 def lifetimes(df: DataFrame, order: str = "hash_id") -> DataFrame:
     """First and last date of every url, with the days between (0 counts as 7) and whether it is still listed."""
-    last = df.agg(F.max("date").alias("__end"))
     urls = df.where("watch_url IS NOT NULL").groupBy("watch_url").agg(
         F.min("date").alias("first_seen"), F.max("date").alias("last_seen"),
         first_non_null("brand", order).alias("brand"), first_non_null("reference_number", order).alias("reference_number"),
     )
     days = F.datediff("last_seen", "first_seen")
-    urls = urls.withColumn("days", F.when(days == 0, 7).otherwise(days)).crossJoin(F.broadcast(last))
-    return urls.withColumn("active", F.col("last_seen") == F.col("__end")).drop("__end")
+    urls = urls.withColumn("days", F.when(days == 0, 7).otherwise(days))
+    return urls.withColumn("active", F.col("last_seen") == df.agg(F.max("date")).scalar())
 
 
 def listing_durations(df: DataFrame, order: str = "hash_id") -> DataFrame:

@@ -48,9 +48,11 @@ def market_makeup(df: DataFrame, keys: list[str], scope: list[str] | None = None
     )
     total = F.col("numb_of_new_listings") + F.col("numb_of_pre_owned_listings")
     out = out.withColumn("numb_of_total_listings", total)
-    # The largest total is an aggregate of the groups, joined back, so that no task holds a whole scope.
-    most = out.groupBy(*(scope or [])).agg(F.max("numb_of_total_listings").alias("__most"))
-    joined = out.join(most, scope) if scope else out.crossJoin(F.broadcast(most))
+    # The largest total is an aggregate of the groups, brought back, so that no task holds a whole scope.
+    if scope:
+        joined = out.join(out.groupBy(*scope).agg(F.max("numb_of_total_listings").alias("__most")), scope)
+    else:
+        joined = out.withColumn("__most", out.agg(F.max("numb_of_total_listings")).scalar())
     share = lambda c, of: F.try_divide(F.col(c), F.col(of)) * 100
     return joined.withColumns(
         {

@@ -115,3 +115,14 @@ def test_dimension_lookups(spark):
 
 def test_years_ago(spark):
     assert one(spark, calendar.years_ago(F.lit("2024-01-01").cast("date"), 1.5)) == dt.date(2024, 1, 1) - dt.timedelta(547)
+
+
+def test_accepted_references(spark):
+    df = spark.createDataFrame([("the 901-2 cockpit",), ("none",)], "title string")
+    accepted = spark.createDataFrame([("9012",), ("44",)], "reference_number string")
+    got = identifiers.accepted_reference(df, accepted, "title").collect()
+    assert sorted(str(r["accepted_reference"]) for r in got) == ["9012", "None"]
+    omega = spark.createDataFrame([("Omega", "ST 145.022", None), ("Omega", "166.000", "g"), ("Rolex", "145.022", "g")], "brand string, reference_number string, group_reference string")
+    library = spark.createDataFrame([("Omega", "145.0022")], "brand string, group_reference string")
+    got = sorted(tuple(r) for r in identifiers.pad_omega(omega, library).collect())
+    assert got == [("Omega", "166.000", "g"), ("Omega", "ST 145.0022", "ST 145.0022"), ("Rolex", "145.022", "g")]
