@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.functions.calendar import week_end
 from marketloom.functions.text import identifier, slug
+from marketloom.operators.series import recent_dates, week_on_week
 from marketloom.schema import LEVELS, PRE_OWNED, Level
 
 
@@ -36,6 +38,16 @@ def weekly(df: DataFrame, level: str | Level, order: str = "hash_id") -> DataFra
     return out.withColumn("identifier", identifier(F.col("brand_slug"), F.col(level.keys[-1]))) if len(level.keys) > 1 else out
 
 
+def active_listings(df: DataFrame, keys: list[str], condition: str | None = None, order: str = "hash_id") -> DataFrame:
+    """Prices by key and week (Sunday, Sunday], of one condition or all, with changes to the key's week before; latest week only."""
+    own = df if condition is None else df.where(F.col("condition") == condition)
+    weeks = own.dropna(subset=keys).withColumn("date", week_end(F.col("date"))).groupBy(*keys, "date").agg(
+        first_non_null("currency", order).alias("currency"), F.median("price").alias("median_price"), F.avg("price").alias("mean_price"),
+        F.max("price").alias("high"), F.min("price").alias("low"), F.count("price").alias("count"),
+    )
+    return recent_dates(week_on_week(weeks, keys, ["median_price", "mean_price", "count"]), 1)
+
+
 def market_makeup(df: DataFrame, keys: list[str], scope: list[str] | None = None) -> DataFrame:
     """Counts and shares of new and pre-owned listings by (keys, date); popularity relative to the largest group of ``scope``.
 

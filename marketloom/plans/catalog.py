@@ -275,6 +275,8 @@ X AS (SELECT U.brand, U.parent_model, U.date, CASE WHEN last < e THEN last_value
   CASE WHEN last < e THEN last_value(condition IGNORE NULLS) OVER o ELSE condition END AS condition, count, rolling_avg_of_median_price
   FROM U JOIN K ON K.brand = U.brand AND K.parent_model = U.parent_model, E
   WINDOW o AS (PARTITION BY U.brand, U.parent_model ORDER BY U.date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+_LIVES = """U AS (SELECT watch_url, min(date) AS first_seen, max(date) AS last_seen, arg_min(brand, ingest_id) AS brand, arg_min(reference_number, ingest_id) AS reference_number FROM L GROUP BY watch_url),
+D AS (SELECT *, CASE WHEN last_seen = first_seen THEN 7 ELSE last_seen - first_seen END AS days, last_seen = (SELECT max(date) FROM L) AS active FROM U)"""
 _KEYS = ("brand", "parent_model")
 
 
@@ -325,6 +327,37 @@ def wow_change(spark, sf_dir):
     return out.select("brand", "date", "median_price_$_change", "median_price_%_change")
 
 
+@register(f"""WITH {LISTINGS}, W AS (SELECT brand, parent_model, cast(day + cast((7 - isodow(day)) % 7 AS INT) AS DATE) AS date, arg_min(currency, ingest_id) AS currency,
+median(price) AS median_price, avg(price) AS mean_price, max(price) AS high, min(price) AS low, count(price) AS count FROM L WHERE condition = 'New' GROUP BY 1, 2, 3),
+C AS (SELECT *, median_price - lag(median_price) OVER w AS "median_price_$_change", (median_price - lag(median_price) OVER w) / lag(median_price) OVER w * 100 AS "median_price_%_change"
+FROM W WINDOW w AS (PARTITION BY brand, parent_model ORDER BY date)) SELECT * FROM C WHERE date = (SELECT max(date) FROM C)""")
+def active_listings(spark, sf_dir):
+    rows = listings(spark, sf_dir).withColumn("date", F.col("day"))
+    out = weekly.active_listings(rows, ["brand", "parent_model"], "New", order="ingest_id")
+    return out.drop("mean_price_$_change", "mean_price_%_change", "count_$_change", "count_%_change")
+
+
+@register(f"WITH {LISTINGS} SELECT DISTINCT day, weekofyear(day) % 2 = 0 AS runs, day - 547 AS since FROM L")
+def biweekly_gate(spark, sf_dir):
+    d = F.col("day")
+    return listings(spark, sf_dir).select("day", calendar.even_iso_week(d).alias("runs"), calendar.years_ago(d, 1.5).alias("since")).distinct()
+
+
+@register(f"""WITH {LISTINGS}, {_LIVES} SELECT watch_url, first_seen, last_seen, brand, reference_number, days, active FROM D""")
+def lifetimes(spark, sf_dir):
+    return liquidity.lifetimes(listings(spark, sf_dir), "ingest_id")
+
+
+@register(f"WITH {LISTINGS} SELECT ingest_id FROM L WHERE reference_number IS NOT NULL AND regexp_matches(reference_number, '[0-9]') AND len(replace(reference_number, ' ', '')) <= 25")
+def plausible_references(spark, sf_dir):
+    return enrichment.plausible_references(listings(spark, sf_dir)).select("ingest_id")
+
+
+@register(f"WITH {LISTINGS} SELECT count(*) AS rows, count(DISTINCT reference_number) AS distinct, min(date) AS first, max(date) AS last FROM L")
+def frame_stats(spark, sf_dir):
+    return profile.frame_stats(listings(spark, sf_dir), "reference_number")
+
+
 @register(f"WITH {LISTINGS}, D AS (SELECT DISTINCT date FROM L ORDER BY date DESC LIMIT 3) SELECT ingest_id, date FROM L WHERE date IN (SELECT date FROM D)")
 def recent_dates(spark, sf_dir):
     return series.recent_dates(listings(spark, sf_dir), 3).select("ingest_id", "date")
@@ -385,8 +418,6 @@ def volatility_by_brand(spark, sf_dir):
     return out.select("brand", *[F.round(f"volatility_{i.lower()}", 6).alias(f"volatility_{i.lower()}") for i in volatility.PERIODS])
 
 
-_LIVES = """U AS (SELECT watch_url, min(date) AS first_seen, max(date) AS last_seen, arg_min(brand, ingest_id) AS brand, arg_min(reference_number, ingest_id) AS reference_number FROM L GROUP BY watch_url),
-D AS (SELECT *, CASE WHEN last_seen = first_seen THEN 7 ELSE last_seen - first_seen END AS days, last_seen = (SELECT max(date) FROM L) AS active FROM U)"""
 _DURATION = f"""{_LIVES}, A AS (SELECT brand, reference_number, count(*) AS count, avg(days) AS mean_days, median(days) AS median_days, round(stddev_samp(days), 6) AS std_days,
   min(days) AS min_days, max(days) AS max_days, max(last_seen) AS date FROM D WHERE NOT active GROUP BY brand, reference_number)"""
 
