@@ -150,7 +150,7 @@ def identify(docs: DataFrame, model: Model | None, pred: str = "lang_pred", scor
     A null text, or one without a letter, is ``und`` with score 0; so is every text where
     no model could be fitted. Own columns of these names are replaced, repeated rows stay.
     """
-    docs = docs.select(*[c for c in docs.columns if c not in (pred, score)])
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in (pred, score)])
     schema = T.StructType([*docs.schema.fields, T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

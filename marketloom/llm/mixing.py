@@ -64,7 +64,7 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """
     n = hidden(docs, "src", "cls", "ord", "hb", "first", "rate", "offset", "text_hash")
     new = ("size", "source_size", "target", "copies")
-    kept = [c for c in docs.columns if c not in new]
+    kept = [c for c in docs.columns if c.lower() not in new]
     digits = max(1, math.ceil(math.log(max(math.sqrt(docs.count()) / 16, 1), 16)))
     sized = docs.select(
         *kept,
