@@ -20,7 +20,9 @@ from .common import checkpointed
 
 BLOCK, SLICE = 2048, 4096
 MAX_TASKS = 10_000
-SEGMENTS = (2, 8, 16)
+SEGMENTS = (4, 16)
+#: Pairs compared at a time, and the share of survivors from which a matrix product is cheaper than to pick them.
+CELLS, DENSE = 1_000_000, 0.02
 SCHEMA = "query_id bigint, vec_id bigint, score bigint"
 
 
@@ -60,24 +62,28 @@ def search_slice(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.Dat
         q, x = np.stack(asked["ints"].to_numpy()), np.stack(part["own_ints"].to_numpy())
         q_ids, x_ids = asked["vec_id"].to_numpy(), part["own_id"].to_numpy()
         floor = asked["threshold"].to_numpy(dtype=np.float64, na_value=-np.inf)
-        levels = [(statistics(q, s), statistics(x, s)) for s in SEGMENTS]
-        step = max(1, 2_000_000 // len(x))
+        levels = [(statistics(q, s), statistics(x, s)) for s in SEGMENTS] if np.isfinite(floor).any() else []
+        slack = 1e-9 * (1 + np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max())
+        whole = np.abs(q).max() * np.abs(x).max() * length < 2.0**53  # sums of doubles are exact
+        step = max(1, CELLS // len(x))
         for a in range(0, len(q), step):
             rows = slice(a, a + step)
-            slack = 1e-9 * (1 + np.linalg.norm(q[rows], axis=1)[:, None] * np.linalg.norm(x, axis=1)[None])
-            least = floor[rows][:, None] - slack
-            alive = levels[0][0][rows] @ levels[0][1].T >= least
-            alive &= q_ids[rows][:, None] != x_ids[None]
-            for own, other in levels[1:]:
+            alive = q_ids[rows][:, None] != x_ids[None]
+            least = (floor[rows] - slack[rows])[:, None]
+            for own, other in levels:
+                alive &= own[rows] @ other.T >= least
+            if whole and alive.mean() > DENSE:
+                scores = np.where(alive, q[rows] @ x.T, -np.inf)
+                if len(x) > k:
+                    alive &= scores >= np.partition(scores, len(x) - k, axis=1)[:, len(x) - k, None]
+                i, j = np.nonzero(alive & (scores >= floor[rows][:, None]))
+                score = scores[i, j].astype(np.int64)
+            else:
                 i, j = np.nonzero(alive)
-                if len(i) * 4 > alive.size:
-                    alive &= own[rows] @ other.T >= least
-                else:
-                    alive[i, j] = np.einsum("ij,ij->i", own[rows][i], other[j]) >= least[i, j]
-            i, j = np.nonzero(alive)
-            score = np.concatenate([_exact(q[rows][i[b : b + 200_000]], x[j[b : b + 200_000]]) for b in range(0, len(i), 200_000)] or [np.empty(0, np.int64)])
-            good = score >= floor[rows][i]
-            i, j, score = i[good], j[good], score[good]
+                parts = [slice(b, b + CELLS // 8) for b in range(0, len(i), CELLS // 8)]
+                score = np.concatenate([_exact(q[rows][i[b]], x[j[b]]) for b in parts] or [np.empty(0, np.int64)])
+                good = score >= floor[rows][i]
+                i, j, score = i[good], j[good], score[good]
             order = np.lexsort((x_ids[j], ~score, i))  # ~ falls as the score rises, and can't overflow
             i, j, score = i[order], j[order], score[order]
             rank = np.arange(len(i)) - np.searchsorted(i, i)
