@@ -3,8 +3,8 @@
 1. Every text becomes its set of shingles (64-bit hashes). Equal sets are one class; one
    document stands for it.
 2. If two sets are similar enough, their symmetric difference is at most ``d`` for the size
-   band of the smaller one. A sketch has d + 1 blocks of 64 parity bits; a shingle flips one
-   bit, so shared shingles cancel and one of the blocks must be equal. Equal blocks are
+   band of the smaller one. A sketch has somewhat more than d + 1 blocks of parity bits; a
+   shingle flips one bit, so what sets share cancels and a block must be equal. Equal blocks are
    found by a shuffle on (band, block, value), where members of a bucket link to its first.
 3. The components of these candidates are cut into chunks of bounded size, and every two
    chunks meet in a tile. There the Hamming distance of wider sketches, a lower bound of the
@@ -28,6 +28,8 @@ from .components import connected_components
 
 #: A chunk of a candidate component: so many documents, and so many shingles, on the average.
 CHUNK_DOCS, CHUNK_SHINGLES = 256, 1_000_000
+#: So often large candidate components are split by other hashes, at most.
+ROUNDS = 4
 #: At most so many ids (some 60 bytes each) are broadcast; more are joined by a shuffle.
 MAX_BROADCAST_IDS = 400_000
 #: Arrow batches that our functions give hold about so many shingles.
@@ -84,13 +86,39 @@ def parity(shingles: np.ndarray, blocks: int) -> np.ndarray:
     return np.packbits(bits).view(np.uint64)
 
 
-def block_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
-    """A number for each (band, block, value) of one set."""
+def _sparse_blocks(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A fingerprint for each block of a sketch whose blocks have 2^40 bits, few of them set.
+
+    A hash flips the bit of its lower 40 bits, in the block of its upper ones. The
+    fingerprint is the XOR of the mixed positions, in which two flips of a bit cancel too.
+    So few shingles are enough to tell blocks apart, which 64 bits would not be.
+    """
+    order = np.argsort((hashes >> np.uint64(24)) % np.uint64(len(counts)), kind="stable")
+    bits = _mix(hashes[order] & np.uint64(2**40 - 1))
+    value, full = np.zeros(len(counts), np.uint64), counts > 0
+    value[full] = np.bitwise_xor.reduceat(bits, (np.cumsum(counts) - counts)[full])
+    return value
+
+
+def block_keys(shingles: np.ndarray, bands: Bands, seed: int = 0, part: int = 0) -> np.ndarray:
+    """A number for each (part, band, block, value) of one set that another set may meet.
+
+    There are a quarter more blocks than d + 1, and a set uses those that hold most of its
+    shingles, all of at least some count, d + 1 at least. One of these is untouched by a
+    difference of d; the other set has the same shingles in it, and uses it too, since a
+    set with a lower count uses more. So nearly empty blocks, which unlike sets share, are
+    left out and no link is lost.
+    """
     found = [np.empty(0, np.uint64)]
+    hashes = _mix(shingles + np.uint64(seed)) if seed else shingles
     for k in bands.of(len(shingles)):
-        value = parity(shingles, bands.limits[k] + 1)
-        block = np.arange(len(value), dtype=np.uint64)
-        found.append(_mix(_mix(value) + block * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1)))
+        need = bands.limits[k] + 1
+        blocks = need + need // 4 + 1
+        counts = np.bincount(((hashes >> np.uint64(24)) % np.uint64(blocks)).astype(np.int64), minlength=blocks)
+        used = np.flatnonzero(counts >= np.partition(counts, blocks - need)[blocks - need])
+        value = _sparse_blocks(hashes, counts)[used]
+        place = used.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1)
+        found.append(_mix(_mix(_mix(value) + place) + np.uint64(part % 2**64)))
     return np.concatenate(found)
 
 
@@ -185,17 +213,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10)
             columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "print"])
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, held, at, n = batch.column(0).to_numpy(), [], 0, 0
-            for k, words in enumerate(_lists(batch.column(1))):
-                held.append(block_keys(shingle_set(words, size), bands).view(np.int64))
-                n += len(held[-1])
-                if k + 1 == len(ids) or n >= OUT_SHINGLES:
-                    nodes = np.repeat(ids[at : k + 1], [len(h) for h in held])
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(held))], ["a", "key"])
-                    held, at, n = [], k + 1, 0
-
     hashed = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), _word_hashes(docs).alias("words"))
     rows = checkpointed(hashed.mapInArrow(classes, "doc_id bigint, n bigint, print binary"))
     texts = rows.where("n > 0 AND doc_id IS NOT NULL")
@@ -205,10 +222,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10)
         copies = F.broadcast(copies)
     # The texts are hashed again here: that costs less than to keep the keys of all texts on disk.
     single = docs.where(F.col("doc_id").isNotNull()).join(copies, docs["doc_id"].cast("bigint") == copies["doc_id"], "left_anti")
-    hashed = single.select(docs["doc_id"].cast("bigint").alias("doc_id"), _word_hashes(docs).alias("words"))
-    first = F.expr("min(a) OVER (PARTITION BY key)")
-    stars = hashed.mapInArrow(keys, "a bigint, key bigint").select("a", first.alias("b")).where("a <> b")
-    links = _verified(docs, rows, connected_components(stars), size, bands)
+    own = single.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text"), F.lit(0).cast("bigint").alias("part"))
+    groups = connected_components(_stars(own, size, bands, 0))
+    sizes = rows.groupBy("doc_id").agg(F.sum("n").alias("n"))
+    links = _verified(docs, _refined(docs, groups, sizes, size, bands), sizes, size, bands)
 
     named = texts.select("doc_id", "print").join(reps.select("print", "rep"), "print").select("doc_id", "rep")
     twice = named.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where("a <> b")
@@ -221,16 +238,65 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10)
     return found.select("doc_id", F.col("n").alias("n_shingles"), own.otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _verified(docs: DataFrame, rows: DataFrame, candidates: DataFrame, size: int, bands: Bands) -> DataFrame:
-    """Links (a, b) that connect the documents of each candidate component as exact similarity does."""
-    sized = candidates.join(rows.select(F.col("doc_id").alias("node"), "n"), "node")
+def _stars(texts: DataFrame, size: int, bands: Bands, seed: int) -> DataFrame:
+    """(a, b): each document of a bucket and the bucket's first one; of (doc_id, text, part), buckets lie within parts."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, parts, held, at, n = batch.column(0).to_numpy(), batch.column(1).to_pylist(), [], 0, 0
+            for k, words in enumerate(_lists(batch.column(2))):
+                held.append(block_keys(shingle_set(words, size), bands, seed, parts[k]).view(np.int64))
+                n += len(held[-1])
+                if k + 1 == len(ids) or n >= OUT_SHINGLES:
+                    nodes = np.repeat(ids[at : k + 1], [len(h) for h in held])
+                    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(held))], ["a", "key"])
+                    held, at, n = [], k + 1, 0
+
+    hashed = texts.select("doc_id", "part", _word_hashes(texts).alias("words"))
+    first = F.expr("min(a) OVER (PARTITION BY key)")
+    return hashed.mapInArrow(keys, "a bigint, key bigint").select("a", first.alias("b")).where("a <> b")
+
+
+def _chunks(groups: DataFrame, sizes: DataFrame) -> DataFrame:
+    """label and its number of chunks."""
+    sized = groups.join(sizes.withColumnRenamed("doc_id", "node"), "node")
     chunks = F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK_DOCS, F.sum("n") / CHUNK_SHINGLES)).cast("int")
-    chunks = sized.groupBy("label").agg(chunks.alias("chunks"))
-    members = candidates.join(chunks, "label").select(F.col("node").alias("doc_id"), F.col("label").alias("part"), "chunks")
+    return sized.groupBy("label").agg(chunks.alias("chunks"))
+
+
+def _texts_of(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """doc_id, text and the other columns of ``members`` for the documents in it."""
     members = checkpointed(members)
     if members.count() <= MAX_BROADCAST_IDS:
         members = F.broadcast(members)
-    chosen = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text")).join(members, "doc_id")
+    return docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text")).join(members, "doc_id")
+
+
+def _refined(docs: DataFrame, groups: DataFrame, sizes: DataFrame, size: int, bands: Bands) -> DataFrame:
+    """Candidate components of which those of more than one chunk are split by blocks of other hashes.
+
+    Linked sets meet in the blocks of every hash, unlike ones hardly twice. It ends when the
+    large components hardly shrink any more.
+    """
+    before = None
+    for seed in range(1, ROUNDS + 1):
+        large = groups.join(_chunks(groups, sizes).where("chunks > 1"), "label")
+        large = checkpointed(large.select(F.col("node").alias("doc_id"), F.col("label").alias("part")))
+        n = large.count()
+        if not n or before is not None and n > 0.9 * before:
+            break
+        before = n
+        rest = groups.join(large.select(F.col("part").alias("label")).distinct(), "label", "left_anti").select("node", "label")
+        split = connected_components(_stars(_texts_of(docs, large), size, bands, seed))
+        groups = checkpointed(rest.union(split))
+    return groups
+
+
+def _verified(docs: DataFrame, candidates: DataFrame, sizes: DataFrame, size: int, bands: Bands) -> DataFrame:
+    """Links (a, b) that connect the documents of each candidate component as exact similarity does."""
+    chunks = _chunks(candidates, sizes)
+    members = candidates.join(chunks, "label").select(F.col("node").alias("doc_id"), F.col("label").alias("part"), "chunks")
+    chosen = _texts_of(docs, members)
     chosen = chosen.select(
         "doc_id", "part", "chunks",
         F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int").alias("chunk"), _word_hashes(chosen).alias("words"),
