@@ -111,6 +111,11 @@ def movement(c: Column, title: Column | None = None) -> Column:
     return found if title is None else F.coalesce(found, one_of(title, V.MOVEMENT))
 
 
+def contents(c: Column, vocabulary: str) -> Column:
+    """What comes with a listing by a vocabulary of the caller; texts without a match stay."""
+    return F.coalesce(one_of(c, vocabulary), c)
+
+
 def watch_type(c: Column) -> Column:
     """The type whose name or synonym the text is; empty for others."""
     found = F.lit("")

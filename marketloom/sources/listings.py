@@ -43,8 +43,11 @@ def read_lake(spark: SparkSession, path: str, schema: T.StructType = RAW, first=
 
 
 def write_weeks(df: DataFrame, path: str) -> None:
-    """Write by date; the dates in ``df`` replace what was there, so a rerun changes nothing."""
-    df.repartition("date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    """Write by date; the dates in ``df`` replace what was there, so a rerun changes nothing.
+
+    Rows are gathered by date for few files; a date with many rows is split by its size.
+    """
+    df.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 25_000, **options: str) -> None:

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.operators import cleaning, enrichment, liquidity, outliers, profile, series, volatility, weekly
+from marketloom.operators import cleaning, enrichment, liquidity, outliers, profile, series, standardise, volatility, weekly
 from marketloom.plans import pipelines
 
 SUNDAY = dt.date(2024, 1, 7)
@@ -189,3 +189,13 @@ def test_ingest_to_prices(spark):
     history = spark.createDataFrame([("Hamilton", "H70455133", week(-1), 1000.0, 1000.0)], f"brand string, reference_number string, date date, median_price double, {series.ROLLING} double")
     r = pipelines.reference_prices(clean, library, bounds, bounds, history)["prices"].first()
     assert (r["median_price"], r[series.ROLLING], r["dol_change_1w"], r["parent_model"], r["count"]) == (3000.0, 2000, 1000, "Khaki", 2)
+
+
+def test_standardise(spark):
+    names = ["date", "listing_title", "condition", "movement", "clasp_type", "bracelet_material", "currency", "price", "year_of_production", "decade_of_production", "between_lugs", "description", "features", "brand"]
+    row = (SUNDAY, "Unworn automatic \\u0026 box", None, "", "", "pin buckle leather", "usd", "$3,000.50", "c. 1988", "", "20,5 mm", "x" * 300, "Date", "y" * 300)
+    df = spark.createDataFrame([row], ", ".join(f"{n} {'date' if n == 'date' else 'string'}" for n in names))
+    r = standardise.standardise(df, F.lit("ebay"), ["EUR", "USD"], {"chrono24": "Yes"}).first()
+    assert (r["condition"], r["movement"], r["clasp_type"], r["currency"], r["price"], r["year_of_production"]) == ("New", "Automatic", "Pin Buckle, Buckle", "USD", 3000.0, 1988)
+    assert (r["decade_of_production"], r["between_lugs"], r["authenticity_guarantee"], len(r["brand"]), r["listing_title"]) == ("1980s", "20.5 mm", "No", 255, "Unworn automatic & box")
+    assert "description" not in r.asDict()
