@@ -3,14 +3,16 @@
 The words of every template give hashes of k consecutive words, of which winnowing keeps
 one at least in each window. An inverted index of these finds where a document may hold a
 template; there the words of both are aligned in a band around the diagonal of the hits.
-The templates are a parameter of bounded size and go to the tasks whole.
+The templates are a parameter of bounded size and go to the tasks whole. A match must have the
+words that tell licenses and versions apart; of templates that align with one span, one is named.
 """
 
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from importlib.resources import files
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +67,55 @@ TEMPLATES = {
     ),
 }
 
+
+def _notices() -> dict[str, str]:
+    """Notices by the version of a license, as usual; short forms and SPDX tags too."""
+    found = {}
+    for kind, word, versions in (("gpl", "", "1 2 3"), ("lgpl", "Lesser ", "2.1 3"), ("lgpl", "Library ", "2"), ("agpl", "Affero ", "3")):
+        for v in versions.split():
+            name, title = f"{kind}-{v if '.' in v else v + '.0'}", f"GNU {word}General Public License"
+            found[f"{name}-notice"] = f"This work is licensed under the {title}, version {v}."
+            found[f"{name}-short"] = f"Licensed under the {kind.upper()} version {v}."
+            found[f"{name}-header"] = (
+                f"This program is free software: you can redistribute it and/or modify it under the terms of the {title} as "
+                f"published by the Free Software Foundation, either version {v} of the License, or (at your option) any later version."
+            )
+    forms = {"by": "", "by-sa": "-ShareAlike", "by-nc": "-NonCommercial", "by-nd": "-NoDerivatives"}
+    forms |= {"by-nc-sa": "-NonCommercial-ShareAlike", "by-nc-nd": "-NonCommercial-NoDerivatives"}
+    for form, words in forms.items():
+        for v, where in (("4.0", "International"), ("3.0", "Unported"), ("2.5", "Generic"), ("2.0", "Generic")):
+            found[f"cc-{form}-{v}-notice"] = f"This work is licensed under a Creative Commons Attribution{words} {v} {where} License."
+            found[f"cc-{form}-{v}-short"] = f"Licensed under CC {form.upper()} {v}."
+    for v in ("1.1", "2.0"):
+        found[f"mpl-{v}-notice"] = f"This work is licensed under the Mozilla Public License, version {v}."
+    found["mpl-2.0-header"] = (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    )
+    for name in ("BSD 2-Clause", "BSD 3-Clause", "ISC"):
+        found[f"{name.lower().replace(' ', '-')}-notice"] = f"Released under the {name} License."
+    for name in (
+        "MIT ISC BSD-2-Clause BSD-3-Clause Apache-2.0 MPL-1.1 MPL-2.0 GPL-1.0 GPL-2.0 GPL-3.0 LGPL-2.0 LGPL-2.1 LGPL-3.0 AGPL-3.0 "
+        "CC0-1.0 Unlicense OFL-1.1"
+    ).split():
+        found[f"{name.lower()}-spdx"] = f"SPDX-License-Identifier: {name}"
+    return found
+
+
+# The short form of this one has the notice's name.
+TEMPLATES = {k: v for k, v in _notices().items() if k != "cc-by-nc-4.0-short"} | {
+    "cc-by-nc-4.0-long": _notices()["cc-by-nc-4.0-notice"]
+} | TEMPLATES
+TEMPLATES |= {
+    f"{p.name.removesuffix('.txt')}-text": p.read_text(encoding="utf-8") for p in files(__package__).joinpath("licenses").iterdir()
+}
+
+#: Words that tell licenses apart; numbers tell versions where they follow one of these or of VERSIONED, or such a number.
+TELLING = "affero lesser noncommercial sharealike noderivatives noderivs nc sa nd mit apache bsd isc mozilla gnu gpl lgpl agpl mpl cc0"
+VERSIONED = "version v license attribution by"
+#: From so many words on, a text's telling words are compared by their counts, and not in their order with the numbers.
+LONG = 200
+
 SCHEMA = "doc_id bigint, template string, coverage double, n_matched bigint, start bigint, end bigint"
 
 
@@ -98,18 +149,19 @@ def winnow(prints: np.ndarray, window: int = WINDOW) -> list[int]:
     return sorted(found)
 
 
-def banded_match(template: list[int], words: list[int], shift: int, band: int) -> list[tuple[int, int]]:
+def banded_match(template: list[int] | np.ndarray, words: list[int] | np.ndarray, shift: int, band: int) -> list[tuple[int, int]]:
     """Matched positions of a longest common subsequence whose pairs (i, j) have |j - i - shift| <= band."""
-    width, m = 2 * band + 1, len(template)
-    rows = [[0] * (width + 1) for _ in range(m + 1)]
+    template, words = np.asarray(template), np.asarray(words)
+    width, m, n = 2 * band + 1, len(template), len(words)
+    rows = np.zeros((m + 1, width + 1), np.int32)
     for i in range(m):
-        above, row = rows[i], rows[i + 1]
-        for k in range(width):
-            j = i + shift - band + k
-            best = max(above[k + 1] if k + 1 < width else 0, row[k - 1] if k else 0)
-            if 0 <= j < len(words) and template[i] == words[j] and above[k] + 1 > best:
-                best = above[k] + 1
-            row[k] = best
+        above, first = rows[i], i + shift - band
+        row = above[1:].copy()
+        a, b = max(0, -first), min(width, n - first)
+        if a < b:
+            same = words[first + a : first + b] == template[i]
+            row[a:b] = np.maximum(row[a:b], (above[a:b] + 1) * same)
+        rows[i + 1, :width] = np.maximum.accumulate(row)
     i, k, found = m - 1, max(range(width), key=lambda k: (rows[m][k], -abs(k - band))), []
     while i >= 0 and k >= 0:
         here, j = rows[i + 1][k], i + shift - band + k
@@ -125,12 +177,36 @@ def banded_match(template: list[int], words: list[int], shift: int, band: int) -
     return found[::-1]
 
 
+def _telling(words: np.ndarray) -> list[int]:
+    """The telling words, and the numbers that tell versions, in their order."""
+    found, before = [], False
+    for w in words.tolist():
+        told = w in _TELLING or before and w in _NUMBERS
+        if told:
+            found.append(w)
+        before = told or w in _VERSIONED
+    return found
+
+
+def _is_told(template: np.ndarray, span: np.ndarray) -> bool:
+    """Whether a span has the telling words of a template, and no others."""
+    if len(template) < LONG:
+        return _telling(template) == _telling(span)
+    own, other = (Counter(w for w in words.tolist() if w in _TELLING) for words in (template, span))
+    return all(abs(own[w] - other[w]) <= max(2, own[w] // 2) for w in own | other)
+
+
+_TELLING, _VERSIONED = ({int(h) for h in word_hashes(words)} for words in (TELLING, VERSIONED))
+_NUMBERS = {int(h) for h in word_hashes(" ".join(map(str, range(100))))}
+
+
 class Index:
     """Templates and an inverted index of their fingerprints."""
 
     def __init__(self, templates: dict[str, str]):
         self.words = {name: word_hashes(t) for name, t in sorted(templates.items())}
         self.words = {name: w for name, w in self.words.items() if len(w)}
+        self.counts = {name: np.unique(w, return_counts=True) for name, w in self.words.items()}
         self.sizes = sorted({min(GRAM, len(w)) for w in self.words.values()})
         self.places: dict[int, dict[int, list[tuple[str, int]]]] = {s: defaultdict(list) for s in self.sizes}
         for name, w in self.words.items():
@@ -139,8 +215,14 @@ class Index:
                 self.places[min(GRAM, len(w))][int(prints[at])].append((name, at))
         self.sorted = {s: np.array(sorted(p), np.uint64) for s, p in self.places.items()}
 
+    def most(self, name: str, part: np.ndarray) -> int:
+        """So many words of a template a part of a document can match at most: those in common, in any order."""
+        own, counts = self.counts[name]
+        at = np.minimum(np.searchsorted(own, part), len(own) - 1)
+        return int(np.minimum(np.bincount(at[own[at] == part], minlength=len(own)), counts).sum())
+
     def scan(self, words: np.ndarray, min_coverage: float) -> list[tuple[str, int, int, int]]:
-        """(template, matched words, first word, last word) of the matches in a document, best first without overlaps."""
+        """(template, matched words, first word, last word) of the matches in a document, by place, one for a span."""
         shifts: dict[str, set[int]] = defaultdict(set)
         for size in self.sizes:
             if len(words) < size:
@@ -149,7 +231,8 @@ class Index:
             at = np.minimum(np.searchsorted(self.sorted[size], prints), len(self.sorted[size]) - 1)
             for hit in np.flatnonzero(self.sorted[size][at] == prints).tolist():
                 for name, place in self.places[size][int(prints[hit])]:
-                    shifts[name].add(hit - place)
+                    if len(words) >= min_coverage * len(self.words[name]):
+                        shifts[name].add(hit - place)
         found = []
         for name, own in shifts.items():
             template, band = self.words[name], max(2, len(self.words[name]) // 10)
@@ -160,15 +243,22 @@ class Index:
                 done = shift
                 a, b = max(0, shift - band), min(len(words), shift + len(template) + 2 * band)
                 part = words[a:b]
-                if np.isin(template, part).mean() < min_coverage:
+                if self.most(name, part) < min_coverage * len(template):
                     continue
-                pairs = banded_match(template.tolist(), part.tolist(), shift + band // 2 - a, band + band // 2)
-                if len(pairs) >= min_coverage * len(template):
+                pairs = banded_match(template, part, shift + band // 2 - a, band + band // 2)
+                if len(pairs) >= min_coverage * len(template) and _is_told(template, part[pairs[0][1] : pairs[-1][1] + 1]):
                     matches.append((name, len(pairs), a + pairs[0][1], a + pairs[-1][1]))
             for m in sorted(matches, key=lambda m: (-m[1], m[2])):
                 if not any(o[0] == name and m[2] <= o[3] and o[2] <= m[3] for o in found):
                     found.append(m)
-        return sorted(found, key=lambda m: (m[2], m[0]))
+        # Templates that share the most of a span compete: coverage times matched words, so that a whole text
+        # goes before a notice in it, and the text of the right version before the like one of another.
+        best: list[tuple[str, int, int, int]] = []
+        for m in sorted(found, key=lambda m: (-m[1] * m[1] / len(self.words[m[0]]), m[2], m[0])):
+            shared = lambda o: min(m[3], o[3]) - max(m[2], o[2]) + 1  # noqa: B023, E731
+            if not any(2 * shared(o) > min(m[3] - m[2], o[3] - o[2]) + 1 for o in best):
+                best.append(m)
+        return sorted(best, key=lambda m: (m[2], m[0]))
 
 
 def scan_licenses(
@@ -176,7 +266,9 @@ def scan_licenses(
 ) -> DataFrame:
     """A row for every match: doc_id, template, coverage (share of its words), n_matched, start and end in code points.
 
-    Whole texts are scanned; matches of one template don't overlap, those of several may.
+    Whole texts are scanned. Templates that align with one span (half of the shorter one at least) give one
+    row, that of the best coverage and size; other matches of several templates may overlap at their ends.
+    The words that tell licenses and versions apart must be the template's.
     Texts that are null, empty or hold no template give no rows, repeated rows give theirs
     each, an empty list of templates gives none. Other columns are not used.
     """

@@ -135,6 +135,22 @@ def test_licences(spark):
     assert license_scan.scan_licenses(docs_of(spark, "All rights reserved"), {}).count() == 0
 
 
+def test_whole_licences_and_versions():
+    index = license_scan.Index(license_scan.TEMPLATES)
+    words = license_scan.word_hashes
+    of = lambda text: [m[0] for m in index.scan(words(text), 0.8)]
+    for name, text in license_scan.TEMPLATES.items():
+        assert of(f"before it, {text} and after") == [name]
+        assert index.scan(words(text), 0.8)[0][1] == len(words(text))
+    assert {"apache-2.0-text", "gpl-3.0-text", "lgpl-2.1-text", "mpl-2.0-text", "bsd-3-clause-text", "unlicense-text", "mit-text"} <= set(license_scan.TEMPLATES)
+    assert of("This work is licensed under the GNU General Public License, version 7.") == []
+    assert of("Licensed under CC BY-NC-SA 4.0.") == ["cc-by-nc-sa-4.0-short"] and of("Licensed under CC BY-NC-SA 1.0.") == []
+    assert of("This work is licensed under the GNU Affero General Public License, version 3.") == ["agpl-3.0-notice"]
+    assert of("Released under the Apache License.") == []
+    affero = license_scan.TEMPLATES["gpl-3.0-text"].replace("GNU General", "GNU Affero General").replace("GNU GENERAL", "GNU AFFERO GENERAL")
+    assert "gpl-3.0-text" not in of(affero)
+
+
 def test_banded_match_is_a_longest_common_subsequence():
     rng = random.Random(3)
     for _ in range(200):
