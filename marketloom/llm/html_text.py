@@ -3,12 +3,13 @@
 A page becomes tokens: words and tags. Words score positive and tags negative, by how much
 more often pages with a marked article hold them inside it than outside. Words in links
 and in boxes (menus, adverts, forms, notices, comments ...) are classes of their own, which
-come out negative. One scan finds the best contiguous run; it is widened to the article
-element that it falls in, if there is one, and its boxes are left out.
+come out negative. One scan finds the best contiguous run; its ends are widened to the borders
+of article elements that lie mostly in it or hold most of it, and its boxes are left out.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import Counter
@@ -165,15 +166,28 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return span
 
 
+def snapped(run: tuple[int, int], articles: list[tuple[int, int]], scores: list[float]) -> tuple[int, int]:
+    """A run, widened to the borders of the articles that lie mostly in it; nothing of it is left out.
+
+    If none of these has half of the run, it is widened to the smallest article that has.
+    """
+    sums = [0.0, *itertools.accumulate(max(s, 0.0) for s in scores)]
+    value = lambda a, b: max(sums[b] - sums[a], 0.0) if a < b else 0.0
+    shared = lambda a: value(max(a[0], run[0]), min(a[1], run[1]))
+    met = [a for a in articles if shared(a) > 0]
+    inside = [a for a in met if 2 * shared(a) >= value(*a)]
+    around = [a for a in met if 2 * shared(a) >= value(*run)]
+    if around and not any(a in inside for a in around):
+        inside.append(min(around, key=lambda a: a[1] - a[0]))
+    return min([run[0], *(a[0] for a in inside)]), max([run[1], *(a[1] for a in inside)])
+
+
 def main_text(html: str, weight: dict[str, float]) -> str:
     """The main text of one page: blocks joined by one space, white space inside them made one space."""
     page = parse(html)
     unseen = lambda t: TEXT_TAG if t.name in TEXT_TAGS else OTHER_TAG
     scores = [weight.get(t.name, unseen(t)) * (t.words if t.kind == "word" else 1) for t in page.tokens]
-    start, end = best_run(scores)
-    value = lambda a: sum(s for s in scores[max(a[0], start) : min(a[1], end)] if s > 0)
-    if page.articles and max(map(value, page.articles)) > 0:
-        start, end = max(page.articles, key=lambda a: (value(a), a[1] - a[0]))
+    start, end = snapped(best_run(scores), page.articles, scores)
     blocks, now = [], []
     for t in page.tokens[start:end]:
         if t.stop:

@@ -184,6 +184,18 @@ def test_main_text(spark):
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in got) == [(1, "", 0), (2, "", 0), (2, of(page), 30), (2, of(page), 30)]
 
 
+def test_the_run_decides_and_not_the_tag():
+    of = lambda h: html_text.main_text(h, html_text.weights({}))
+    long = " ".join(f"word{i}" for i in range(60))
+    beside = of(f"<nav><a>Home</a></nav><div class=content><p>{long}</p><p>end of it</p></div><article><p>See also this</p></article>")
+    assert beside.startswith(f"{long} end of it")
+    within = of(f"<div class=content><p>{long}</p><article class=embed><p>card</p></article><p>{long}</p></div>")
+    assert within == f"{long} card {long}"
+    assert of(f"<article><p>{long}</p></article><article><p>second part {long}</p></article>") == f"{long} second part {long}"
+    split = of(f"<article><p>{long}</p><nav>{long}</nav><p>short tail</p></article><footer>x</footer>")
+    assert split == f"{long} short tail"
+
+
 def test_pages_against_their_articles(spark):
     rows = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     got = {r["page_id"]: r["text"] for r in queries.op2_html_text(spark, SF).collect()}
