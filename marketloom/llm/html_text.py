@@ -27,7 +27,9 @@ from .common import text_of
 SAMPLE_PAGES = 2000
 
 # Names of HTML elements, and words in class, id and role that name a box.
-RAW = {"script", "style", "noscript", "template", "svg", "iframe", "textarea", "title", "math", "object", "canvas"}
+RAW = {"script", "style", "iframe", "textarea", "title"}
+#: Not raw text, but left out as a whole where they are closed.
+SKIPPED = {"noscript", "template", "svg", "math", "object", "canvas"}
 BOXES = {"head", "nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "fieldset"} | RAW
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
@@ -42,6 +44,16 @@ BOX_WORDS = {
     "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "sidebars", "signup", "social", "sponsor",
     "sponsored", "subscribe", "toolbar", "widget", "alert", "contentinfo", "complementary",
 }
+#: Words that a class made of several may have besides those; any other, as in no-sidebar, says something else.
+PLACE_WORDS = {
+    "", "site", "page", "top", "bottom", "left", "right", "main", "primary", "secondary", "global", "box", "slot", "unit", "container",
+    "wrapper", "wrap", "inner", "outer", "list", "links", "link", "bar", "block", "area", "section", "region", "panel", "posts", "articles",
+    "icons", "buttons", "button", "form", "google", "mobile", "desktop", "js",
+}
+#: Readers' words, which are no main text even where they are most of a page.
+READER_WORDS = {"comment", "comments", "disqus", "replies", "reply", "respond"}
+#: Elements that can hold a whole page.
+CONTAINERS = {"div", "section", "article", "main", "form", "fieldset", "table", "td", "tr"}
 BOX_TAGS = {"div", "section", "ul", "ol", "p", "article", "table", "span", "details", "dl", "figure", "td", "tr", "li", "h2", "h3"}
 ARTICLES = {"article", "main"}
 #: Tags inside running text, and what a tag scores that the labelled pages don't show.
@@ -68,23 +80,44 @@ class Token:
 class Page:
     tokens: list[Token] = field(default_factory=list)
     articles: list[tuple[int, int]] = field(default_factory=list)  # token ranges
+    boxes: list[tuple[int, int]] = field(default_factory=list)  # of containers: where in the html, plain words
+    plain: int = 0  # words outside links
+
+
+def _is_box_name(name: str) -> bool:
+    """Whether a class, id or role names a box: box words, and nothing else but words of places and numbers."""
+    parts = set(re.split(r"[^a-z]+", name))
+    return bool(parts & BOX_WORDS) and parts <= BOX_WORDS | PLACE_WORDS
+
+
+def _names(attributes: str) -> Iterator[str]:
+    for m in _NAMED.finditer(attributes):
+        yield from (m[1] or m[2] or m[3] or "").lower().split()
 
 
 def _is_box(tag: str, attributes: str) -> bool:
-    if tag in BOXES:
-        return True
-    if tag in BOX_TAGS and attributes:
-        for m in _NAMED.finditer(attributes):
-            if BOX_WORDS & set(re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower())):
-                return True
-    return False
+    return tag in BOXES or tag in BOX_TAGS and bool(attributes) and any(map(_is_box_name, _names(attributes)))
 
 
 def parse(html: str) -> Page:
-    """Tokens of a page, and where its article elements are."""
+    """Tokens of a page, and where its article elements are. A container with most of its plain words is no box."""
+    opened: set[int] = set()
+    while True:
+        page = _parse(html, opened)
+        most = {at for at, words in page.boxes if 2 * words > page.plain}
+        if not most:
+            return page
+        opened |= most
+
+
+def _parse(html: str, opened: set[int]) -> Page:
+    """A page in which the tags at the places ``opened`` begin no boxes."""
     page, at, n = Page(), 0, len(html)
     box, depth, links = "", 0, 0
     begun: list[int] = []
+    counted: list[list[int]] = []
+    held: list[int] | None = None  # place and plain words of the container that is the box
+    unclosed: set[str] = set()
     while at < n:
         m = _TOKEN.match(html, at)
         at = m.end()
@@ -95,14 +128,21 @@ def parse(html: str) -> Page:
                 continue
             text = unescape(raw)
             name = "word:box" if box else "word:link" if links else "word"
-            page.tokens.append(Token("word", name, text, len(text.split()), bool(box)))
+            words = len(text.split())
+            page.tokens.append(Token("word", name, text, words, bool(box)))
+            if not links:
+                page.plain += words
+                if box and held:
+                    held[1] += words
             continue
         closing = bool(m[1])
-        if not closing and tag in RAW and not m[3].rstrip().endswith("/"):
+        if not closing and tag in RAW | SKIPPED and tag not in unclosed and not m[3].rstrip().endswith("/"):
             end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-            at = end.end() if end else n
-            page.tokens.append(Token("tag", tag, box=bool(box), stop=True))
-            continue
+            if end or tag in RAW:
+                at = end.end() if end else n
+                page.tokens.append(Token("tag", tag, box=bool(box), stop=True))
+                continue
+            unclosed.add(tag)
         void = tag in VOID or m[3].rstrip().endswith("/") and tag not in INLINE
         if tag == "a":
             links = max(0, links + (-1 if closing else 1))
@@ -117,8 +157,11 @@ def parse(html: str) -> Page:
                     page.tokens.append(Token("tag", tag, box=True, stop=tag not in INLINE))
                     box = ""
                     continue
-        if not box and not closing and not void and _is_box(tag, m[3]):
-            box, depth = tag, 1
+        if not box and not closing and not void and m.start() not in opened and _is_box(tag, m[3]):
+            box, depth, held = tag, 1, None
+            if tag in CONTAINERS and not any(READER_WORDS & set(re.split(r"[^a-z]+", name)) for name in _names(m[3])):
+                held = [m.start(), 0]
+                counted.append(held)
         if tag in ARTICLES and not box:
             if not closing:
                 begun.append(len(page.tokens))
@@ -126,6 +169,7 @@ def parse(html: str) -> Page:
                 page.articles.append((begun.pop(), len(page.tokens) + 1))
         page.tokens.append(Token("tag", tag, box=bool(box), stop=tag not in INLINE))
     page.articles += [(b, len(page.tokens)) for b in begun]
+    page.boxes = [(place, words) for place, words in counted]
     return page
 
 

@@ -184,6 +184,22 @@ def test_main_text(spark):
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in got) == [(1, "", 0), (2, "", 0), (2, of(page), 30), (2, of(page), 30)]
 
 
+def test_boxes_are_named_by_whole_classes():
+    of = lambda h: html_text.main_text(h, html_text.weights({}))
+    few, long = "a few words", " ".join(f"word{i}" for i in range(30))
+    for opening in ("article class='post category-social'", "div class='content no-sidebar'", "div class='main has-comments'", "section class='article-body header-fixed'"):
+        tag = opening.split()[0]
+        assert of(f"<{opening}><p>{few}</p></{tag}><div class=x><p>{long}</p></div>") == f"{few} {long}"
+    for name in ("sidebar", "comments", "ad-slot", "site-footer", "cookie-banner", "x related-posts"):
+        assert of(f"<p>{long}</p><div class='{name}'><p>{few}</p></div>") == long
+    assert of(f"<div class=widget><div class='banner'><p>{long}</p></div><div class=ad>{few}</div></div>") == long
+    assert of(f"<form><p>{long}</p></form>") == long
+    assert of(f"<p>{few}</p><div class=comments><p>{long}</p></div>") == few
+    for tag in ("object", "canvas", "svg", "math"):
+        assert of(f"<p>{few}</p><{tag}><p>{long}</p>").endswith(long)
+        assert of(f"<p>{few}</p><{tag}>x</{tag}><p>{long}</p>") == f"{few} {long}"
+
+
 def test_the_run_decides_and_not_the_tag():
     of = lambda h: html_text.main_text(h, html_text.weights({}))
     long = " ".join(f"word{i}" for i in range(60))
