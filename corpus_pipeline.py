@@ -16,8 +16,8 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, 0.8) stays, that of the smallest doc_id."""
-    return near_duplicates.drop_near_duplicates(docs, size=5, num=8, den=10)
+    """One document of each group of near duplicates (five words, 0.8) stays, that of the smallest doc_id; unlike texts stay."""
+    return near_duplicates.drop_near_duplicate_texts(docs, size=5, num=8, den=10)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORD, ascii_lower, checkpointed, text_of
+from .common import SPACE_WORD, ascii_lower, checkpointed, hidden, text_of
 from .components import connected_components
 
 #: A chunk of a candidate component: so many documents, and so many shingles, on the average.
@@ -356,5 +356,43 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int
     if not ids.isEmpty():
         twice = kept.join(ids.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
         once = kept.join(ids.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-        kept = once.union(twice.dropDuplicates(["doc_id"]).select(*docs.columns))
+        kept = once.union(_one_each(twice, "doc_id", docs.columns).select(*docs.columns))
     return kept
+
+
+def drop_near_duplicate_texts(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+    """``docs`` with one row for each group of near duplicates, decided by texts: no group goes because of its ids.
+
+    Where ids repeat with unlike texts, each such text is a document of its own. The row
+    that stays is that of the smallest doc_id; rows without doc_id or without words stay; of
+    rows with equal doc_id and text one stays, the same in every run.
+    """
+    own = hidden(docs, "node", "unlike")
+    node = own["node"]
+    ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64(text_of(docs)).alias("text"))
+    ids = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), (F.min("text") != F.max("text")).alias(own["unlike"]))
+    ids = checkpointed(ids.where("rows > 1").drop("rows"))
+    if ids.isEmpty():
+        return drop_near_duplicates(docs, size, num, den)
+    named = F.when(F.col(own["unlike"]), F.xxhash64("doc_id", text_of(docs))).otherwise(F.col("doc_id").cast("bigint"))
+    # Joined to the ids only: the texts go through no shuffle where these are few.
+    few = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
+    rows = docs.join(few, "doc_id", "left").withColumn(node, named)
+    found = near_duplicates(rows.select(F.col(node).alias("doc_id"), text_of(rows).alias("text")), size, num, den)
+    found = checkpointed(found.where("doc_id IS NOT NULL").select(F.col("doc_id").alias(node), "component_id").distinct())
+    members = found.join(rows.select(node, "doc_id").distinct(), node)
+    first = members.groupBy("component_id").agg(F.min(F.struct("doc_id", node)).alias("first"))
+    gone = members.join(first, "component_id").where(F.col(node) != F.col("first")[node])
+    gone = checkpointed(gone.select(node).distinct())
+    if gone.count() <= MAX_BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    kept = rows.join(gone, node, "left_anti")
+    once = kept.where(F.col(own["unlike"]).isNull()).select(*docs.columns)
+    return once.union(_one_each(kept.where(F.col(own["unlike"]).isNotNull()), node, docs.columns).select(*docs.columns))
+
+
+def _one_each(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """One row for each key, chosen by the contents of ``columns``."""
+    place = hidden(rows, "place")["place"]
+    order = Window.partitionBy(key).orderBy(F.to_json(F.struct(*columns)))
+    return rows.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)

@@ -96,6 +96,19 @@ def test_repeated_and_null_ids(spark):
     assert near_duplicates.near_duplicates(df.limit(0)).count() == 0 and near_duplicates.drop_near_duplicates(df.limit(0)).count() == 0
 
 
+def test_unlike_texts_of_one_id_stay(spark):
+    rows = [(5, "a b c d e f", 1), (3, "a b c d e f", 2), (5, "q r s t u v", 3), (9, "q r s t u v", 4), (None, "a b c d e f", 5), (None, None, 6), (1, "", 7)]
+    rows += [(1, "least id, first text", 8), (1, "least id, other text", 9), (2, "Least ID, other text", 10), (7, "same row here", 12), (7, "same row here", 11)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, label int")
+    unique = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    want = [("1", "", 7), ("1", "least id, first text", 8), ("1", "least id, other text", 9), ("3", "a b c d e f", 2), ("5", "q r s t u v", 3)]
+    want += [("7", "same row here", 11), ("None", "", 6), ("None", "a b c d e f", 5)]
+    for parts in (1, 5):
+        kept = unique(spark, df.repartition(parts), SF)
+        assert kept.columns == df.columns
+        assert sorted((str(r["doc_id"]), r["text"] or "", r["label"]) for r in kept.collect()) == want
+
+
 def test_pigeonhole_finds_every_link():
     """Sets at the threshold share a block key, whatever differs."""
     rng = np.random.default_rng(7)
