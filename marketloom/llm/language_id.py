@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import hidden
+from .common import checkpointed, hidden
 
 #: Rows that the models are fitted on, over all languages together, at most.
 SAMPLE_ROWS = 1600
@@ -116,30 +116,41 @@ class Model:
         return langs, score
 
 
-def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
-    """Models from at most ``rows`` rows of ``docs`` (text, lang), equally many of each language.
+def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame | None:
+    """lang, text: at most ``rows`` distinct texts of ``docs``, equally many of each language.
 
-    The rows are those of a language with the smallest hashes of their texts; rows without
-    a language or a letter are left out. None if there is no such row.
+    They are those of a language with the smallest hashes, all where it has no more; copies
+    count once. Rows without a language or a letter are left out. None if there is no such row.
     """
-    labelled = docs.where(F.col("lang").isNotNull())
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}  # a row for each language
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    labelled = labelled.select("lang", "text", F.xxhash64("text").alias("hash"))
+    texts = checkpointed(labelled.select("lang", "hash").distinct())
+    counts = {r["lang"]: r["count"] for r in texts.groupBy("lang").count().collect()}  # a row for each language
     if not counts:
         return None
     each = max(rows // len(counts), 1)
-    unit = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(min(3 * each / n, 1.0))) for k, n in counts.items()))
-    thinned = labelled.withColumn("unit", unit).where((F.col("unit") <= share[F.col("lang")]) & F.col("text").rlike(r"\p{L}"))
-    place = F.expr("row_number() OVER (PARTITION BY lang ORDER BY unit, text)")
-    chosen = thinned.withColumn("place", place).where(F.col("place") <= each).select("lang", "text")
+    unit = F.pmod("hash", F.lit(1 << 30)) / float(1 << 30)
+    # Hashes of distinct texts are even, so these shares hold enough of them, also where each is small.
+    share = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(min((3 * each + 50) / n, 1.0))) for k, n in counts.items()))
+    thinned = texts.withColumn("unit", unit).where(F.col("unit") <= share[F.col("lang")])
+    place = F.expr("row_number() OVER (PARTITION BY lang ORDER BY unit, hash)")
+    chosen = thinned.withColumn("place", place).where(F.col("place") <= each).select("lang", "hash")
+    copy = F.expr("row_number() OVER (PARTITION BY lang, hash ORDER BY text)")
+    found = labelled.join(F.broadcast(chosen), ["lang", "hash"]).withColumn("copy", copy)
+    return found.where(F.col("copy") == 1).select("lang", "text")
+
+
+def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
+    """Models from a sample of ``docs`` (text, lang), see there. None if no row is labelled."""
+    chosen = sample(docs, rows)
+    if chosen is None:
+        return None
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"lang": batch["lang"], "x": [features(t).tobytes() for t in batch["text"]]})
 
     found = chosen.mapInPandas(encode, "lang string, x binary").toPandas()
-    if not len(found):
-        return None
     found = found.sort_values(["lang", "x"])
     return Model.fit(np.stack([np.frombuffer(v, np.float32) for v in found["x"]]), found["lang"].to_numpy())
 

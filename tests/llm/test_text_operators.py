@@ -8,6 +8,7 @@ import re
 
 import duckdb
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from marketloom.llm import chat, common, decontaminate, html_text, language_id, license_scan, oracles, pii, queries, token_counts
@@ -303,6 +304,18 @@ def test_language_edges(spark):
     assert language_id.identify(docs.limit(0), model).count() == 0
 
 
+def test_copies_count_once_in_the_sample(spark):
+    low = lambda t: (xxhash.xxh64_intdigest(t.encode(), seed=42) & (1 << 30) - 1) / (1 << 30)
+    texts = sorted((f"talo ja koira {i}" for i in range(200)), key=low)
+    rows = [("fi", t) for t in texts[-2:]] * 100 + [("de", "der Hund und das Haus")] * 3 + [("en", texts[0])] * 150
+    rows += [("en", f"the dog {i}") for i in range(60)] + [(None, "x"), ("sv", "12"), ("sv", None)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    found = [tuple(r) for r in language_id.sample(docs, 12).collect()]
+    want = sorted({t for c, t in rows if c == "en"}, key=low)[:4]
+    assert sorted(found) == sorted([("fi", t) for t in texts[-2:]] + [("de", "der Hund und das Haus")] + [("en", t) for t in want])
+    assert "uralic" in language_id.fit(docs, 12).families
+
+
 def test_hidden_names_do_not_clash(spark):
     assert common.hidden(spark.range(1).withColumnRenamed("id", "__x"), "x") == {"x": "__x_"}
     assert json.dumps(hashlib.sha256(b"").hexdigest())
