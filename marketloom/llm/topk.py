@@ -23,7 +23,7 @@ MAX_TASKS = 10_000
 SEGMENTS = (4, 16)
 #: Pairs compared at a time, and the share of survivors from which a matrix product is cheaper than to pick them.
 CELLS, DENSE = 1_000_000, 0.02
-SCHEMA = "query_id bigint, vec_id bigint, score bigint"
+SCHEMA = "query_id bigint, key bigint, vec_id bigint, score bigint"
 
 
 def integer_vectors(table: DataFrame, scale: int = 64) -> DataFrame:
@@ -60,7 +60,7 @@ def search_slice(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.Dat
         if not len(asked) or not length:
             continue
         q, x = np.stack(asked["ints"].to_numpy()), np.stack(part["own_ints"].to_numpy())
-        q_ids, x_ids = asked["vec_id"].to_numpy(), part["own_id"].to_numpy()
+        q_ids, keys, x_ids = asked["vec_id"].to_numpy(), asked["key"].to_numpy(), part["own_id"].to_numpy()
         floor = asked["threshold"].to_numpy(dtype=np.float64, na_value=-np.inf)
         levels = [(statistics(q, s), statistics(x, s)) for s in SEGMENTS] if np.isfinite(floor).any() else []
         slack = 1e-9 * (1 + np.linalg.norm(q, axis=1) * np.linalg.norm(x, axis=1).max())
@@ -88,12 +88,13 @@ def search_slice(queries: pd.DataFrame, vectors: pd.DataFrame, k: int) -> pd.Dat
             i, j, score = i[order], j[order], score[order]
             rank = np.arange(len(i)) - np.searchsorted(i, i)
             top = rank < k
-            found.append(pd.DataFrame({"query_id": q_ids[rows][i[top]], "vec_id": x_ids[j[top]], "score": score[top]}))
-    return pd.concat(found) if found else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "score")})
+            asking = i[top]
+            found.append(pd.DataFrame({"query_id": q_ids[rows][asking], "key": keys[rows][asking], "vec_id": x_ids[j[top]], "score": score[top]}))
+    return pd.concat(found) if found else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "key", "vec_id", "score")})
 
 
 def _best(scored: DataFrame, k: int) -> DataFrame:
-    rank = F.expr("row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)")
+    rank = F.expr("row_number() OVER (PARTITION BY query_id, key ORDER BY score DESC, vec_id)")
     return scored.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k)
 
 
@@ -103,10 +104,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     ``vectors`` has vec_id and ints (see ``integer_vectors``); ``is_query`` chooses the queries
     among its rows, whose own id is no candidate. Ties go to the smaller id, equal ids of
     other vectors are candidates each; vectors of another length than the query's are none.
+    Equal rows (id and vector) ask once, unlike vectors of one id are queries of their own.
     Queries without candidates give no rows. Scores beyond 64 bits stop at the type's ends.
     """
     vectors = checkpointed(vectors)
-    n, asked = vectors.count(), vectors.where(is_query)
+    n, asked = vectors.count(), vectors.where(is_query).select("vec_id", "ints").dropDuplicates()
+    asked = asked.withColumn("key", F.xxhash64("vec_id", "ints"))
     slices, blocks = max(1, -(-n // SLICE)), max(1, -(-asked.count() // BLOCK))
     dealt = lambda seed, parts: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(parts)).cast("int")
     sliced, blocked = vectors.withColumn("slice", dealt(1, slices)), asked.withColumn("block", dealt(2, blocks))
@@ -128,8 +131,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     begun = _best(search(none, sliced.where("slice = 0"), 0, 0), k)
     if slices > 1:
         begun = checkpointed(begun)
-        floors = begun.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("threshold"))
-        floored = blocked.join(floors, "vec_id", "left")
+        floors = begun.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), "key", F.col("score").alias("threshold"))
+        floored = blocked.join(floors, ["vec_id", "key"], "left")
         rest = search(floored, sliced.where("slice > 0"), 1, slices - 1)
-        begun = _best(begun.select("query_id", "vec_id", "score").union(rest), k)
+        begun = _best(begun.select("query_id", "key", "vec_id", "score").union(rest), k)
     return begun.select("query_id", "rank", "vec_id", "score")

@@ -168,6 +168,17 @@ def test_top_k(spark, monkeypatch):
     assert topk.top_k(topk.integer_vectors(df.limit(0)), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_repeated_queries_ask_once(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SLICE", 16)
+    rows = [(i, [float(i), 1.0]) for i in range(1, 60)] + [(100, [1.0, 0.0])] * 3 + [(200, [-1.0, 0.0]), (200, [1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, ints array<double>")
+    got = topk.top_k(df, F.col("vec_id") >= 100, 4).collect()
+    best = [(k, 60 - k, 60 - k) for k in (1, 2, 3, 4)]
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == 100) == best
+    other = [(1, 1, -1), (1, 59, 59), (2, 58, 58), (2, 100, -1), (3, 57, 57), (3, 100, -1), (4, 56, 56), (4, 100, -1)]
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == 200) == other
+
+
 # ---- mixing ----
 
 
