@@ -1,4 +1,4 @@
-"""Connected components of an edge table by alternating star operations on DataFrames."""
+"""Connected components of an edge table by repeated contraction, as joins and aggregates on DataFrames."""
 
 from __future__ import annotations
 
@@ -8,27 +8,37 @@ from pyspark.sql import functions as F
 from .common import checkpointed
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, label) for every end of ``edges`` (a bigint, b bigint): label is the smallest node reachable.
+def component_roots(edges: DataFrame) -> DataFrame:
+    """(node, root) for every end of ``edges`` (a bigint, b bigint): root is one node of the component, the same for all.
 
-    Large-star points the larger neighbours of each node at its smallest one, small-star
-    points the smaller ones there; repeated, every component becomes a star on its smallest
-    node after a number of rounds that grows with the logarithm of its size. Each round is
-    checkpointed. Loops and null ends are left out; no edges give no rows.
+    In a round every node points at the first of itself and its neighbours in a hashed
+    order, and every edge is replaced by that between the nodes its ends point at; loops and
+    repeats go. So the edges shrink by a factor that does not depend on the order of ids, and
+    after a number of rounds that grows with the logarithm of the largest component none is
+    left. A node with many neighbours is a key of partial aggregates and of joins whose other
+    side has one row for each node, which adaptive execution splits. Loops and null ends are
+    left out; no edges give no rows.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges, before = checkpointed(edges), None
-    while True:
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before or state[0] == 0:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
-                edges.select("b", "b").distinct()
-            )
-        before = state
-        both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = small.union(least.select("a", "m")).distinct()
-        edges = checkpointed(small)
+    edges, roots = checkpointed(edges), None
+    while roots is None or not edges.isEmpty():
+        first = F.min(F.struct(F.xxhash64("b").alias("order"), "b"))
+        ends = edges.union(edges.select("b", "a"))
+        points = ends.groupBy("a").agg(first.alias("near"))
+        itself = F.struct(F.xxhash64("a").alias("order"), F.col("a").alias("b"))
+        points = checkpointed(points.select(F.col("a").alias("node"), F.least("near", itself)["b"].alias("to")))
+        if roots is None:
+            roots = points.withColumnRenamed("to", "root")
+        else:
+            moved = points.select(F.col("node").alias("root"), "to")
+            roots = roots.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+        left, right = points.select(F.col("node").alias("a"), F.col("to").alias("x")), points.select(F.col("node").alias("b"), F.col("to").alias("y"))
+        edges = edges.join(left, "a").join(right, "b").where("x <> y")
+        edges = checkpointed(edges.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
+    return checkpointed(roots)
+
+
+def connected_components(edges: DataFrame) -> DataFrame:
+    """(node, label) for every end of ``edges``: label is the smallest node reachable."""
+    roots = component_roots(edges)
+    return roots.join(roots.groupBy("root").agg(F.min("node").alias("label")), "root").select("node", "label")

@@ -1,16 +1,19 @@
 """N-gram Jaccard join (operator 7): parity sketches, a pigeonhole join per size band, exact checks.
 
-1. Every text becomes its set of shingles (64-bit hashes). Equal sets are one class; one
-   document stands for it.
+1. Every text becomes its set of shingles (64-bit hashes). A set is named by 64 bits of a
+   digest, so rows with one set are one class from the start, and has a narrow parity sketch.
 2. If two sets are similar enough, their symmetric difference is at most ``d`` for the size
    band of the smaller one. A sketch has somewhat more than d + 1 blocks of parity bits; a
    shingle flips one bit, so what sets share cancels and a block must be equal. Equal blocks are
-   found by a shuffle on (band, block, value), where members of a bucket link to its first.
-3. The components of these candidates are cut into chunks of bounded size, and every two
-   chunks meet in a tile. There the Hamming distance of wider sketches, a lower bound of the
-   symmetric difference, drops most pairs, the others are intersected exactly. A tile gives
-   links that connect what belongs together, not all pairs.
-4. The components of the links are the groups.
+   found by a shuffle on (band, block, value), where members of a bucket link to its first;
+   each task links its own members before, so that a bucket gets few rows from each.
+3. Of these links, one for each set (that of most common blocks whose narrow sketches allow it) is
+   checked on the sets themselves. Most of what belongs together is joined by that.
+4. Buckets that still hold several components (one for each set of members) are compared, across
+   components only: the Hamming distance of the narrow sketches, a lower bound of the symmetric
+   difference, drops nearly all pairs. What is left is passed on by the first bucket it stands
+   in and checked on the sets.
+5. The components of the checked links are the groups.
 """
 
 from __future__ import annotations
@@ -24,16 +27,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE_WORD, ascii_lower, checkpointed, hidden, text_of
-from .components import connected_components
+from .components import component_roots
 
-#: A chunk of a candidate component: so many documents, and so many shingles, on the average.
-CHUNK_DOCS, CHUNK_SHINGLES = 256, 1_000_000
-#: So often large candidate components are split by other hashes, at most.
-ROUNDS = 4
-#: At most so many ids (some 60 bytes each) are broadcast; more are joined by a shuffle.
-MAX_BROADCAST_IDS = 400_000
-#: Arrow batches that our functions give hold about so many shingles.
-OUT_SHINGLES = 1_000_000
+#: Members of a bucket that are compared in one task at most, and partners of a set that are checked in one.
+TILE_MEMBERS, HUB_PAIRS = 4096, 256
+#: At most so many rows (some 60 bytes each) that name documents are broadcast; more are joined by a shuffle.
+MAX_BROADCAST_IDS = 200_000
+#: Arrow batches that our functions give hold about so many shingles; block keys of so many are linked within a task.
+OUT_SHINGLES, HELD_KEYS = 1_000_000, 4_000_000
+#: Pairs whose sketches are compared at a time, and how many of its buckets a set knows, to leave a pair to an earlier one.
+HELD_PAIRS, FIRST_KEYS = 500_000, 6
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -79,11 +82,15 @@ class Bands:
         return [k for k in ([own - 1, own] if below else [own]) if self.limits[k]]
 
 
-def parity(shingles: np.ndarray, blocks: int) -> np.ndarray:
-    """Sketch of 64 * blocks bits, as an unsigned number for each block."""
-    at = (shingles >> np.uint64(24)) % np.uint64(blocks) * np.uint64(64) + (shingles & np.uint64(63))
-    bits = (np.bincount(at.astype(np.int64), minlength=64 * blocks) & 1).astype(np.uint8)
-    return np.packbits(bits).view(np.uint64)
+def sketch(shingles: np.ndarray, bands: Bands) -> bytes:
+    """Parity sketch of one set, of at least four bits for each shingle that may differ.
+
+    Its length is a power of two, so that a longer one is folded to a shorter one by XOR.
+    """
+    n = len(shingles)
+    bits = 1 << max(6, (4 * bands.limit(n, n * bands.den // bands.num)).bit_length())
+    at = (_mix(shingles) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
 def _sparse_blocks(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -100,8 +107,8 @@ def _sparse_blocks(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return value
 
 
-def block_keys(shingles: np.ndarray, bands: Bands, seed: int = 0, part: int = 0) -> np.ndarray:
-    """A number for each (part, band, block, value) of one set that another set may meet.
+def block_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
+    """A number for each (band, block, value) of one set that another set may meet.
 
     There are a quarter more blocks than d + 1, and a set uses those that hold most of its
     shingles, all of at least some count, d + 1 at least. One of these is untouched by a
@@ -110,15 +117,14 @@ def block_keys(shingles: np.ndarray, bands: Bands, seed: int = 0, part: int = 0)
     left out and no link is lost.
     """
     found = [np.empty(0, np.uint64)]
-    hashes = _mix(shingles + np.uint64(seed)) if seed else shingles
     for k in bands.of(len(shingles)):
         need = bands.limits[k] + 1
         blocks = need + need // 4 + 1
-        counts = np.bincount(((hashes >> np.uint64(24)) % np.uint64(blocks)).astype(np.int64), minlength=blocks)
+        counts = np.bincount(((shingles >> np.uint64(24)) % np.uint64(blocks)).astype(np.int64), minlength=blocks)
         used = np.flatnonzero(counts >= np.partition(counts, blocks - need)[blocks - need])
-        value = _sparse_blocks(hashes, counts)[used]
+        value = _sparse_blocks(shingles, counts)[used]
         place = used.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1)
-        found.append(_mix(_mix(_mix(value) + place) + np.uint64(part % 2**64)))
+        found.append(_mix(_mix(value) + place))
     return np.concatenate(found)
 
 
@@ -150,43 +156,40 @@ def _batches(rows: Iterator[tuple], width: int) -> Iterator[pa.RecordBatch]:
         yield batch()
 
 
-class Links:
-    """Disjoint sets of the rows of a tile."""
-
-    def __init__(self, n: int):
-        self.to = list(range(n))
-
-    def top(self, x: int) -> int:
-        while self.to[x] != x:
-            self.to[x] = x = self.to[self.to[x]]
-        return x
-
-
-def tile_links(sets: list[np.ndarray], sides: np.ndarray, same_chunk: bool, bands: Bands) -> list[tuple[int, int]]:
-    """Pairs of rows that are similar enough; enough of them to connect all that such pairs connect."""
-    n, sizes = len(sets), np.array([len(s) for s in sets])
-    blocks = 1 << max(3, min(10, int(sizes.max() * 4).bit_length() - 6))
-    sketches = np.stack([parity(s, blocks) for s in sets])
-    joined, found = Links(n), []
-    scale, part = bands.den + bands.num, bands.den - bands.num
-    for r in range(n - 1):
-        others = np.arange(r + 1, n)
-        if not same_chunk:
-            others = others[sides[others] != sides[r]]
-        both = sizes[others] + sizes[r]
-        near = np.bitwise_count(sketches[others] ^ sketches[r]).sum(axis=1, dtype=np.int64) * scale <= both * part
-        others = [c for c in others[near].tolist() if joined.top(c) != joined.top(r)]
-        if not others:
-            continue
-        merged = np.concatenate([sets[c] for c in others])
-        at = np.minimum(np.searchsorted(sets[r], merged), sizes[r] - 1)
-        starts = np.concatenate([[0], np.cumsum([len(sets[c]) for c in others])[:-1]])
-        shared = np.add.reduceat((sets[r][at] == merged).astype(np.int64), starts)
-        for c, i in zip(others, shared.tolist(), strict=True):
-            if i * bands.den >= (sizes[c] + sizes[r] - i) * bands.num and joined.top(c) != joined.top(r):
-                joined.to[joined.top(c)] = joined.top(r)
-                found.append((r, c))
-    return found
+class Sketches:
+    """A column of narrow sketches, and the sizes of their sets."""
+
+    def __init__(self, sizes: pa.Array, column: pa.Array):
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+        self.starts, self.widths = ends[:-1], np.diff(ends)
+        self.data, self.sizes = np.frombuffer(column.buffers()[2] or b"", np.uint8), sizes.to_numpy()
+
+    def rows(self, at: np.ndarray, width: int, to: int) -> np.ndarray:
+        """Sketches of ``width`` bytes, folded to ``to`` bytes, as 64-bit numbers."""
+        x = self.data[self.starts[at][:, None] + np.arange(width)].view(np.uint64)
+        return np.bitwise_xor.reduce(x.reshape(len(at), width // to, to // 8), axis=1)
+
+
+def may_link(one: Sketches, i: np.ndarray, other: Sketches, j: np.ndarray, bands: Bands) -> np.ndarray:
+    """Whether the rows i of ``one`` and j of ``other`` can be similar enough, by their sizes and sketches."""
+    n, m = one.sizes[i], other.sizes[j]
+    good = np.minimum(n, m) * bands.den >= np.maximum(n, m) * bands.num
+    most = (n + m) * (bands.den - bands.num) // (bands.den + bands.num)
+    widths = one.widths[i] * 2**32 + other.widths[j]
+    for both in np.unique(widths[good]).tolist():
+        w, v = divmod(both, 2**32)
+        chosen, step = np.flatnonzero(good & (widths == both)), max(1, (1 << 24) // max(w, v))
+        for k in range(0, len(chosen), step):
+            c = chosen[k : k + step]
+            x, y = one.rows(i[c], w, min(w, v)), other.rows(j[c], v, min(w, v))
+            good[c] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= most[c]
+    return good
+
+
+def similar(a: np.ndarray, b: np.ndarray, bands: Bands) -> bool:
+    """Whether the Jaccard similarity of two sorted sets is num / den at least."""
+    both = int(np.count_nonzero(a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b))
+    return both * bands.den >= (len(a) + len(b) - both) * bands.num
 
 
 def _word_hashes(docs: DataFrame) -> Column:
@@ -194,152 +197,244 @@ def _word_hashes(docs: DataFrame) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs``.
+def _name(shingles: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
-    Words are runs of anything but ASCII white space, A-Z lower-cased; the set of a text is
-    that of its ``size``-word shingles (one shorter, if it has fewer words). Documents link
-    when their sets' Jaccard similarity is num / den at least; component_id is the smallest
-    doc_id that links reach. A null, empty or blank text has no shingles and no links, its
-    component is itself. Rows with one doc_id are one document; a row without doc_id links
-    with nothing and has a null component. Other columns are not used.
-    """
-    bands = Bands(num, den)
 
-    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _named(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
+    """Of every row: doc_id, text (its hash), n, node (the name of its set) and sketch, these null for an empty set."""
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(words, size) for words in _lists(batch.column(2))]
+            found = [pa.array([len(s) for s in sets], pa.int64())]
+            found += [pa.array([f(s) if len(s) else None for s in sets], t) for f, t in ((_name, pa.int64()), (lambda s: sketch(s, bands), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found], ["doc_id", "text", "n", "node", "sketch"])
+
+    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.xxhash64(text_of(docs)).alias("text"), _word_hashes(docs).alias("words"))
+    return checkpointed(rows.mapInArrow(named, "doc_id bigint, text bigint, n bigint, node bigint, sketch binary"))
+
+
+def _members(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
+    """(key, node): the sets of each bucket of two or more."""
+
+    def linked(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+        """The first member of each key (b is null), and the others with that one."""
+        order = np.lexsort((nodes, keys))
+        keys, nodes = keys[order], nodes[order]
+        new = np.r_[True, (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])]
+        keys, nodes = keys[new], nodes[new]
+        first = np.r_[True, keys[1:] != keys[:-1]]
+        before = nodes[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes), pa.array(before, mask=first)], ["key", "a", "b"])
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, nodes, n = [], [], 0
+        for batch in batches:
+            for words in _lists(batch.column(0)):
+                s = shingle_set(words, size)
+                own = block_keys(s, bands).view(np.int64)
+                keys.append(own)
+                nodes.append(np.full(len(own), _name(s), np.int64))
+                n += len(own)
+                if n >= HELD_KEYS:
+                    yield linked(np.concatenate(keys), np.concatenate(nodes))
+                    keys, nodes, n = [], [], 0
+        if n:
+            yield linked(np.concatenate(keys), np.concatenate(nodes))
+
+    own = docs.where(docs["doc_id"].isNotNull()).select(_word_hashes(docs).alias("words"))
+    # What a task has linked goes anywhere; its first members meet those of other tasks.
+    found = own.mapInArrow(blocks, "key bigint, a bigint, b bigint")
+    found = found.withColumn("place", F.when(F.col("b").isNull(), F.lit(0)).otherwise(F.xxhash64("a")))
+    first = F.min("a").over(Window.partitionBy("key", "place"))
+    found = found.select("key", "a", F.coalesce("b", first).alias("b")).where("a <> b")
+    return checkpointed(found.select("key", F.explode(F.array("a", "b")).alias("node")).distinct())
+
+
+def _likely(members: DataFrame, classes: DataFrame, bands: Bands) -> DataFrame:
+    """(a, b): for each set that first member of its buckets with most of them among those that the sketches allow."""
+
+    def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(words, size) for words in _lists(batch.column(1))]
-            prints = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(prints, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "print"])
-
-    hashed = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), _word_hashes(docs).alias("words"))
-    rows = checkpointed(hashed.mapInArrow(classes, "doc_id bigint, n bigint, print binary"))
-    texts = rows.where("n > 0 AND doc_id IS NOT NULL")
-    reps = checkpointed(texts.groupBy("print").agg(F.min("doc_id").alias("rep")))
-    copies = checkpointed(texts.select("doc_id").distinct().join(reps, F.col("doc_id") == F.col("rep"), "left_anti"))
-    if copies.count() <= MAX_BROADCAST_IDS:
-        copies = F.broadcast(copies)
-    # The texts are hashed again here: that costs less than to keep the keys of all texts on disk.
-    single = docs.where(F.col("doc_id").isNotNull()).join(copies, docs["doc_id"].cast("bigint") == copies["doc_id"], "left_anti")
-    own = single.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text"), F.lit(0).cast("bigint").alias("part"))
-    groups = connected_components(_stars(own, size, bands, 0))
-    sizes = rows.groupBy("doc_id").agg(F.sum("n").alias("n"))
-    links = _verified(docs, _refined(docs, groups, sizes, size, bands), sizes, size, bands)
-
-    named = texts.select("doc_id", "print").join(reps.select("print", "rep"), "print").select("doc_id", "rep")
-    twice = named.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("a")).where("a <> b")
-    twice = named.join(twice.select("doc_id", "b"), "doc_id").select(F.col("rep").alias("a"), "b")
-    groups = connected_components(links.union(twice))
-    reps = reps.select("print", "rep").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    reps = reps.select("print", F.coalesce("label", "rep").alias("component_id"))
-    found = rows.select("doc_id", "n", "print").join(reps, "print", "left")
-    own = F.when(F.col("n") > 0, F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component_id")), F.col("doc_id")))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), own.otherwise(F.col("doc_id")).alias("component_id"))
-
-
-def _stars(texts: DataFrame, size: int, bands: Bands, seed: int) -> DataFrame:
-    """(a, b): each document of a bucket and the bucket's first one; of (doc_id, text, part), buckets lie within parts."""
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            all_rows = np.arange(batch.num_rows)
+            one, other = Sketches(batch.column(3), batch.column(4)), Sketches(batch.column(5), batch.column(6))
+            yield batch.select([0, 1, 2]).filter(pa.array(may_link(one, all_rows, other, all_rows, bands)))
+
+    first = checkpointed(members.groupBy("key").agg(F.min("node").alias("b")))
+    pairs = members.join(first, "key").where("node <> b").groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("blocks"))
+    ends = [classes.select(F.col("node").alias(e), F.col("n").alias(f"n_{e}"), F.col("sketch").alias(f"sketch_{e}")) for e in "ab"]
+    pairs = pairs.join(ends[0], "a").join(ends[1], "b").select("a", "b", "blocks", "n_a", "sketch_a", "n_b", "sketch_b")
+    pairs = pairs.mapInArrow(allowed, "a bigint, b bigint, blocks bigint")
+    best = pairs.groupBy("a").agg(F.max(F.struct("blocks", "b")).alias("best"))
+    return checkpointed(best.select("a", F.col("best")["b"].alias("b")))
+
+
+def _across(members: DataFrame, groups: DataFrame, classes: DataFrame, bands: Bands) -> DataFrame:
+    """(a, b): pairs of a bucket that lie in different components so far and that the sketches allow."""
+    members = members.join(groups.withColumnRenamed("root", "label"), "node", "left")
+    members = checkpointed(members.select("key", "node", F.coalesce("label", "node").alias("label")))
+    name = [F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"name_{k}") for k in (1, 2)]
+    counted = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("rows"), *name).groupBy("key")
+    mixed = counted.agg(
+        F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("labels"), F.max(F.struct("rows", "label")).alias("most"),
+        F.bit_xor("name_1").alias("name_1"), F.bit_xor("name_2").alias("name_2"),
+    ).where("labels > 1")
+    # Buckets of the same members are compared once.
+    mixed = mixed.groupBy("rows", "name_1", "name_2").agg(F.min(F.struct("key", "most")).alias("one")).select("rows", "one.key", "one.most")
+    # A bucket of more members than a tile has is cut: its largest component into chunks that meet
+    # chunks of the other members, which meet each other as well.
+    cut = lambda n: F.when(F.col("rows") <= TILE_MEMBERS, 1).otherwise(F.ceil(2 * n / TILE_MEMBERS)).cast("int")
+    mixed = mixed.select("key", F.col("rows") <= TILE_MEMBERS, F.col("most")["label"], cut(F.col("most")["rows"]), cut(F.col("rows") - F.col("most")["rows"]))
+    mixed = checkpointed(mixed.toDF("key", "whole", "main", "mains", "others"))
+    members = checkpointed(members.join(mixed, "key"))
+    firsts = members.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("key")), 1, FIRST_KEYS).alias("firsts"))
+    rows = members.join(classes.select("node", "n", "sketch").join(firsts, "node"), "node")
+    is_main, chunk = F.col("label") == F.col("main"), lambda parts: F.pmod(F.xxhash64("node"), F.col(parts)).cast("int")
+    upto = lambda parts: F.sequence(F.lit(0), F.col(parts) - 1)
+    pair = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+    with_others = F.transform(upto("others"), lambda o: pair(F.least(o, chunk("others")), F.greatest(o, chunk("others"))))
+    with_mains = F.transform(upto("mains"), lambda m: pair(chunk("others"), F.col("others") + m))
+    of_main = F.transform(upto("others"), lambda o: pair(o, F.col("others") + chunk("mains")))
+    tiles = F.when(F.col("whole"), F.array(pair(F.lit(0), F.lit(0)))).when(is_main, of_main).otherwise(F.concat(with_others, with_mains))
+    tiled = rows.select("key", F.explode(tiles).alias("tile"), "node", "label", "n", "sketch", "firsts")
+    tiled = tiled.select("key", "tile.i", "tile.j", "node", "label", "n", "sketch", "firsts")
+    tiled = tiled.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
         for batch in batches:
-            ids, parts, held, at, n = batch.column(0).to_numpy(), batch.column(1).to_pylist(), [], 0, 0
-            for k, words in enumerate(_lists(batch.column(2))):
-                held.append(block_keys(shingle_set(words, size), bands, seed, parts[k]).view(np.int64))
+            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            tile = _tile_numbers(table)
+            done = int(np.searchsorted(tile, tile[-1]))
+            rest = table.slice(done)
+            yield from pairs_across(table.slice(0, done), tile[:done], bands)
+        if rest is not None:
+            yield from pairs_across(rest, _tile_numbers(rest), bands)
+
+    return checkpointed(tiled.mapInArrow(compared, "a bigint, b bigint").distinct())
+
+
+def _tile_numbers(table: pa.Table) -> np.ndarray:
+    """A number for each row, which rises by one where another tile begins."""
+    names = [table.column(c).to_numpy() for c in ("key", "i", "j")]
+    return np.cumsum(np.r_[0, np.logical_or.reduce([x[1:] != x[:-1] for x in names])])
+
+
+def pairs_across(table: pa.Table, tile: np.ndarray, bands: Bands) -> Iterator[pa.RecordBatch]:
+    """Pairs of rows of one tile and of different labels that the sketches allow, but those that surely share an earlier bucket."""
+    if not table.num_rows:
+        return
+    key, node, label = (table.column(c).to_numpy() for c in ("key", "node", "label"))
+    one = Sketches(table.column("n").combine_chunks(), table.column("sketch").combine_chunks())
+    firsts = np.full((len(node), FIRST_KEYS), np.iinfo(np.int64).max)
+    for k, own in enumerate(_lists(table.column("firsts").combine_chunks())):
+        firsts[k, : len(own)] = own
+    held, n = [], 0
+
+    def allowed() -> pa.RecordBatch:
+        i, j = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+        good = may_link(one, i, one, j, bands)
+        i, j = i[good], j[good]
+        shared = (firsts[i][:, :, None] == firsts[j][:, None, :]).any(axis=2) & (firsts[i] < key[i][:, None])
+        late = shared.any(axis=1)
+        i, j = node[i[~late]], node[j[~late]]
+        both = np.unique(np.stack([np.maximum(i, j), np.minimum(i, j)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+
+    for far in range(1, table.num_rows):
+        same = tile[far:] == tile[:-far]
+        if not same.any():
+            break
+        i = np.flatnonzero(same & (label[far:] != label[:-far]))
+        held.append((i, i + far))
+        n += len(i)
+        if n >= HELD_PAIRS:
+            yield allowed()
+            held, n = [], 0
+    if n:
+        yield allowed()
+
+
+def _checked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int, bands: Bands) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose sets are similar enough; b's set goes to its partners, in parts if these are many."""
+    many = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / HUB_PAIRS).cast("int").alias("parts")).where("parts > 1")
+    dealt = pairs.join(many, "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
+    wanted = dealt.select("b", "part", F.lit(1).alias("place"), F.col("a").alias("node"))
+    wanted = wanted.union(dealt.select("b", "part", F.lit(0), "b").distinct()).join(classes.select("node", "doc_id", "text"), "node")
+    wanted = checkpointed(wanted.select(F.col("doc_id").alias("at_id"), F.col("text").alias("at_text"), "b", "part", "place", "node"))
+    if wanted.count() <= MAX_BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text"))
+    texts = texts.join(wanted, (F.col("doc_id") == F.col("at_id")) & (F.xxhash64("text") == F.col("at_text")))
+    texts = texts.select("b", "part", "place", "node", _word_hashes(texts).alias("words"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, at, n = [], 0, 0
+            for k, words in enumerate(_lists(batch.column(4))):
+                held.append(shingle_set(words, size))
                 n += len(held[-1])
-                if k + 1 == len(ids) or n >= OUT_SHINGLES:
-                    nodes = np.repeat(ids[at : k + 1], [len(h) for h in held])
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(np.concatenate(held))], ["a", "key"])
+                if k + 1 == batch.num_rows or n >= OUT_SHINGLES:
+                    plain = batch.select([0, 1, 2, 3]).slice(at, k + 1 - at)
+                    yield pa.RecordBatch.from_arrays([*plain.columns, _as_lists(held)], ["b", "part", "place", "node", "shingles"])
                     held, at, n = [], k + 1, 0
 
-    hashed = texts.select("doc_id", "part", _word_hashes(texts).alias("words"))
-    first = F.expr("min(a) OVER (PARTITION BY key)")
-    return hashed.mapInArrow(keys, "a bigint, key bigint").select("a", first.alias("b")).where("a <> b")
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, own = None, np.empty(0, np.uint64)
+        for batch in batches:
+            found = []
+            hubs, places, nodes = (batch.column(c).to_numpy() for c in (0, 2, 3))
+            for k, s in enumerate(_lists(batch.column(4))):
+                if not places[k]:
+                    hub, own = hubs[k], s.view(np.uint64).copy()
+                elif hub == hubs[k] and similar(own, s.view(np.uint64), bands):
+                    found.append((nodes[k], hub))
+            yield pa.RecordBatch.from_arrays([pa.array([f[e] for f in found], pa.int64()) for e in (0, 1)], ["a", "b"])
 
+    kept = texts.mapInArrow(sets, "b bigint, part int, place int, node bigint, shingles array<bigint>")
+    kept = kept.repartition("b", "part").sortWithinPartitions("b", "part", "place")
+    return kept.mapInArrow(check, "a bigint, b bigint")
 
-def _chunks(groups: DataFrame, sizes: DataFrame) -> DataFrame:
-    """label and its number of chunks."""
-    sized = groups.join(sizes.withColumnRenamed("doc_id", "node"), "node")
-    chunks = F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK_DOCS, F.sum("n") / CHUNK_SHINGLES)).cast("int")
-    return sized.groupBy("label").agg(chunks.alias("chunks"))
 
+def _grouped(docs: DataFrame, named: DataFrame, size: int, bands: Bands, by_id: bool) -> DataFrame:
+    """node, doc_id, text, root of every set: where its first document is, and the group's name.
 
-def _texts_of(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """doc_id, text and the other columns of ``members`` for the documents in it."""
-    members = checkpointed(members)
-    if members.count() <= MAX_BROADCAST_IDS:
-        members = F.broadcast(members)
-    return docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text")).join(members, "doc_id")
+    ``by_id``: unlike sets of one doc_id are linked, too.
+    """
+    at = F.min(F.struct("doc_id", "text", "n", "sketch")).alias("at")
+    classes = named.where("n > 0 AND doc_id IS NOT NULL").groupBy("node").agg(at)
+    classes = checkpointed(classes.select("node", "at.*"))
+    members = _members(docs, size, bands)
+    links = checkpointed(_checked(docs, _likely(members, classes, bands), classes, size, bands))
+    groups = component_roots(links)
+    links = links.union(_checked(docs, _across(members, groups, classes, bands), classes, size, bands))
+    if by_id:
+        ids = named.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("last"))
+        ids = checkpointed(ids.where("b <> last").select("doc_id", "b"))
+        links = links.union(named.where("n > 0").join(ids, "doc_id").select(F.col("node").alias("a"), "b"))
+    roots = component_roots(links)
+    return classes.join(roots, "node", "left").select("node", "doc_id", "text", F.coalesce("root", "node").alias("root"))
 
 
-def _refined(docs: DataFrame, groups: DataFrame, sizes: DataFrame, size: int, bands: Bands) -> DataFrame:
-    """Candidate components of which those of more than one chunk are split by blocks of other hashes.
+def near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs``.
 
-    Linked sets meet in the blocks of every hash, unlike ones hardly twice. It ends when the
-    large components hardly shrink any more.
+    Words are runs of anything but ASCII white space, A-Z lower-cased; the set of a text is
+    that of its ``size``-word shingles (one shorter, if it has fewer words). Documents link
+    when their sets' Jaccard similarity is num / den at least; component_id is the smallest
+    doc_id that links reach. A null, empty or blank text has no shingles and no links, its
+    component is itself. Rows with one doc_id are one document; a row without doc_id links
+    with nothing and has a null component. Other columns are not used.
     """
-    before = None
-    for seed in range(1, ROUNDS + 1):
-        large = groups.join(_chunks(groups, sizes).where("chunks > 1"), "label")
-        large = checkpointed(large.select(F.col("node").alias("doc_id"), F.col("label").alias("part")))
-        n = large.count()
-        if not n or before is not None and n > 0.9 * before:
-            break
-        before = n
-        rest = groups.join(large.select(F.col("part").alias("label")).distinct(), "label", "left_anti").select("node", "label")
-        split = connected_components(_stars(_texts_of(docs, large), size, bands, seed))
-        groups = checkpointed(rest.union(split))
-    return groups
-
-
-def _verified(docs: DataFrame, candidates: DataFrame, sizes: DataFrame, size: int, bands: Bands) -> DataFrame:
-    """Links (a, b) that connect the documents of each candidate component as exact similarity does."""
-    chunks = _chunks(candidates, sizes)
-    members = candidates.join(chunks, "label").select(F.col("node").alias("doc_id"), F.col("label").alias("part"), "chunks")
-    chosen = _texts_of(docs, members)
-    chosen = chosen.select(
-        "doc_id", "part", "chunks",
-        F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int").alias("chunk"), _word_hashes(chosen).alias("words"),
-    )
-
-    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def each() -> Iterator[tuple]:
-            for batch in batches:
-                plain = [batch.column(i).to_pylist() for i in range(4)]
-                for doc_id, part, chunks, chunk, words in zip(*plain, _lists(batch.column(4)), strict=True):
-                    s = shingle_set(words, size)
-                    for other in range(chunks):
-                        yield part, min(chunk, other), max(chunk, other), chunk, doc_id, s
-
-        for out in _batches(each(), 6):
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [c.cast(t) for c, t in zip(out.columns, kinds, strict=True)], ["part", "i", "j", "chunk", "doc_id", "shingles"]
-            )
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def links(key: tuple, held: list[tuple]) -> pa.RecordBatch:
-            ids = [h[1] for h in held]
-            pairs = tile_links([h[2] for h in held], np.array([h[0] for h in held]), key[1] == key[2], bands)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([ids[p[k]] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"]
-            )
-
-        now, held = None, []
-        for batch in batches:
-            plain = [batch.column(i).to_pylist() for i in range(5)]
-            for part, i, j, chunk, doc_id, s in zip(*plain, _lists(batch.column(5)), strict=True):
-                if now != (part, i, j):
-                    if len(held) > 1:
-                        yield links(now, held)
-                    now, held = (part, i, j), []
-                held.append((chunk, doc_id, s.view(np.uint64).copy()))
-        if len(held) > 1:
-            yield links(now, held)
-
-    tiled = chosen.mapInArrow(tiles, "part bigint, i int, j int, chunk int, doc_id bigint, shingles array<bigint>")
-    tiled = tiled.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j")
-    return tiled.mapInArrow(compare, "a bigint, b bigint")
+    bands = Bands(num, den)
+    named = _named(docs, size, bands)
+    groups = checkpointed(_grouped(docs, named, size, bands, by_id=True))
+    first = checkpointed(groups.groupBy("root").agg(F.min("doc_id").alias("component_id")))
+    groups = checkpointed(groups.join(first, "root").select("node", "component_id"))
+    found = named.select("doc_id", "n", "node").join(groups, "node", "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
@@ -356,7 +451,7 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int
     if not ids.isEmpty():
         twice = kept.join(ids.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
         once = kept.join(ids.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-        kept = once.union(_one_each(twice, "doc_id", docs.columns).select(*docs.columns))
+        kept = once.union(_one_each(twice, ["doc_id"], docs.columns).select(*docs.columns))
     return kept
 
 
@@ -367,32 +462,29 @@ def drop_near_duplicate_texts(docs: DataFrame, size: int = 5, num: int = 8, den:
     that stays is that of the smallest doc_id; rows without doc_id or without words stay; of
     rows with equal doc_id and text one stays, the same in every run.
     """
-    own = hidden(docs, "node", "unlike")
-    node = own["node"]
-    ids = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64(text_of(docs)).alias("text"))
-    ids = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), (F.min("text") != F.max("text")).alias(own["unlike"]))
-    ids = checkpointed(ids.where("rows > 1").drop("rows"))
-    if ids.isEmpty():
-        return drop_near_duplicates(docs, size, num, den)
-    named = F.when(F.col(own["unlike"]), F.xxhash64("doc_id", text_of(docs))).otherwise(F.col("doc_id").cast("bigint"))
-    # Joined to the ids only: the texts go through no shuffle where these are few.
-    few = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
-    rows = docs.join(few, "doc_id", "left").withColumn(node, named)
-    found = near_duplicates(rows.select(F.col(node).alias("doc_id"), text_of(rows).alias("text")), size, num, den)
-    found = checkpointed(found.where("doc_id IS NOT NULL").select(F.col("doc_id").alias(node), "component_id").distinct())
-    members = found.join(rows.select(node, "doc_id").distinct(), node)
-    first = members.groupBy("component_id").agg(F.min(F.struct("doc_id", node)).alias("first"))
-    gone = members.join(first, "component_id").where(F.col(node) != F.col("first")[node])
-    gone = checkpointed(gone.select(node).distinct())
-    if gone.count() <= MAX_BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    kept = rows.join(gone, node, "left_anti")
-    once = kept.where(F.col(own["unlike"]).isNull()).select(*docs.columns)
-    return once.union(_one_each(kept.where(F.col(own["unlike"]).isNotNull()), node, docs.columns).select(*docs.columns))
-
-
-def _one_each(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    bands = Bands(num, den)
+    named = _named(docs, size, bands)
+    groups = checkpointed(_grouped(docs, named, size, bands, by_id=False))
+    first = groups.groupBy("root").agg(F.min(F.struct("doc_id", "text")).alias("first"))
+    first = checkpointed(first.select("root", F.col("first.doc_id").alias("first_id"), F.col("first.text").alias("first_text")))
+    groups = checkpointed(groups.join(first, "root").select("node", "first_id", "first_text"))
+    # A document is a doc_id and a text; of some there are several rows.
+    own = named.where("doc_id IS NOT NULL").groupBy("doc_id", "text", "node").agg(F.count(F.lit(1)).alias("rows"))
+    own = own.join(groups, "node", "left").withColumn("stays", F.expr("node IS NULL OR doc_id = first_id AND text = first_text"))
+    names = hidden(docs, "id", "hash", "stays")
+    own = own.where("NOT stays OR rows > 1").select(*[F.col(c).alias(names[k]) for c, k in (("doc_id", "id"), ("text", "hash"), ("stays", "stays"))])
+    own = checkpointed(own)
+    few = F.broadcast(own) if own.count() <= MAX_BROADCAST_IDS else own
+    rows = docs.join(few, (docs["doc_id"].cast("bigint") == few[names["id"]]) & (F.xxhash64(text_of(docs)) == few[names["hash"]]), "left")
+    once = rows.where(F.col(names["stays"]).isNull()).select(*docs.columns)
+    twice = rows.where(F.col(names["stays"]))
+    if own.where(names["stays"]).isEmpty():
+        return once
+    return once.union(_one_each(twice, [names["id"], names["hash"]], docs.columns).select(*docs.columns))
+
+
+def _one_each(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """One row for each key, chosen by the contents of ``columns``."""
     place = hidden(rows, "place")["place"]
-    order = Window.partitionBy(key).orderBy(F.to_json(F.struct(*columns)))
+    order = Window.partitionBy(*keys).orderBy(F.to_json(F.struct(*columns)))
     return rows.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)

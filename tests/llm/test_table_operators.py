@@ -74,7 +74,9 @@ def near_texts(rng, groups, copies, length):
 
 @pytest.mark.parametrize("size,num,den", [(3, 90, 100), (5, 8, 10), (1, 1, 2)])
 def test_components_of_near_duplicates(spark, size, num, den, monkeypatch):
-    monkeypatch.setattr(near_duplicates, "CHUNK_DOCS", 4)  # so that components are cut into tiles
+    monkeypatch.setattr(near_duplicates, "TILE_MEMBERS", 6)  # so that buckets are cut into tiles
+    monkeypatch.setattr(near_duplicates, "HUB_PAIRS", 2)
+    monkeypatch.setattr(near_duplicates, "HELD_KEYS", 500)
     rng = random.Random(size)
     texts = near_texts(rng, 25, 12, (1, 9)) + near_texts(rng, 12, 25, (20, 160)) + near_texts(rng, 2, 6, (1500, 2500)) + [None, "", " \t ", "x", "X", "x"]
     table = list(enumerate(texts))
