@@ -91,8 +91,8 @@ def format_conversations(turns: DataFrame, pack_chars: int = PACK_CHARS) -> Data
     """Packs (text, nodes, conversations) of the rows (conv_id, turn, role, text).
 
     Turns are sorted by turn, then role and text; a null turn comes first, null roles and
-    texts are empty, repeated rows are turns of their own. Rows with a null conv_id are one
-    conversation. Turns learned from are those whose role is ``assistant``. A conversation
+    texts are empty, repeated rows are turns of their own. A row with a null conv_id is a
+    conversation by itself. Turns learned from are those whose role is ``assistant``. A conversation
     larger than a pack has a pack of its own; other columns are not used.
     """
     rows = turns.select(
@@ -102,7 +102,9 @@ def format_conversations(turns: DataFrame, pack_chars: int = PACK_CHARS) -> Data
     )
     digest = F.md5(F.concat(F.md5("role"), F.md5("text")))
     rows = rows.withColumn("digest", F.unhex(digest))
-    conversations = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "digest"))).alias("turns"))
+    turn = F.struct("turn", "role", "text", "digest")
+    conversations = rows.where("conv_id IS NOT NULL").groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    conversations = conversations.union(rows.where("conv_id IS NULL").select("conv_id", F.array(turn)))
     path = F.aggregate("turns", F.lit("").cast("binary"), lambda p, t: F.concat(p, t["digest"]))
     conversations = conversations.withColumn("path", path)
     # The id as a second key lets one conversation that many rows repeat lie in several ranges.

@@ -20,6 +20,8 @@ WIDTH = 10
 CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: At most so many windows (some 400 bytes each) are broadcast; more are joined by a shuffle.
 MAX_BROADCAST_WINDOWS = 200_000
+#: Rows without hits are kept by so many keys where windows are joined by a shuffle.
+MARKERS = 4096
 #: At most so many 64-character keys of contaminated texts are broadcast.
 MAX_BROADCAST_KEYS = 200_000
 
@@ -72,9 +74,10 @@ def contamination(
         lengths,
         F.lit(None).cast("bigint"),
     )
-    # Each document also carries one leading entry that meets the marker row, so it is kept without hits.
-    marker = docs.sparkSession.range(1).select(
-        F.lit(0).cast("bigint").alias("w_hash"), F.lit(0).alias("w_len"),
+    # Each document also carries one leading entry that meets a marker row, so it is kept without hits.
+    markers = 1 if small else MARKERS
+    marker = docs.sparkSession.range(markers).select(
+        F.col("id").alias("w_hash"), F.lit(0).alias("w_len"),
         F.array().cast("array<string>").alias("w_words"), F.array().cast("array<string>").alias("w_items"),
     )
     build = windows.withColumn("w_hashes", w_hashes).select(hashed.alias("w_hash"), "w_len", "w_words", "w_items")
@@ -87,7 +90,7 @@ def contamination(
         words_of(text_of(docs), ALNUM_WORD).alias("words"),
     )
     words = words.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    parts = [F.array(F.lit(0).cast("bigint")), *[_hashes(F.col("hashes"), n) for n in lengths]]
+    parts = [F.array(F.lit(0).cast("bigint") if small else F.pmod("row", F.lit(markers))), *[_hashes(F.col("hashes"), n) for n in lengths]]
     scanned = words.select(
         "row", "doc_id", "text_key", "words", F.size("words").alias("n_words"), F.concat(*parts).alias("scan")
     )

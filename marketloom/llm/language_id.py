@@ -121,23 +121,23 @@ def sample(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame | None:
 
     They are those of a language with the smallest hashes, all where it has no more; copies
     count once. Rows without a language or a letter are left out. None if there is no such row.
+    Where there are more languages than ``rows``, those with the most texts are learned.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     labelled = labelled.select("lang", "text", F.xxhash64("text").alias("hash"))
     texts = checkpointed(labelled.select("lang", "hash").distinct())
-    counts = {r["lang"]: r["count"] for r in texts.groupBy("lang").count().collect()}  # a row for each language
+    counts = texts.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(rows)
+    counts = {r["lang"]: r["count"] for r in counts.collect()}
     if not counts:
         return None
-    each = max(rows // len(counts), 1)
+    each = rows // len(counts)
     unit = F.pmod("hash", F.lit(1 << 30)) / float(1 << 30)
     # Hashes of distinct texts are even, so these shares hold enough of them, also where each is small.
     share = F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(min((3 * each + 50) / n, 1.0))) for k, n in counts.items()))
     thinned = texts.withColumn("unit", unit).where(F.col("unit") <= share[F.col("lang")])
     place = F.expr("row_number() OVER (PARTITION BY lang ORDER BY unit, hash)")
     chosen = thinned.withColumn("place", place).where(F.col("place") <= each).select("lang", "hash")
-    copy = F.expr("row_number() OVER (PARTITION BY lang, hash ORDER BY text)")
-    found = labelled.join(F.broadcast(chosen), ["lang", "hash"]).withColumn("copy", copy)
-    return found.where(F.col("copy") == 1).select("lang", "text")
+    return labelled.join(F.broadcast(chosen), ["lang", "hash"]).groupBy("lang", "hash").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:

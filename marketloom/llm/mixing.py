@@ -59,7 +59,7 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     size counts the words of the text between white space, null as empty. A null source is
     a source of its own, the last one. Rows without words expect copies like the others of
     their source; a source without words has target 0 and no copies. Rows with equal ids
-    are laid out by id, size and text hash; equal rows are alike. An empty table stays
+    are laid out by id, size and text hash, rows without one by text; equal rows are alike. An empty table stays
     empty. Own columns named like the new ones are replaced.
     """
     n = hidden(docs, "src", "cls", "ord", "hb", "first", "rate", "offset", "text_hash")
@@ -70,7 +70,7 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
         *kept,
         F.regexp_count(text_of(docs), F.lit(SPACE_WORD)).cast("bigint").alias("size"),
         F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias(n["src"]),
-        F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias(n["ord"]),
+        F.md5(F.coalesce(F.col("doc_id").cast("string"), text_of(docs))).alias(n["ord"]),
         F.xxhash64(text_of(docs)).alias(n["text_hash"]),
     ).withColumns({n["cls"]: size_class(F.col("size")), n["hb"]: F.substring(n["ord"], 1, digits)})
     keys = [n["src"], n["cls"], n["hb"]]

@@ -242,10 +242,14 @@ def test_chat_round_trip(spark):
     table = spark.createDataFrame([(*d, 1) for d in data], "conv_id bigint, turn bigint, role string, text string, path int")
     for size in (1, 200, chat.PACK_CHARS):
         packs = chat.format_conversations(table, size)
-        read = {r["conv_id"]: r for r in chat.read_packs(packs).collect()}
+        rows = chat.read_packs(packs).collect()
+        assert sorted(tuple(t) for r in rows if r["conv_id"] is None for t in r["turns"]) == [("assistant", "b"), ("user", "a")]
+        assert sum(r["conv_id"] is None for r in rows) == 2  # a row without an id is a conversation by itself
+        read = {r["conv_id"]: r for r in rows if r["conv_id"] is not None}
         own = {}
         for c, t, r, x in data:
-            own.setdefault(c, []).append(((t is not None, t or 0), r or "", x or ""))
+            if c is not None:
+                own.setdefault(c, []).append(((t is not None, t or 0), r or "", x or ""))
         assert set(read) == set(own)
         for c, turns in own.items():
             turns = [(r, x) for _, r, x in sorted(turns)]
@@ -256,6 +260,8 @@ def test_chat_round_trip(spark):
             for n in p["nodes"]:
                 assert sum(a["end"] - a["start"] for a in n["attends"]) == n["position"]
                 assert all(a["end"] <= n["start"] for a in n["attends"])
+    many = chat.format_conversations(table.limit(0).union(table.sparkSession.sql("SELECT cast(null AS bigint), 0L, 'user', 'x', 1 FROM range(5000)")))
+    assert chat.read_packs(many).where("conv_id IS NULL AND size(turns) = 1").count() == 5000
     whole = chat.format_conversations(table.where("conv_id >= 100")).coalesce(1).collect()
     assert sum(len(p["nodes"]) for p in whole) <= 5 * len(whole)
     assert chat.format_conversations(table.limit(0)).count() == 0
