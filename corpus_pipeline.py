@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from marketloom.llm import decontaminate, language_id, mixing, near_duplicates, pii
-from marketloom.llm.common import read_table, shared_folder
+from marketloom.llm.common import read_table, remove, shared_folder
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's result is written to the shared folder and read again."""
+    """All stages over ``documents``; each one's result is written to the shared folder and read again.
+
+    A stage's files go when the next one's are written; the last ones are what the result reads.
+    """
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = read_table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
@@ -56,4 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k + 1 < len(STAGES):
             docs.write.parquet(f"{folder}/{k}-{name}")
             docs = spark.read.parquet(f"{folder}/{k}-{name}")
+            if k:
+                remove(spark, f"{folder}/{k - 1}-{STAGES[k - 1][0]}")
     return docs
