@@ -114,7 +114,8 @@ def block_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     shingles, all of at least some count, d + 1 at least. One of these is untouched by a
     difference of d; the other set has the same shingles in it, and uses it too, since a
     set with a lower count uses more. So nearly empty blocks, which unlike sets share, are
-    left out and no link is lost.
+    left out and no link is lost. Numbers have 48 bits: two unlike blocks that get one cost a
+    comparison, no more.
     """
     found = [np.empty(0, np.uint64)]
     for k in bands.of(len(shingles)):
@@ -124,7 +125,7 @@ def block_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
         used = np.flatnonzero(counts >= np.partition(counts, blocks - need)[blocks - need])
         value = _sparse_blocks(shingles, counts)[used]
         place = used.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1)
-        found.append(_mix(_mix(value) + place))
+        found.append(_mix(_mix(value) + place) >> np.uint64(16))
     return np.concatenate(found)
 
 
@@ -226,7 +227,9 @@ def _members(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
         keys, nodes = keys[new], nodes[new]
         first = np.r_[True, keys[1:] != keys[:-1]]
         before = nodes[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(nodes), pa.array(before, mask=first)], ["key", "a", "b"])
+        back = np.argsort(order[new])  # rows of one set beside each other are compressed better
+        arrays = [pa.array(nodes[back]), pa.array(keys[back]), pa.array(before[back], mask=first[back])]
+        return pa.RecordBatch.from_arrays(arrays, ["a", "key", "b"])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, nodes, n = [], [], 0
@@ -245,7 +248,7 @@ def _members(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
 
     own = docs.where(docs["doc_id"].isNotNull()).select(_word_hashes(docs).alias("words"))
     # What a task has linked goes anywhere; its first members meet those of other tasks.
-    found = own.mapInArrow(blocks, "key bigint, a bigint, b bigint")
+    found = own.mapInArrow(blocks, "a bigint, key bigint, b bigint")
     found = found.withColumn("place", F.when(F.col("b").isNull(), F.lit(0)).otherwise(F.xxhash64("a")))
     first = F.min("a").over(Window.partitionBy("key", "place"))
     found = found.select("key", "a", F.coalesce("b", first).alias("b")).where("a <> b")
