@@ -33,20 +33,20 @@ def many_of(text: Column, vocabulary: str, words: bool = False, unless: dict | N
     synonym) pairs of which the synonym doesn't count if another value is found.
     """
     own, unless, narrowed = V.entries(vocabulary), unless or {}, narrowed or {}
-    low = F.lower(text)
 
-    def found(key: str) -> Column:
+    def found(low: Column, key: str) -> Column:
         hit = low.rlike(_pattern(own[key], words))
         for (value, synonym), other in narrowed.items():
             if value == key:
                 rest = [s for s in own[key] if s != synonym]
-                hit = F.when(found(other), low.rlike(_pattern(rest, words)) if rest else F.lit(False)).otherwise(hit)
+                hit = F.when(found(low, other), low.rlike(_pattern(rest, words)) if rest else F.lit(False)).otherwise(hit)
         for other in unless.get(key, ()):
-            hit = hit & ~found(other)
+            hit = hit & ~found(low, other)
         return hit
 
-    values = F.array(*[F.when(found(k), k) for k in own])
-    return F.nullif(F.array_join(F.filter(values, lambda v: v.isNotNull()), ", "), F.lit(""))
+    # The lower-cased text is the element of an array, so it and the rules are in the expression once.
+    values = F.transform(F.array(F.lower(text)), lambda low: F.array_join(F.array(*[F.when(found(low, k), k) for k in own]), ", "))
+    return F.get(F.filter(values, lambda v: v != ""), F.lit(0))
 
 
 GOLDS = {"Gold": ["Rose Gold", "White Gold"]}

@@ -49,6 +49,16 @@ def clean_listings(df: DataFrame, ingest_order: str = "ingest_id") -> DataFrame:
     )
 
 
+def with_source(df: DataFrame) -> DataFrame:
+    """Rows that name their source."""
+    return df.dropna(subset=["source"])
+
+
+def nulls_as_text(df: DataFrame, columns: tuple[str, ...] = ("caliber", "reference_number", "group_reference")) -> DataFrame:
+    """Null references and calibers as the text ``<NA>``, for consumers that can't hold nulls."""
+    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("<NA>")) for c in columns if c in df.columns})
+
+
 def with_hash_id(df: DataFrame, columns: tuple[str, ...] = ("date", "watch_url", "source")) -> DataFrame:
     return df.withColumn("hash_id", text.hash_id(*[F.col(c) for c in columns]))
 
@@ -65,7 +75,7 @@ MAX_BROADCAST_RATES = 10_000
 def to_usd(df: DataFrame, rates: DataFrame, decimals: int | None = 2) -> DataFrame:
     """Prices of other currencies divided by their rate and rounded; without a rate the price is null."""
     rates = rates.select(F.col("currency").alias("__code"), F.col("rate").alias("__rate"))
-    if rates.count() <= MAX_BROADCAST_RATES:
+    if rates.count() <= MAX_BROADCAST_RATES:  # of the small table of rates only
         rates = F.broadcast(rates)
     joined = df.join(rates, F.col("currency") == F.col("__code"), "left")
     other = F.try_divide(F.col("price"), F.col("__rate"))

@@ -8,13 +8,6 @@ from pyspark.sql import functions as F
 from marketloom.functions import text
 from marketloom.operators.cleaning import first_by
 
-#: A library of at most so many rows is broadcast (some 200 bytes each); a larger one is joined by a shuffle.
-MAX_BROADCAST_LIBRARY = 200_000
-
-
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= MAX_BROADCAST_LIBRARY else df
-
 
 def is_blank(name: str) -> Column:
     c = F.col(name)
@@ -24,7 +17,7 @@ def is_blank(name: str) -> Column:
 def fill_from(df: DataFrame, library: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Blank ``columns`` taken from the library row of the brand and ``key``; null where there is none."""
     looked = library.select(F.col("brand").alias("__b"), F.col(key).alias("__k"), *[F.col(c).alias(f"__{c}") for c in columns])
-    joined = df.join(_small(looked), (F.col("brand") == F.col("__b")) & (F.col(key) == F.col("__k")), "left")
+    joined = df.join(looked, (F.col("brand") == F.col("__b")) & (F.col(key) == F.col("__k")), "left")
     filled = {c: F.when(is_blank(c), F.col(f"__{c}")).otherwise(F.col(c)) for c in columns}
     return joined.withColumns(filled).select(*df.columns)
 

@@ -15,8 +15,6 @@ MULTIPLIERS = {
     "Rolex": (10, 4), "Seiko": (5, 3.5), "Tudor": (10, 4),
 }
 DEFAULT_MULTIPLIERS = (4, 2.5)
-#: Boundaries of at most so many groups are broadcast.
-MAX_BROADCAST_GROUPS = 200_000
 
 
 def group_statistics(df: DataFrame, keys: list[str], price: str = "price") -> DataFrame:
@@ -67,8 +65,6 @@ def filter_outliers(df: DataFrame, pre_owned: DataFrame, new: DataFrame) -> Data
     side = F.when(F.col("condition") == "New", "new").when(F.col("condition").isin(PRE_OWNED), "pre_owned")
     bounds = pre_owned.withColumn("__side", F.lit("pre_owned")).unionByName(new.withColumn("__side", F.lit("new")))
     bounds = bounds.select("__side", F.col("brand").alias("__b"), F.col("reference_number").alias("__r"), "lower_boundary", "upper_boundary")
-    if bounds.count() <= MAX_BROADCAST_GROUPS:
-        bounds = F.broadcast(bounds)
     sided = df.withColumn("__s", side)
     joined = sided.join(
         bounds, (F.col("__s") == F.col("__side")) & (F.col("brand") == F.col("__b")) & (F.col("reference_number") == F.col("__r")), "left"

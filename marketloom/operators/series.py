@@ -27,8 +27,8 @@ def combine(history: DataFrame, week: DataFrame) -> DataFrame:
 
 
 def last_sunday(df: DataFrame) -> Column:
-    """The Sunday nearest to the frame's last date, as a literal."""
-    return F.lit(df.agg(calendar.nearest_sunday(F.max("date"))).first()[0]).cast("date")
+    """The Sunday nearest to the frame's last date, as a scalar subquery."""
+    return df.agg(calendar.nearest_sunday(F.max("date")).alias("last")).scalar()
 
 
 def forward_fill(df: DataFrame, keys, columns, when: Column | None = None) -> DataFrame:

@@ -59,13 +59,20 @@ def resample(df: DataFrame, keys, interval: str, price: str) -> DataFrame:
 
 
 def volatility(df: DataFrame, keys=("brand", "reference_number"), price: str = "rolling_avg_of_median_price", min_weeks: dict | None = None) -> DataFrame:
-    """Yearly volatility in percent by interval: one row for each group that qualifies for one."""
-    found = None
-    for interval, weeks in (MIN_WEEKS if min_weeks is None else min_weeks).items():
-        returns = resample(qualifying(df, keys, weeks), keys, interval, price)
-        part = returns.groupBy(*keys).agg((F.stddev_samp("log_return") * F.sqrt(F.lit(PERIODS[interval])) * 100).alias("v"))
-        part = part.withColumn("interval", F.lit(interval))
-        found = part if found is None else found.unionByName(part)
-    wide = found.groupBy(*keys).pivot("interval", list(PERIODS)).agg(F.first("v"))
-    wide = wide.withColumnsRenamed({i: f"volatility_{i.lower()}" for i in PERIODS})
+    """Yearly volatility in percent by interval: one row for each group that qualifies for one.
+
+    The rows are put into the periods of all intervals at once, so the groups are shuffled once.
+    """
+    weeks, whole = MIN_WEEKS if min_weeks is None else min_weeks, Window.partitionBy(*keys)
+    spans = df.dropna(subset=list(keys)).withColumns({"__first": F.min("date").over(whole), "__last": F.max("date").over(whole)})
+    known = F.floor(F.datediff("__last", "__first") / 7)
+    bins = [F.when(known >= least, F.struct(F.lit(i).alias("interval"), _bin(i, F.col("__first"))[0].cast("int").alias("bin"))) for i, least in weeks.items()]
+    rows = spans.select(*keys, "date", price, F.explode(F.array_compact(F.array(*bins))).alias("__bin")).select(*keys, "date", price, "__bin.*")
+    last = F.max_by(price, F.when(F.col(price).isNotNull(), F.col("date")))
+    closes = rows.groupBy(*keys, "interval", "bin").agg(last.alias("close"))
+    w = Window.partitionBy(*keys, "interval").orderBy("bin")
+    close, neighbour = F.lag("close").over(w), F.lag("bin").over(w) == F.col("bin") - 1
+    returns = closes.withColumn("log_return", F.when(neighbour & (close > 0) & (F.col("close") > 0), F.ln(F.col("close") / close)))
+    of = lambda i: F.stddev_samp(F.when(F.col("interval") == i, F.col("log_return"))) * F.sqrt(F.lit(PERIODS[i])) * 100
+    wide = returns.groupBy(*keys).agg(*[of(i).alias(f"volatility_{i.lower()}") for i in PERIODS])
     return wide.withColumn("brand_slug", slug(F.col(keys[0]))).withColumn("identifier", identifier(F.col("brand_slug"), F.col(keys[-1])))

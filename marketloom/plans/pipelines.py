@@ -14,7 +14,7 @@ def ingest(raw: DataFrame, rates: DataFrame, ingest_order: str = "ingest_id") ->
     """Raw listings cleaned, keyed and in US dollars."""
     if ingest_order not in raw.columns:
         raw = raw.withColumn(ingest_order, F.monotonically_increasing_id())
-    cleaned = cleaning.with_hash_id(cleaning.clean_listings(raw, ingest_order))
+    cleaned = cleaning.with_hash_id(cleaning.clean_listings(cleaning.with_source(raw), ingest_order))
     return cleaning.to_usd(cleaned, cleaning.latest_rates(rates)).drop(ingest_order)
 
 

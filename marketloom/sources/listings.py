@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+from functools import reduce
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,14 +28,26 @@ def conform(df: DataFrame, schema: T.StructType = RAW) -> DataFrame:
 def read_weekly_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Weekly CSV files: the date is the Sunday nearest to the day in a file's name, sold files name the source.
 
-    Columns are matched by name, file by file; rows without any value are left out.
+    Columns are matched by name, file by file: files of one header are read together. Rows
+    without any value are left out; files that hold nothing, or no weekly name, give no rows.
     """
-    raw = spark.read.option("header", True).option("enforceSchema", False).option("mergeSchema", True).csv(paths)
+    headers: dict[tuple[str, ...], list[str]] = {}
+    for file in spark.read.text(paths).inputFiles():
+        file = unquote(file)
+        if re.search(WEEKLY, file.rsplit("/", 1)[-1]):
+            headers.setdefault(tuple(spark.read.option("header", True).csv(file).columns), []).append(file)
+    parts = [_read_alike(spark, files, columns) for columns, files in headers.items() if set(columns) & set(RAW.names)]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], RAW)
+
+
+def _read_alike(spark: SparkSession, files: list[str], columns: tuple[str, ...]) -> DataFrame:
+    """Weekly files that all have the header ``columns``."""
+    raw = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).option("header", True).csv(files)
     name = F.col("_metadata.file_name")
     day = F.try_to_timestamp(F.regexp_extract(name, r"\d{4}_\d{2}_\d{2}", 0), F.lit("yyyy_MM_dd")).cast("date")
     present = [c for c in raw.columns if c in RAW.names]
     some = F.coalesce(*[F.col(c).cast("string") for c in present]).isNotNull()
-    named = raw.where(name.rlike(WEEKLY) & some).withColumn("date", calendar.nearest_sunday(day))
+    named = raw.where(some).withColumn("date", calendar.nearest_sunday(day))
     source = F.col("source") if "source" in present else F.lit(None).cast("string")
     return conform(named.withColumn("source", F.when(F.contains(F.lower(name), F.lit(SOLD_FILE)), "eBay Sold").otherwise(source)))
 
@@ -54,6 +70,33 @@ def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 25_000, **optio
     df.write.format("jdbc").options(url=url, dbtable=table, batchsize=str(batch), **options).mode("append").save()
 
 
+def replace_weeks_jdbc(df: DataFrame, url: str, table: str, batch: int = 25_000, **options: str) -> None:
+    """The weeks of ``df`` in a database table, in place of what it held of them, so a rerun changes nothing.
+
+    Executors write a staging table; the database then moves it in one transaction.
+    """
+    staging = f"{table}_staging"
+    write_jdbc(df.limit(0), url, table, batch, **options)
+    df.write.format("jdbc").options(url=url, dbtable=staging, batchsize=str(batch), **options).mode("overwrite").save()
+    jvm = df.sparkSession._jvm
+    properties = jvm.java.util.Properties()
+    for k, v in options.items():
+        properties.setProperty(k, v)
+    connection = jvm.java.sql.DriverManager.getConnection(url, properties)
+    try:
+        connection.setAutoCommit(False)
+        mark = connection.getMetaData().getIdentifierQuoteString().strip()
+        names = ", ".join(f"{mark}{c}{mark}" for c in df.columns)
+        run, day = connection.createStatement(), f"{mark}date{mark}"
+        run.executeUpdate(f"DELETE FROM {table} WHERE {day} IN (SELECT {day} FROM {staging})")
+        run.executeUpdate(f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}")
+        run.executeUpdate(f"DROP TABLE {staging}")
+        connection.commit()
+    finally:
+        connection.rollback()
+        connection.close()
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     """A table of a database; filters and columns are pushed down to it."""
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
@@ -106,5 +149,8 @@ def read_model_rules(spark: SparkSession, path: str) -> DataFrame:
     """Rules of models (brand, specific_model, parent_model, alternate) with a priority; later lines come first."""
     names = ["brand", "specific_model", "parent_model", "alternate"]
     schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
-    lines = spark.read.schema(schema).option("encoding", "latin1").csv(path).dropna("all")
-    return lines.withColumn("priority", -F.monotonically_increasing_id())
+    lines = spark.read.schema(schema).option("encoding", "ISO-8859-1").csv(path).withColumns(
+        {"__file": F.col("_metadata.file_name"), "__block": F.col("_metadata.file_block_start"), "__line": F.monotonically_increasing_id()}
+    )
+    place = F.row_number().over(Window.orderBy("__file", "__block", "__line"))  # a row for each rule, not for each listing
+    return lines.dropna("all", subset=names).withColumn("priority", (-place).cast("bigint")).select(*names, "priority")

@@ -15,6 +15,31 @@ def test_weekly_csv(spark, tmp_path):
     flat = sorted((r["brand"], r["source"], str(r["date"]), r["price"]) for g in got for r in g)
     assert flat == [("A", None, "2024-02-25", "1,000"), ("B", "eBay Sold", "2024-02-18", "5")]
     assert sources.read_weekly_csv(spark, [str(tmp_path / "shop_WEEKLY_2024_02_22.csv")]).columns == RAW.names
+    (tmp_path / "empty_weekly_2024_02_22.csv").write_text("")
+    (tmp_path / "other_weekly_2024_02_22.csv").write_text("brand,price,extra\nD,7,y\n")
+    whole = sources.read_weekly_csv(spark, [str(tmp_path)]).collect()
+    assert sorted((r["brand"], r["source"], str(r["date"]), r["price"]) for r in whole) == sorted([*flat, ("D", None, "2024-02-25", "7")])
+    assert sources.read_weekly_csv(spark, [str(tmp_path / "shop_daily_2024_02_22.csv")]).count() == 0
+
+
+def test_model_rules_come_in_the_order_of_lines(spark, tmp_path):
+    (tmp_path / "rules.csv").write_text("".join(f"A,model {i},parent,\n" for i in range(400)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        got = sources.read_model_rules(spark, str(tmp_path / "rules.csv")).orderBy("priority").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r["specific_model"] for r in got] == [f"model {i}" for i in reversed(range(400))]
+
+
+def test_a_database_week_is_replaced(spark, tmp_path):
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    week = lambda d, rows: spark.createDataFrame([(d, *r) for r in rows], "date date, brand string, price double")
+    a, b = dt.date(2024, 1, 7), dt.date(2024, 1, 14)
+    for df in (week(a, [("x", 1.0)]), week(b, [("x", 2.0), ("y", 3.0)]), week(b, [("x", 4.0)]), week(b, [("x", 4.0)])):
+        sources.replace_weeks_jdbc(df, url, "prices")
+    got = sources.read_jdbc(spark, url, "prices").collect()
+    assert sorted((r["DATE"], r["BRAND"], r["PRICE"]) for r in ({k.upper(): v for k, v in r.asDict().items()} for r in got)) == [(a, "x", 1.0), (b, "x", 4.0)]
 
 
 def test_rerun_replaces_a_week(spark, tmp_path):
@@ -50,7 +75,7 @@ def test_stream(spark, tmp_path):
     query = weekly_stream(stream, "brand", "price", unique="id").writeStream.format("memory").queryName("weeks").outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
     got = sorted((str(r["date"]), r["count"], r["mean"]) for r in spark.table("weeks").collect())
-    assert [g[1:] for g in got] == [(1, 1.0), (1, 4.0)]
+    assert got == [("2024-01-07", 1, 1.0), ("2024-01-14", 1, 4.0)]
     seen = []
     run_by_batch(stream, lambda df: seen.append(df.count()), str(tmp_path / "c")).awaitTermination()
     run_by_batch(stream, lambda df: seen.append(df.count()), str(tmp_path / "c")).awaitTermination()
