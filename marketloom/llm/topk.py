@@ -5,8 +5,9 @@ x . q <= sum n (m_x m_q + s_x s_q), which is the lower bound of the distance sai
 inner product. Few segments come first, then more; the survivors are scored exactly.
 
 Queries are dealt into blocks and vectors into slices, both of bounded size; each block
-meets each slice in a task of its own. The scores in the first slice, a bounded sample,
-give every query a threshold that prunes the other slices; it decides nothing else.
+meets each slice in a task of its own. The scores in a first slice, a sample of some hundred
+vectors, give every query a threshold, and the bounds prune all other vectors by it, however
+many or few these are; the sample decides nothing else.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed
 
-BLOCK, SLICE = 2048, 4096
+BLOCK, SLICE = 8192, 4096
+#: The first slice has about so many vectors.
+SAMPLE = 256
 MAX_TASKS = 10_000
 SEGMENTS = (4, 16)
 #: Pairs compared at a time, and the share of survivors from which a matrix product is cheaper than to pick them.
@@ -112,7 +115,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     asked = asked.withColumn("key", F.xxhash64("vec_id", "ints"))
     slices, blocks = max(1, -(-n // SLICE)), max(1, -(-asked.count() // BLOCK))
     dealt = lambda seed, parts: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(parts)).cast("int")
-    sliced, blocked = vectors.withColumn("slice", dealt(1, slices)), asked.withColumn("block", dealt(2, blocks))
+    begins = F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(n or 1)) < SAMPLE
+    sliced, blocked = vectors.withColumn("slice", F.when(begins, 0).otherwise(1 + dealt(1, slices))), asked.withColumn("block", dealt(2, blocks))
 
     def search(queries: DataFrame, candidates: DataFrame, first: int, last: int) -> DataFrame:
         # Pairs take long for their bytes, so their number and not their size says how many tasks there are.
@@ -129,10 +133,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
 
     none = blocked.withColumn("threshold", F.lit(None).cast("bigint"))
     begun = _best(search(none, sliced.where("slice = 0"), 0, 0), k)
-    if slices > 1:
+    if n > SAMPLE:
         begun = checkpointed(begun)
         floors = begun.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), "key", F.col("score").alias("threshold"))
         floored = blocked.join(floors, ["vec_id", "key"], "left")
-        rest = search(floored, sliced.where("slice > 0"), 1, slices - 1)
+        rest = search(floored, sliced.where("slice > 0"), 1, slices)
         begun = _best(begun.select("query_id", "key", "vec_id", "score").union(rest), k)
     return begun.select("query_id", "rank", "vec_id", "score")

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,6 +152,7 @@ def test_connected_components(spark):
 def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 4)
     monkeypatch.setattr(topk, "SLICE", 64)
+    monkeypatch.setattr(topk, "SAMPLE", 40)
     rng = random.Random(9)
     rows = [(i, [rng.gauss(0, 1) for _ in range(10)]) for i in range(300)] + [(300 + i, [0.5] * 10) for i in range(60)]
     rows += [(400, None), (401, [None] * 10), (402, [float("nan")] * 10), (403, [float("inf")] * 10), (404, []), (None, [1.0] * 10), (420, [1.0, 2.0]), (440, [3e38] * 10), (460, [-3e38] * 10)]
@@ -170,8 +172,35 @@ def test_top_k(spark, monkeypatch):
     assert topk.top_k(topk.integer_vectors(df.limit(0)), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_bounds_leave_few_exact_products(spark, monkeypatch):
+    """Vectors around a few smooth curves: segment statistics alone leave out most pairs, at the size of the small tables as well."""
+    rng, products = np.random.default_rng(4), []
+    curves = [np.sin(np.arange(64) / 8 + k) * 200 for k in range(8)]
+    rows = [(i, np.floor(curves[i % 8] + rng.normal(0, 5, 64)).tolist()) for i in range(500)]
+    exact = topk._exact
+    monkeypatch.setattr(topk, "_exact", lambda q, x: products.append(len(q)) or exact(q, x))
+    monkeypatch.setattr(topk, "DENSE", 1.0)
+    frame = lambda rows, **names: pd.DataFrame([dict(zip(names.values(), r, strict=True)) for r in rows])
+    asked = frame([(i, v, i, None) for i, v in rows[::20]], a="vec_id", b="ints", c="key", d="threshold")
+    first = topk.search_slice(asked, frame(rows[:256], a="own_id", b="own_ints"), 20)
+    asked["threshold"] = asked["vec_id"].map(first.groupby("query_id")["score"].min()).astype("Int64")
+    products.clear()
+    rest = topk.search_slice(asked, frame(rows[256:], a="own_id", b="own_ints"), 20)
+    assert 0 < sum(products) < 0.3 * len(asked) * 244
+    best = pd.concat([first, rest]).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True]).groupby("query_id").head(20)
+    x = np.array([v for _, v in rows])
+    for i, own in best.groupby("query_id"):
+        scores = sorted(((-int(s), j) for j, s in enumerate(x @ x[i]) if j != i))[:20]
+        assert [(-s, j) for s, j in scores] == list(zip(own["score"], own["vec_id"], strict=True))
+    bounds = []
+    monkeypatch.setattr(topk, "statistics", lambda x, s, f=topk.statistics: bounds.append(s) or f(x, s))
+    topk.search_slice(asked, frame(rows[256:], a="own_id", b="own_ints"), 20)
+    assert set(bounds) == set(topk.SEGMENTS)
+
+
 def test_repeated_queries_ask_once(spark, monkeypatch):
     monkeypatch.setattr(topk, "SLICE", 16)
+    monkeypatch.setattr(topk, "SAMPLE", 16)
     rows = [(i, [float(i), 1.0]) for i in range(1, 60)] + [(100, [1.0, 0.0])] * 3 + [(200, [-1.0, 0.0]), (200, [1.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id bigint, ints array<double>")
     got = topk.top_k(df, F.col("vec_id") >= 100, 4).collect()
