@@ -15,6 +15,7 @@ from marketloom.functions import vocabularies as V
 from marketloom.operators import cleaning, enrichment, liquidity, outliers, profile, series, volatility, weekly
 from marketloom.schema import LEVELS, PRE_OWNED
 from marketloom.sources import listings as sources
+from marketloom.streaming import weekly as streaming
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -561,3 +562,48 @@ def unit_normalise(spark, sf_dir):
     water = F.when(size % 3 == 0, F.concat(as_text, F.lit(" bar"))).when(size % 3 == 1, F.concat(as_text, F.lit("m"))).otherwise("none")
     lugs = F.when(size % 2 == 0, F.concat(as_text, F.lit(" MM"))).otherwise(F.concat(as_text, F.lit(" cm")))
     return table(spark, sf_dir, "part").select("p_partkey", attributes.water_resistance(water).alias("water"), attributes.millimetres(lugs, F.lit("ebay")).alias("lugs"))
+
+
+@register("""SELECT CAST(date_trunc('week', ts) AS DATE) + 6 AS date, event_type, count(*) AS count, round(avg(value), 6) AS mean, max(value) AS high, min(value) AS low FROM events GROUP BY ALL""")
+def weekly_stream(spark, sf_dir):
+    return streaming.weekly_stream(table(spark, sf_dir, "events"), "event_type", "value").withColumn("mean", F.round("mean", 6))
+
+
+@register(f"WITH {LISTINGS} SELECT ingest_id FROM L WHERE brand = 'Brand#11' AND date = DATE '1998-06-07' AND price <> 0 AND parent_model <> ''")
+def latest_week_of_level(spark, sf_dir):
+    return sources.latest_week(listings(spark, sf_dir), ["Brand#11"], "parent_model", F.lit("1998-06-10").cast("date")).select("ingest_id")
+
+
+@register(f"WITH {LISTINGS} SELECT ingest_id FROM L WHERE brand IN ('Brand#11', 'Brand#12') AND date < DATE '1995-01-01'")
+def before_scan(spark, sf_dir):
+    return sources.before(listings(spark, sf_dir), ["Brand#11", "Brand#12"], "1995-01-01").select("ingest_id")
+
+
+@register(f"WITH {LISTINGS} SELECT price, brand FROM L WHERE price > 50000")
+def template_scan(spark, sf_dir):
+    return sources.read_template(spark, "SELECT price, brand FROM {t} WHERE price > :least", {"t": listings(spark, sf_dir)}, least=50000)
+
+
+@register(f"""WITH {LISTINGS}, {_DURATION}, W AS (SELECT brand, reference_number, round(days / 7.0, 1) AS weeks FROM D WHERE NOT active)
+SELECT brand, reference_number, round(avg(weeks), 6) AS mean_weeks, round(median(weeks), 6) AS median_weeks, round(stddev_samp(weeks), 6) AS std_weeks, min(weeks) AS min_weeks, max(weeks) AS max_weeks
+FROM W GROUP BY brand, reference_number""")
+def listing_duration_weeks(spark, sf_dir):
+    out = liquidity.listing_durations(listings(spark, sf_dir), "ingest_id")
+    return out.select("brand", "reference_number", "min_weeks", "max_weeks", *[F.round(f"{n}_weeks", 6).alias(f"{n}_weeks") for n in ("mean", "median", "std")])
+
+
+@register(f"WITH {LISTINGS} SELECT ingest_id, coalesce(condition, '<NA>') AS caliber, reference_number FROM L WHERE source IS NOT NULL")
+def nulls_as_text(spark, sf_dir):
+    rows = cleaning.with_source(listings(spark, sf_dir)).withColumnRenamed("condition", "caliber")
+    return cleaning.nulls_as_text(rows).select("ingest_id", "caliber", "reference_number")
+
+
+@register(f"""WITH {LISTINGS}, B AS (SELECT CASE year_introduced % 4 WHEN 0 THEN 'Rolex' WHEN 1 THEN 'Omega' WHEN 2 THEN 'Hamilton' ELSE 'Nobody' END AS brand, price FROM L),
+S AS (SELECT brand, count(*) AS n, quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.5) AS q2, quantile_cont(price, 0.75) AS q3 FROM B GROUP BY brand)
+SELECT brand, CASE WHEN n > 10 THEN q2 * 0.15::DOUBLE END AS lower_boundary,
+CASE WHEN n > 10 THEN q3 + CASE brand WHEN 'Rolex' THEN 10 WHEN 'Omega' THEN 3.5 WHEN 'Hamilton' THEN 5 ELSE 4 END::DOUBLE * (q3 - q1) END AS upper_boundary FROM S""")
+def brand_multipliers(spark, sf_dir):
+    n = F.col("year_introduced") % 4
+    named = listings(spark, sf_dir).withColumn("brand", F.when(n == 0, "Rolex").when(n == 1, "Omega").when(n == 2, "Hamilton").otherwise("Nobody"))
+    bounds = outliers.thresholds(outliers.with_category(outliers.group_statistics(named, ["brand"])), by_reference=False)
+    return bounds.select("brand", "lower_boundary", "upper_boundary")
