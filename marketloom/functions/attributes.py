@@ -18,21 +18,21 @@ def _pattern(synonyms: list[str], words: bool) -> str:
     return rf"\b(?:{any_of})\b" if words else any_of
 
 
-def one_of(text: Column, vocabulary: str) -> Column:
+def one_of(text: Column, vocabulary: dict[str, list[str]]) -> Column:
     """The first canonical value of which a synonym is in the text; else null."""
     found = F.lit(None).cast("string")
-    for key, synonyms in reversed(V.entries(vocabulary).items()):
+    for key, synonyms in reversed(vocabulary.items()):
         found = F.when(F.lower(text).rlike(_pattern(synonyms, False)), key).otherwise(found)
     return found
 
 
-def many_of(text: Column, vocabulary: str, words: bool = False, unless: dict | None = None, narrowed: dict | None = None) -> Column:
+def many_of(text: Column, vocabulary: dict[str, list[str]], words: bool = False, unless: dict | None = None, narrowed: dict | None = None) -> Column:
     """All canonical values of which a synonym is in the text, in the vocabulary's order, joined; null if none.
 
     ``unless``: a value is left out if one of these values is found. ``narrowed``: (value,
     synonym) pairs of which the synonym doesn't count if another value is found.
     """
-    own, unless, narrowed = V.entries(vocabulary), unless or {}, narrowed or {}
+    own, unless, narrowed = vocabulary, unless or {}, narrowed or {}
 
     def found(low: Column, key: str) -> Column:
         hit = low.rlike(_pattern(own[key], words))
@@ -111,7 +111,7 @@ def movement(c: Column, title: Column | None = None) -> Column:
     return found if title is None else F.coalesce(found, one_of(title, V.MOVEMENT))
 
 
-def contents(c: Column, vocabulary: str) -> Column:
+def contents(c: Column, vocabulary: dict[str, list[str]]) -> Column:
     """What comes with a listing by a vocabulary of the caller; texts without a match stay."""
     return F.coalesce(one_of(c, vocabulary), c)
 
@@ -119,7 +119,7 @@ def contents(c: Column, vocabulary: str) -> Column:
 def watch_type(c: Column) -> Column:
     """The type whose name or synonym the text is; empty for others."""
     found = F.lit("")
-    for key, synonyms in reversed(V.entries(V.WATCH_TYPE).items()):
+    for key, synonyms in reversed(V.WATCH_TYPE.items()):
         found = F.when(F.lower(F.trim(c)).isin(*[s.lower() for s in [key, *synonyms]]), key).otherwise(found)
     return found
 
@@ -129,7 +129,7 @@ def listing_type(c: Column) -> Column:
 
     def of(part: Column) -> Column:
         found = F.lit(None).cast("string")
-        for key, synonyms in V.entries(V.LISTING_TYPE).items():
+        for key, synonyms in V.LISTING_TYPE.items():
             found = F.when(F.lower(F.trim(part)).isin(*[s.lower() for s in [key, *synonyms]]), key).otherwise(found)
         return found
 

@@ -535,14 +535,14 @@ def group_reference(spark, sf_dir):
     return _titles(spark, sf_dir).select("p_partkey", identifiers.group_reference(F.col("brand"), F.col("ref")).alias("group_reference"))
 
 
-def _vocabulary_sql(name: str, column: str, one: bool) -> str:
+def _vocabulary_sql(values: dict[str, list[str]], column: str, one: bool) -> str:
     cases = [
-        (k, " OR ".join(f"contains(lower({column}), '{s.lower().replace(chr(39), chr(39) * 2)}')" for s in v)) for k, v in V.entries(name).items()
+        (k, " OR ".join(f"contains(lower({column}), '{s.lower().replace(chr(39), chr(39) * 2)}')" for s in v)) for k, v in values.items()
     ]
     if one:
         return "CASE " + " ".join(f"WHEN {c} THEN '{k}'" for k, c in cases) + " END"
-    values = ", ".join(f"CASE WHEN {c} THEN '{k}' END" for k, c in cases)
-    return f"nullif(array_to_string(list_filter([{values}], lambda x: x IS NOT NULL), ', '), '')"
+    each = ", ".join(f"CASE WHEN {c} THEN '{k}' END" for k, c in cases)
+    return f"nullif(array_to_string(list_filter([{each}], lambda x: x IS NOT NULL), ', '), '')"
 
 
 @register(f"SELECT doc_id, {_vocabulary_sql(V.CONDITION, 'text', True)} AS condition, {_vocabulary_sql(V.MOVEMENT, 'text', True)} AS movement FROM documents")

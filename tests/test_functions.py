@@ -98,7 +98,7 @@ def test_attributes(spark):
     assert of(attributes.watch_type, "gents") == "Men's Watches"
     assert of(attributes.seller_type, "professional dealer") == "Dealer"
     assert one(spark, attributes.currency_code(F.lit("$"), ["USD", "EUR"])) == "USD"
-    assert len(V.entries(V.FEATURES)) == 86
+    assert len(V.FEATURES) == 86
 
 
 def test_dimension_lookups(spark):
