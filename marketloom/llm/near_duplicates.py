@@ -34,7 +34,7 @@ TILE_MEMBERS, HUB_PAIRS = 4096, 256
 #: At most so many rows (some 60 bytes each) that name documents are broadcast; more are joined by a shuffle.
 MAX_BROADCAST_IDS = 200_000
 #: Arrow batches that our functions give hold about so many shingles; block keys of so many are linked within a task.
-OUT_SHINGLES, HELD_KEYS = 1_000_000, 4_000_000
+OUT_SHINGLES, HELD_KEYS = 1_000_000, 1_000_000
 #: Pairs whose sketches are compared at a time, and how many of its buckets a set knows, to leave a pair to an earlier one.
 HELD_PAIRS, FIRST_KEYS = 500_000, 6
 
