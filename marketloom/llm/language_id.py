@@ -14,7 +14,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .common import checkpointed, hidden
 
@@ -162,22 +161,25 @@ def identify(docs: DataFrame, model: Model | None, pred: str = "lang_pred", scor
     no model could be fitted. Own columns of these names are replaced, repeated rows stay.
     """
     docs = docs.select(*[c for c in docs.columns if c.lower() not in (pred, score)])
-    schema = T.StructType([*docs.schema.fields, T.StructField(pred, T.StringType()), T.StructField(score, T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # Only texts go to Python and only predictions come back.
+    @F.pandas_udf("lang string, score double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for batch in batches:
             langs, scores = np.full(len(batch), UNKNOWN, object), np.zeros(len(batch))
-            texts = batch["text"].tolist()
+            texts = batch.tolist()
             of = [i for i, t in enumerate(texts) if t is not None and any(map(str.isalpha, t))]
             if model is not None:
                 for k in range(0, len(of), 512):
                     part = of[k : k + 512]
                     langs[part], scores[part] = model.predict(np.stack([features(texts[i]) for i in part]))
-            yield batch.assign(**{pred: langs, score: scores})
+            yield pd.DataFrame({"lang": langs, "score": scores})
 
-    return docs.mapInPandas(scored, schema)
+    own = hidden(docs, "scored")["scored"]
+    found = docs.withColumn(own, scored(docs["text"].cast("string")))
+    return found.select(*docs.columns, found[own]["lang"].alias(pred), found[own]["score"].alias(score))
 
 
 def held_out(docs: DataFrame):
