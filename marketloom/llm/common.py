@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import string
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +49,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs inside pass at most ``rows`` rows at a time to Python: Spark's own number is too many for long texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store it is."""
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORD, ascii_lower, checkpointed, hidden, text_of
+from .common import SPACE_WORD, ascii_lower, checkpointed, hidden, small_batches, text_of
 from .components import component_roots
 
 #: Members of a bucket that are compared in one task at most, and partners of a set that are checked in one.
@@ -35,6 +35,8 @@ TILE_MEMBERS, HUB_PAIRS = 4096, 256
 MAX_BROADCAST_IDS = 200_000
 #: Arrow batches that our functions give hold about so many shingles; block keys of so many are linked within a task.
 OUT_SHINGLES, HELD_KEYS = 1_000_000, 1_000_000
+#: Rows that go to Python at a time.
+BATCH_ROWS = 2000
 #: Pairs whose sketches are compared at a time, and how many of its buckets a set knows, to leave a pair to an earlier one.
 HELD_PAIRS, FIRST_KEYS = 500_000, 6
 
@@ -431,8 +433,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10)
     with nothing and has a null component. Other columns are not used.
     """
     bands = Bands(num, den)
-    named = _named(docs, size, bands)
-    groups = checkpointed(_grouped(docs, named, size, bands, by_id=True))
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        named = _named(docs, size, bands)
+        groups = checkpointed(_grouped(docs, named, size, bands, by_id=True))
     first = checkpointed(groups.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     groups = checkpointed(groups.join(first, "root").select("node", "component_id"))
     found = named.select("doc_id", "n", "node").join(groups, "node", "left")
@@ -466,8 +469,9 @@ def drop_near_duplicate_texts(docs: DataFrame, size: int = 5, num: int = 8, den:
     rows with equal doc_id and text one stays, the same in every run.
     """
     bands = Bands(num, den)
-    named = _named(docs, size, bands)
-    groups = checkpointed(_grouped(docs, named, size, bands, by_id=False))
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        named = _named(docs, size, bands)
+        groups = checkpointed(_grouped(docs, named, size, bands, by_id=False))
     first = groups.groupBy("root").agg(F.min(F.struct("doc_id", "text")).alias("first"))
     first = checkpointed(first.select("root", F.col("first.doc_id").alias("first_id"), F.col("first.text").alias("first_text")))
     groups = checkpointed(groups.join(first, "root").select("node", "first_id", "first_text"))
