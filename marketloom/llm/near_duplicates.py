@@ -35,8 +35,8 @@ TILE_MEMBERS, HUB_PAIRS = 4096, 256
 MAX_BROADCAST_IDS = 200_000
 #: Arrow batches that our functions give hold about so many shingles; block keys of so many are linked within a task.
 OUT_SHINGLES, HELD_KEYS = 1_000_000, 1_000_000
-#: Rows that go to Python at a time.
-BATCH_ROWS = 2000
+#: Rows that go to Python at a time, block keys that come back at a time, and bytes of sketches compared at a time.
+BATCH_ROWS, BATCH_KEYS, HELD_BYTES = 2000, 50_000, 1 << 20
 #: Pairs whose sketches are compared at a time, and how many of its buckets a set knows, to leave a pair to an earlier one.
 HELD_PAIRS, FIRST_KEYS = 500_000, 6
 
@@ -141,24 +141,6 @@ def _as_lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(ends, np.concatenate([np.empty(0, np.uint64), *arrays]).view(np.int64))
 
 
-def _batches(rows: Iterator[tuple], width: int) -> Iterator[pa.RecordBatch]:
-    """Rows whose last value is an array of hashes and whose other values are plain, in bounded batches."""
-    held, size = [], 0
-
-    def batch() -> pa.RecordBatch:
-        plain = [pa.array([r[i] for r in held]) for i in range(width - 1)]
-        return pa.RecordBatch.from_arrays([*plain, _as_lists([r[-1] for r in held])], [str(i) for i in range(width)])
-
-    for row in rows:
-        held.append(row)
-        size += len(row[-1]) + 16
-        if size >= OUT_SHINGLES:
-            yield batch()
-            held, size = [], 0
-    if held:
-        yield batch()
-
-
 class Sketches:
     """A column of narrow sketches, and the sizes of their sets."""
 
@@ -181,7 +163,7 @@ def may_link(one: Sketches, i: np.ndarray, other: Sketches, j: np.ndarray, bands
     widths = one.widths[i] * 2**32 + other.widths[j]
     for both in np.unique(widths[good]).tolist():
         w, v = divmod(both, 2**32)
-        chosen, step = np.flatnonzero(good & (widths == both)), max(1, (1 << 24) // max(w, v))
+        chosen, step = np.flatnonzero(good & (widths == both)), max(1, HELD_BYTES // max(w, v))
         for k in range(0, len(chosen), step):
             c = chosen[k : k + step]
             x, y = one.rows(i[c], w, min(w, v)), other.rows(j[c], v, min(w, v))
@@ -233,6 +215,10 @@ def _members(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
         arrays = [pa.array(nodes[back]), pa.array(keys[back]), pa.array(before[back], mask=first[back])]
         return pa.RecordBatch.from_arrays(arrays, ["a", "key", "b"])
 
+    def parts(keys: list[np.ndarray], nodes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        batch = linked(np.concatenate(keys), np.concatenate(nodes))
+        yield from (batch.slice(k, BATCH_KEYS) for k in range(0, batch.num_rows, BATCH_KEYS))
+
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, nodes, n = [], [], 0
         for batch in batches:
@@ -243,10 +229,10 @@ def _members(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
                 nodes.append(np.full(len(own), _name(s), np.int64))
                 n += len(own)
                 if n >= HELD_KEYS:
-                    yield linked(np.concatenate(keys), np.concatenate(nodes))
+                    yield from parts(keys, nodes)
                     keys, nodes, n = [], [], 0
         if n:
-            yield linked(np.concatenate(keys), np.concatenate(nodes))
+            yield from parts(keys, nodes)
 
     own = docs.where(docs["doc_id"].isNotNull()).select(_word_hashes(docs).alias("words"))
     # What a task has linked goes anywhere; its first members meet those of other tasks.
