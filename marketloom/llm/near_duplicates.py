@@ -19,7 +19,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -200,7 +200,11 @@ def _named(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
     return checkpointed(rows.mapInArrow(named, "doc_id bigint, text bigint, n bigint, node bigint, sketch binary"))
 
 
-def _members(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
+#: A set's numbers of the buckets where it meets others.
+Keys = Callable[[np.ndarray, Bands], np.ndarray]
+
+
+def _members(docs: DataFrame, size: int, bands: Bands, keys_of: Keys) -> DataFrame:
     """(key, node): the sets of each bucket of two or more."""
 
     def linked(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
@@ -224,7 +228,7 @@ def _members(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
         for batch in batches:
             for words in _lists(batch.column(0)):
                 s = shingle_set(words, size)
-                own = block_keys(s, bands).view(np.int64)
+                own = keys_of(s, bands).view(np.int64)
                 keys.append(own)
                 nodes.append(np.full(len(own), _name(s), np.int64))
                 n += len(own)
@@ -388,7 +392,7 @@ def _checked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int, b
     return kept.mapInArrow(check, "a bigint, b bigint")
 
 
-def _grouped(docs: DataFrame, named: DataFrame, size: int, bands: Bands, by_id: bool) -> DataFrame:
+def _grouped(docs: DataFrame, named: DataFrame, size: int, bands: Bands, by_id: bool, keys: Keys = block_keys) -> DataFrame:
     """node, doc_id, text, root of every set: where its first document is, and the group's name.
 
     ``by_id``: unlike sets of one doc_id are linked, too.
@@ -396,7 +400,7 @@ def _grouped(docs: DataFrame, named: DataFrame, size: int, bands: Bands, by_id:
     at = F.min(F.struct("doc_id", "text", "n", "sketch")).alias("at")
     classes = named.where("n > 0 AND doc_id IS NOT NULL").groupBy("node").agg(at)
     classes = checkpointed(classes.select("node", "at.*"))
-    members = _members(docs, size, bands)
+    members = _members(docs, size, bands, keys)
     links = checkpointed(_checked(docs, _likely(members, classes, bands), classes, size, bands))
     groups = component_roots(links)
     links = links.union(_checked(docs, _across(members, groups, classes, bands), classes, size, bands))
@@ -408,7 +412,7 @@ def _grouped(docs: DataFrame, named: DataFrame, size: int, bands: Bands, by_id:
     return classes.join(roots, "node", "left").select("node", "doc_id", "text", F.coalesce("root", "node").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10, keys: Keys = block_keys) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased; the set of a text is
@@ -416,12 +420,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10)
     when their sets' Jaccard similarity is num / den at least; component_id is the smallest
     doc_id that links reach. A null, empty or blank text has no shingles and no links, its
     component is itself. Rows with one doc_id are one document; a row without doc_id links
-    with nothing and has a null component. Other columns are not used.
+    with nothing and has a null component. Other columns are not used. ``keys`` names the
+    buckets of a set; the usual ones lose no link.
     """
     bands = Bands(num, den)
     with small_batches(docs.sparkSession, BATCH_ROWS):
         named = _named(docs, size, bands)
-        groups = checkpointed(_grouped(docs, named, size, bands, by_id=True))
+        groups = checkpointed(_grouped(docs, named, size, bands, by_id=True, keys=keys))
     first = checkpointed(groups.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     groups = checkpointed(groups.join(first, "root").select("node", "component_id"))
     found = named.select("doc_id", "n", "node").join(groups, "node", "left")

@@ -107,4 +107,19 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
-ORACLES = {"op1_decontamination": OP1, "op4_topk": OP4, "op5_chat_format": OP5, "op7_jaccard_join": OP7, "op10_mixing": OP10}
+# Every document is scored; items with equal terms of one id are one item.
+OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '{ALNUM}') AS w FROM documents),
+s AS (SELECT count(*) AS docs, cast(sum(len(w)) AS BIGINT) AS words FROM d WHERE len(w) > 0),
+i AS (SELECT row_number() OVER () AS q, item_id, w FROM (SELECT DISTINCT item_id, regexp_extract_all({LOWER}, '{ALNUM}') AS w FROM benchmark)),
+it AS (SELECT q, t, count(*) AS times FROM (SELECT q, unnest(w) AS t FROM i) GROUP BY ALL),
+dt AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM it) GROUP BY ALL),
+wt AS (SELECT t, cast(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM dt, s GROUP BY t, docs),
+m AS (SELECT r, doc_id, 100 - 75 + ((75 * len(w) * docs) // words) AS m FROM d, s WHERE len(w) > 0),
+sc AS (SELECT q, r, cast(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM it JOIN wt USING (t) JOIN dt USING (t) JOIN m USING (r) GROUP BY q, r),
+k AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM sc JOIN m USING (r) WHERE score > 0)
+SELECT item_id, cast(rank AS INT) AS rank, doc_id, score FROM k JOIN i USING (q) WHERE rank <= 10
+"""
+
+ORACLES = {"op1_decontamination": OP1, "op4_topk": OP4, "op5_chat_format": OP5, "op7_jaccard_join": OP7, "op10_mixing": OP10, "op11_lexical_search": OP11}

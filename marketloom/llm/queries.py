@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, language_id, license_scan, mixing, near_duplicates, pii, token_counts, topk
+from . import (
+    chat, decontaminate, fingerprints, html_text, language_id, lexical_search, license_scan, mixing, near_duplicates, pii, token_alignment, token_counts, topk,
+)
 from .common import read_table
 from .oracles import ORACLES
 
@@ -90,6 +92,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.neighbours(read_table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.lower(F.hex(c)) for c in ("fingerprint", "edited_fingerprint")})
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    found = token_alignment.align_documents(read_table(spark, sf_dir, "documents"), *paths)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -102,6 +122,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_license_scan": op8_license_scan,
         "op9_language_id": op9_language_id,
         "op10_mixing": op10_mixing,
+        "op11_lexical_search": op11_lexical_search,
+        "op12_fingerprints": op12_fingerprints,
+        "op13_token_alignment": op13_token_alignment,
     }
 
 
