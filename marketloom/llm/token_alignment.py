@@ -4,12 +4,12 @@ Every text, with a space before it, is cut before white space into segments over
 neither vocabulary can merge (``Aligner`` verifies that on the vocabularies it reads), so the
 tokens of a text are those of its segments.
 
-1. Tasks write their documents as chunks: the distinct segments of some thousand documents,
-   and each document as a row of their numbers. Texts are not needed after that.
-2. The distinct segments of all chunks are tokenised by both and aligned once.
-3. Alignments are joined back to the chunks. A first pass counts for each pair of linked ids
-   the documents that hold it; the counts are summed by segment, and a second pass composes
-   every document from its segments.
+1. Tasks gather their documents in chunks. The distinct segments of a chunk are tokenised by
+   both and aligned once, each document is a row of their numbers. What is kept of a chunk is
+   compressed; texts are not needed after that, and segments are in no shuffle.
+2. A chunk counts for each pair of linked ids its documents that hold it; the counts are
+   summed over the corpus and joined back to the chunks that hold the pair.
+3. With them the chunks' documents are composed from their segments.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,9 +29,11 @@ from pyspark.sql import functions as F
 from .common import checkpointed, text_of
 
 #: Code points and documents of a chunk.
-CHUNK_CHARS, CHUNK_DOCS = 4_000_000, 20_000
+CHUNK_CHARS, CHUNK_DOCS = 8_000_000, 50_000
 #: Segments that are tokenised at a time, pairs and bytes of text that a task gives back at a time.
 ENCODED, OUT_ROWS, OUT_BYTES = 2000, 50_000, 4 << 20
+#: A link is a number: its A id, its B id, and two bits that tell whether A's or B's token ends there.
+ID_BITS = 30
 
 #: Before a space that stands after anything but white space.
 _CUT = re.compile(r"(?<=\S)(?= )")
@@ -78,161 +81,196 @@ class Aligner:
         a = self.a.encode_batch_fast(segments, add_special_tokens=False)
         return list(zip([e.ids for e in a], self.b.encode([s[1:] for s in segments], num_threads=1), strict=True))
 
-    def align(self, segment: str, a: list[int], b: list[int]) -> dict:
-        """The groups between common ends of tokens, as text, and a number for every pair of ids that overlap."""
+    def links(self, segment: str, a: list[int], b: list[int]) -> list[int]:
+        """A link for every pair of tokens that overlap, in order; none where a tokenizer doesn't give the segment back."""
         own, texts_a, texts_b = segment.encode(), [self.bytes_a.get(i, b"") for i in a], [self.bytes_b[i] for i in b]
         if b"".join(texts_a) != own or b"".join(texts_b) != own:
-            return {"whole": False, "n_a": 0, "n_b": 0, "n_groups": 0, "groups": "", "pairs": []}
-        groups, pairs, i, j, end_a, end_b = [], [], 0, 0, len(texts_a[0]), len(texts_b[0])
-        first_a = first_b = 0
+            return []
+        out, i, j, end_a, end_b = [], 0, 0, len(texts_a[0]), len(texts_b[0])
         while True:
-            pairs.append(a[i] << 32 | b[j])
+            pair = a[i] << ID_BITS | b[j]
             if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[first_a : i + 1]))}|{','.join(map(str, b[first_b : j + 1]))}")
+                out.append(pair << 2 | 3)
                 i, j = i + 1, j + 1
                 if i == len(a):
-                    break
-                first_a, first_b, end_a, end_b = i, j, end_a + len(texts_a[i]), end_b + len(texts_b[j])
+                    return out
+                end_a, end_b = end_a + len(texts_a[i]), end_b + len(texts_b[j])
             elif end_a < end_b:
+                out.append(pair << 2 | 1)
                 i += 1
                 end_a += len(texts_a[i])
             else:
+                out.append(pair << 2 | 2)
                 j += 1
                 end_b += len(texts_b[j])
-        return {"whole": True, "n_a": len(a), "n_b": len(b), "n_groups": len(groups), "groups": ";".join(groups), "pairs": pairs}
 
 
-def _chunks(docs: DataFrame) -> DataFrame:
-    """chunk, doc_id, segments, numbers: a row with the distinct segments of each chunk, and one for each of its documents."""
-    schema = pa.schema([("chunk", pa.int64()), ("doc_id", pa.int64()), ("segments", pa.list_(pa.string())), ("numbers", pa.binary())])
+def groups_text(links: list[int]) -> str:
+    """A segment's groups of ids, ``a1,a2|b1;a3|b2,b3``."""
+    groups, a, b, mask = [], [], [], (1 << ID_BITS) - 1
+    for link in links:
+        if link & 1:
+            a.append(str(link >> ID_BITS + 2))
+        if link & 2:
+            b.append(str(link >> 2 & mask))
+        if link & 3 == 3:
+            groups.append(f"{','.join(a)}|{','.join(b)}")
+            a, b = [], []
+    return ";".join(groups)
 
-    def chunk(at: int, known: dict[str, int], held: list[tuple]) -> pa.RecordBatch:
-        kind = np.uint16 if len(known) <= 1 << 16 else np.uint32
-        rows = [{"chunk": at, "segments": list(known)}] if known else []
-        rows += [{"chunk": at, "doc_id": i, "numbers": bytes([np.dtype(kind).itemsize]) + np.array(n, kind).tobytes()} for i, n in held]
-        return pa.RecordBatch.from_pylist(rows, schema)
 
-    def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, known, held, n = TaskContext.get().partitionId() << 33, {}, [], 0
-        for batch in batches:
-            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = value.as_py()
-                held.append((doc_id, [known.setdefault(s, len(known)) for s in segments_of(text)] if text else []))
-                n += len(text)
-                if n >= CHUNK_CHARS or len(held) >= CHUNK_DOCS:
-                    yield chunk(at, known, held)
-                    at, known, held, n = at + 1, {}, [], 0
-        if held:
-            yield chunk(at, known, held)
+def squeezed(numbers: np.ndarray) -> bytes:
+    """Numbers as compressed bytes, equal places of all of them side by side."""
+    return zstandard.compress(numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()) if len(numbers) else b""
 
-    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text"))
-    return checkpointed(rows.mapInArrow(chunked, "chunk bigint, doc_id bigint, segments array<string>, numbers binary"))
 
+def restored(data: bytes, kind: type) -> np.ndarray:
+    if not data:
+        return np.empty(0, kind)
+    flat = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(flat.T).view(kind)[:, 0]
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of runs of ``values``, which have the given sizes."""
+    total = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(sizes)
+    return total[ends] - total[ends - sizes]
 
-def _aligned(entries: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """segment, whole, n_a, n_b, n_groups, groups, pairs: each distinct segment aligned once."""
-    schema = pa.schema([("segment", pa.string()), ("whole", pa.bool_()), ("n_a", pa.int64()), ("n_b", pa.int64()),
-                        ("n_groups", pa.int64()), ("groups", pa.string()), ("pairs", pa.list_(pa.int64()))])
 
-    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (path_a, path_b) not in _ALIGNERS:
-            _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
-        aligner = _ALIGNERS[path_a, path_b]
-        for batch in batches:
-            for k in range(0, batch.num_rows, ENCODED):
-                found = batch.column(0).slice(k, ENCODED).to_pylist()
-                rows = [{"segment": s} | aligner.align(s, *t) for s, t in zip(found, aligner.tokens(found), strict=True)]
-                yield pa.RecordBatch.from_pylist(rows, schema)
+def _members(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of runs, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
-    distinct = entries.select("segment").distinct()
-    fields = "segment string, whole boolean, n_a bigint, n_b bigint, n_groups bigint, groups string, pairs array<bigint>"
-    return checkpointed(distinct.mapInArrow(align, fields))
 
+#: What is kept of a chunk: documents' ids, whether they have one, and their segments' numbers, by document; links by segment;
+#: distinct pairs of ids, and the chunk's documents that hold them.
+_KEPT = {"ids": np.int64, "named": np.bool_, "lengths": np.int64, "numbers": np.uint32, "n_links": np.uint32, "links": np.int64, "pairs": np.int64, "docs": np.int64}
 
-def _by_chunk(entries: DataFrame, documents: DataFrame) -> DataFrame:
-    """Rows of chunks, together and in order: what its segments are by their numbers, then its documents."""
-    first = entries.withColumns({"place": F.lit(0), "doc_id": F.lit(None).cast("bigint"), "numbers": F.lit(None).cast("binary")})
-    rows = first.unionByName(documents.withColumns({"place": F.lit(1), "pos": F.lit(0)}), allowMissingColumns=True)
-    return rows.repartition("chunk").sortWithinPartitions("chunk", "place", "pos")
+_ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
-def _numbers(value: bytes) -> np.ndarray:
-    """The numbers of a document's segments."""
-    return np.frombuffer(value, np.uint16 if value[0] == 2 else np.uint32, offset=1)
+def _chunk(aligner: Aligner, segments: list[str], held: list[tuple]) -> dict:
+    """A chunk of documents (id, numbers of segments)."""
+    links = []
+    for k in range(0, len(segments), ENCODED):
+        part = segments[k : k + ENCODED]
+        links += [aligner.links(s, *t) for s, t in zip(part, aligner.tokens(part), strict=True)]
+    n_links = np.array([len(x) for x in links], np.int64)
+    all_links, starts = np.array([v for x in links for v in x], np.int64), np.cumsum(n_links) - n_links
+    found, pairs, docs, n = [], np.empty(0, np.int64), np.empty(0, np.int64), 0
+    for k, (_, numbers) in enumerate(held):
+        own = np.unique(np.array(numbers, np.int64))
+        if len(own) and n_links[own].all():
+            found.append(np.unique(all_links[_members(starts[own], n_links[own])] >> 2))
+            n += len(found[-1])
+        if found and (n >= OUT_ROWS * 40 or k + 1 == len(held)):
+            pairs, at = np.unique(np.concatenate([pairs, *found]), return_inverse=True)
+            docs = np.bincount(at, np.concatenate([docs, np.ones(n, np.int64)]), len(pairs)).astype(np.int64)
+            found, n = [], 0
+    numbers = [np.array(x, np.uint32) for _, x in held]
+    kept = {
+        "ids": np.array([i or 0 for i, _ in held], np.int64), "named": np.array([i is not None for i, _ in held], np.bool_),
+        "lengths": np.array([len(x) for x in numbers], np.int64), "numbers": np.concatenate(numbers), "n_links": n_links.astype(np.uint32),
+        "links": all_links, "pairs": pairs, "docs": docs,
+    }
+    return {name: squeezed(v) for name, v in kept.items()}
+
+
+def _chunks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """A row for each chunk, with what is kept of it."""
+    schema = pa.schema([("chunk", pa.int64()), *[(name, pa.binary()) for name in _KEPT]])
 
+    def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (path_a, path_b) not in _ALIGNERS:
+            _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
+        aligner, at, known, held, n = _ALIGNERS[path_a, path_b], TaskContext.get().partitionId() << 33, {}, [], 0
+        for batch in batches:
+            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text = value.as_py()
+                held.append((doc_id, [known.setdefault(s, len(known)) for s in segments_of(text)] if text else []))
+                n += len(text)
+                if n >= CHUNK_CHARS or len(held) >= CHUNK_DOCS:
+                    yield pa.RecordBatch.from_pylist([{"chunk": at} | _chunk(aligner, list(known), held)], schema)
+                    at, known, held, n = at + 1, {}, [], 0
+        if held:
+            yield pa.RecordBatch.from_pylist([{"chunk": at} | _chunk(aligner, list(known), held)], schema)
 
-def _pair_documents(entries: DataFrame, documents: DataFrame) -> DataFrame:
-    """pair, docs: in how many documents a pair of ids is linked."""
+    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text"))
+    return checkpointed(rows.mapInArrow(chunked, "chunk bigint, " + ", ".join(f"{name} binary" for name in _KEPT)))
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, pairs, found = None, [], []
 
-        def summed() -> Iterator[pa.RecordBatch]:
-            if found:
-                each, n = np.unique(np.concatenate(found), return_counts=True)
-                whole = pa.RecordBatch.from_arrays([pa.array(each), pa.array(n)], ["pair", "docs"])
-                yield from (whole.slice(k, OUT_ROWS) for k in range(0, len(each), OUT_ROWS))
+def _pairs(chunks: DataFrame) -> DataFrame:
+    """chunk, pair, docs."""
 
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            chunks, places = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for k, (at, place) in enumerate(zip(chunks, places, strict=True)):
-                if at != chunk:
-                    yield from summed()
-                    chunk, pairs, found = at, [], []
-                if not place:
-                    # Segments that a tokenizer changes leave their documents without tokens.
-                    pairs.append(np.unique(batch.column(2)[k].values.to_numpy()) if batch.column(2)[k].is_valid else None)
-                    continue
-                own = [pairs[n] for n in np.unique(_numbers(batch.column(3)[k].as_py())).tolist()]
-                if own and all(p is not None for p in own):
-                    found.append(np.unique(np.concatenate(own)))
-                    if sum(map(len, found[-64:])) > OUT_ROWS * 100:  # documents of very many pairs
-                        yield from summed()
-                        found = []
-        yield from summed()
-
-    rows = _by_chunk(entries.select("chunk", "pos", F.when(F.col("whole"), F.col("pairs")).alias("pairs")), documents)
-    counts = rows.select("chunk", "place", "pairs", "numbers").mapInArrow(counted, "pair bigint, docs bigint")
-    return checkpointed(counts.groupBy("pair").agg(F.sum("docs").alias("docs")))
-
-
-def _composed(entries: DataFrame, documents: DataFrame) -> DataFrame:
-    """The documents, each from its segments."""
-    sums = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
-    schema = pa.schema([("doc_id", pa.int64()), *[(c, pa.int64()) for c in sums], ("groups", pa.string())])
+            for k in range(batch.num_rows):
+                pairs, docs = (restored(batch.column(c)[k].as_py(), np.int64) for c in (1, 2))
+                for m in range(0, len(pairs), OUT_ROWS):
+                    own = pairs[m : m + OUT_ROWS]
+                    columns = [pa.array([batch.column(0)[k].as_py()] * len(own), pa.int64()), pa.array(own), pa.array(docs[m : m + OUT_ROWS])]
+                    yield pa.RecordBatch.from_arrays(columns, ["chunk", "pair", "docs"])
+
+    return chunks.select("chunk", "pairs", "docs").mapInArrow(unpacked, "chunk bigint, pair bigint, docs bigint")
+
+
+SUMS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+_OUT = pa.schema([("doc_id", pa.int64()), *[(c, pa.int64()) for c in SUMS], ("groups", pa.string())])
+
+
+def _documents(kept: dict[str, np.ndarray], counts: np.ndarray, best: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The documents of a chunk; counts and marks of its pairs are in the pairs' order."""
+    n_links, links, lengths, numbers = kept["n_links"].astype(np.int64), kept["links"], kept["lengths"], kept["numbers"]
+    at, ends = np.searchsorted(kept["pairs"], links >> 2), links & 3
+    # Segments that a tokenizer changes have no links and are in no counted pair.
+    at = np.minimum(at, max(len(counts) - 1, 0))
+    known = [ends & 1, ends >> 1, ends == 3, np.ones(len(links), np.int64), best[at] if len(best) else ends, counts[at] if len(counts) else ends]
+    whole = _sums((n_links == 0)[numbers].astype(np.int64), lengths) == 0
+    columns = [np.where(whole, _sums(_sums(v.astype(np.int64), n_links)[numbers], lengths), 0) for v in known]
+    flat, last = links.tolist(), np.cumsum(n_links).tolist()
+    texts = [groups_text(flat[a:b]) for a, b in zip([0, *last], last, strict=False)]
+    out, first, n, until = [], 0, 0, np.cumsum(lengths)
+    for k in range(len(lengths)):
+        out.append(";".join([texts[i] for i in numbers[until[k] - lengths[k] : until[k]].tolist()]) if whole[k] else "")
+        n += 100 + len(out[-1])
+        if n >= OUT_BYTES or k + 1 == len(lengths):
+            rows = slice(first, k + 1)
+            arrays = [pa.array(kept["ids"][rows], mask=~kept["named"][rows]), *[pa.array(c[rows]) for c in columns], pa.array(out, pa.string())]
+            yield pa.RecordBatch.from_arrays(arrays, schema=_OUT)
+            out, first, n = [], k + 1, 0
+
+
+def _composed(chunks: DataFrame, counted: DataFrame) -> DataFrame:
+    """The documents of all chunks; ``counted`` has chunk, pair, count and best of every pair of a chunk."""
 
     def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, known, texts, table, out, n = None, [], [], None, [], 0
+        chunk, kept, counts, best = None, None, [], []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if kept is not None:
+                none = np.empty(0, np.int64)
+                yield from _documents(kept, np.concatenate([none, *counts]), np.concatenate([none, *best]))
+
         for batch in batches:
-            chunks, places, ids, whole, groups = (batch.column(c).to_pylist() for c in (0, 1, 2, 4, 5))
-            values = np.stack([batch.column(c).fill_null(0).to_numpy() for c in range(6, 6 + len(sums))], axis=1)
-            for k, (at, place) in enumerate(zip(chunks, places, strict=True)):
-                if at != chunk:
-                    chunk, known, texts, table = at, [], [], None
-                if not place:
-                    known.append(values[k])
-                    texts.append(groups[k] if whole[k] else None)
-                    continue
-                numbers = _numbers(batch.column(3)[k].as_py())
-                own = [texts[i] for i in numbers.tolist()]
-                if own and None not in own:
-                    table = np.stack(known) if table is None else table
-                    row = dict(zip(sums, table[numbers].sum(axis=0).tolist(), strict=True)) | {"groups": ";".join(own)}
-                else:
-                    row = dict.fromkeys(sums, 0) | {"groups": ""}
-                out.append({"doc_id": ids[k]} | row)
-                n += 100 + len(row["groups"])
-                if n >= OUT_BYTES:
-                    yield pa.RecordBatch.from_pylist(out, schema)
-                    out, n = [], 0
-        if out:
-            yield pa.RecordBatch.from_pylist(out, schema)
-
-    rows = _by_chunk(entries, documents).select("chunk", "place", "doc_id", "numbers", "whole", "groups", *sums)
-    return rows.mapInArrow(compose, "doc_id bigint, " + ", ".join(f"{c} bigint" for c in sums) + ", groups string")
+            own = batch.column(0).to_numpy()
+            for k in np.flatnonzero(np.r_[True, own[1:] != own[:-1]]).tolist():
+                n = int(np.searchsorted(own[k:] != own[k], True)) if (own[k:] != own[k]).any() else len(own) - k
+                part = batch.slice(k, n)
+                if own[k] != chunk:
+                    yield from done()
+                    chunk, counts, best = own[k], [], []
+                    kept = {name: restored(part.column(3 + c)[0].as_py(), kind) for c, (name, kind) in enumerate(_KEPT.items())}
+                    part = part.slice(1)
+                counts.append(part.column(1).to_numpy(zero_copy_only=False))
+                best.append(part.column(2).to_numpy(zero_copy_only=False))
+        yield from done()
+
+    # A chunk's own row comes first, then its pairs in order.
+    rows = chunks.withColumns({"pair": F.lit(-1).cast("bigint")}).unionByName(counted, allowMissingColumns=True)
+    rows = rows.repartition("chunk").sortWithinPartitions("chunk", "pair").select("chunk", "count", "best", *_KEPT)
+    return rows.mapInArrow(compose, "doc_id bigint, " + ", ".join(f"{c} bigint" for c in SUMS) + ", groups string")
 
 
 def align_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -248,14 +286,9 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     is, has no tokens: zeros and an empty ``groups``. Repeated rows give a row each and count
     each; other columns are not used; an empty table gives no rows.
     """
-    chunks = _chunks(docs)
-    entries = chunks.where("segments IS NOT NULL").select("chunk", F.posexplode("segments").alias("pos", "segment"))
-    documents = chunks.where("numbers IS NOT NULL").select("chunk", "doc_id", "numbers")
-    aligned = _aligned(entries, path_a, path_b)
-    counts = _pair_documents(entries.join(aligned.select("segment", "whole", "pairs"), "segment"), documents)
-    best = counts.groupBy(F.shiftright("pair", 32).alias("a")).agg(F.max("docs").alias("most"))
-    counts = counts.withColumn("a", F.shiftright("pair", 32)).join(best, "a").select("pair", "docs", (F.col("docs") == F.col("most")).cast("bigint").alias("best"))
-    links = aligned.where("whole").select("segment", F.explode("pairs").alias("pair"))
-    summed = links.join(counts, "pair").groupBy("segment").agg(F.count(F.lit(1)).alias("n_links"), F.sum("best").alias("n_best"), F.sum("docs").alias("count_sum"))
-    known = checkpointed(aligned.drop("pairs").join(summed, "segment", "left"))
-    return _composed(entries.join(known, "segment").drop("segment"), documents)
+    chunks = _chunks(docs, path_a, path_b)
+    pairs = _pairs(chunks)
+    counts = checkpointed(pairs.groupBy("pair").agg(F.sum("docs").alias("count")).withColumn("a", F.shiftright("pair", ID_BITS)))
+    most = counts.groupBy("a").agg(F.max("count").alias("most"))
+    counts = counts.join(most, "a").select("pair", "count", (F.col("count") == F.col("most")).cast("bigint").alias("best"))
+    return _composed(chunks, pairs.select("chunk", "pair").join(counts, "pair"))
