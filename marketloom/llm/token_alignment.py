@@ -30,6 +30,8 @@ from .common import checkpointed, text_of
 
 #: Code points and documents of a chunk.
 CHUNK_CHARS, CHUNK_DOCS = 8_000_000, 50_000
+#: Segments that a worker remembers from chunk to chunk, about.
+TABLE = 200_000
 #: Segments that are tokenised at a time, pairs and bytes of text that a task gives back at a time.
 ENCODED, OUT_ROWS, OUT_BYTES = 2000, 50_000, 4 << 20
 #: A link is a number: its A id, its B id, and two bits that tell whether A's or B's token ends there.
@@ -74,7 +76,10 @@ class Aligner:
         # The letters that stand for bytes: printable ones of Latin-1 for themselves, the others from U+0100 on.
         plain = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b]
         letters = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(plain))}
-        self.bytes_a = {i: bytes(letters[c] for c in t) for t, i in parts["model"]["vocab"].items() if all(c in letters for c in t)}
+        by_id = {i: bytes(letters[c] for c in t) for t, i in parts["model"]["vocab"].items() if all(c in letters for c in t)}
+        self.bytes_a = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
+        #: Links of segments that a chunk of this worker held several times.
+        self.known: dict[str, list[int]] = {}
 
     def tokens(self, segments: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of A and B for each segment; B puts the first space there itself."""
@@ -83,9 +88,11 @@ class Aligner:
 
     def links(self, segment: str, a: list[int], b: list[int]) -> list[int]:
         """A link for every pair of tokens that overlap, in order; none where a tokenizer doesn't give the segment back."""
-        own, texts_a, texts_b = segment.encode(), [self.bytes_a.get(i, b"") for i in a], [self.bytes_b[i] for i in b]
+        own, texts_a, texts_b = segment.encode(), [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
         if b"".join(texts_a) != own or b"".join(texts_b) != own:
             return []
+        if len(a) == len(b) == 1:
+            return [(a[0] << ID_BITS | b[0]) << 2 | 3]
         out, i, j, end_a, end_b = [], 0, 0, len(texts_a[0]), len(texts_b[0])
         while True:
             pair = a[i] << ID_BITS | b[j]
@@ -153,15 +160,22 @@ _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 def _chunk(aligner: Aligner, segments: list[str], held: list[tuple]) -> dict:
     """A chunk of documents (id, numbers of segments)."""
-    links = []
-    for k in range(0, len(segments), ENCODED):
-        part = segments[k : k + ENCODED]
-        links += [aligner.links(s, *t) for s, t in zip(part, aligner.tokens(part), strict=True)]
+    numbers = [np.array(x, np.uint32) for _, x in held]
+    links = [aligner.known.get(s) for s in segments]
+    new = [k for k, v in enumerate(links) if v is None]
+    for at in range(0, len(new), ENCODED):
+        part = [segments[k] for k in new[at : at + ENCODED]]
+        for k, s, ids in zip(new[at : at + ENCODED], part, aligner.tokens(part), strict=True):
+            links[k] = aligner.links(s, *ids)
+    if len(aligner.known) > TABLE:
+        aligner.known.clear()
+    often = np.bincount(np.concatenate(numbers), minlength=len(segments)) > 2
+    aligner.known.update((segments[k], links[k]) for k in new if often[k])
     n_links = np.array([len(x) for x in links], np.int64)
     all_links, starts = np.array([v for x in links for v in x], np.int64), np.cumsum(n_links) - n_links
     found, pairs, docs, n = [], np.empty(0, np.int64), np.empty(0, np.int64), 0
-    for k, (_, numbers) in enumerate(held):
-        own = np.unique(np.array(numbers, np.int64))
+    for k in range(len(held)):
+        own = np.unique(numbers[k])
         if len(own) and n_links[own].all():
             found.append(np.unique(all_links[_members(starts[own], n_links[own])] >> 2))
             n += len(found[-1])
@@ -169,7 +183,6 @@ def _chunk(aligner: Aligner, segments: list[str], held: list[tuple]) -> dict:
             pairs, at = np.unique(np.concatenate([pairs, *found]), return_inverse=True)
             docs = np.bincount(at, np.concatenate([docs, np.ones(n, np.int64)]), len(pairs)).astype(np.int64)
             found, n = [], 0
-    numbers = [np.array(x, np.uint32) for _, x in held]
     kept = {
         "ids": np.array([i or 0 for i, _ in held], np.int64), "named": np.array([i is not None for i, _ in held], np.bool_),
         "lengths": np.array([len(x) for x in numbers], np.int64), "numbers": np.concatenate(numbers), "n_links": n_links.astype(np.uint32),
