@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions import vocabularies as V
+from marketloom.operators import dictionary
 from marketloom.functions.text import ACCENTED, PLAIN
 
 
@@ -286,28 +287,18 @@ def country_of(df: DataFrame, countries: DataFrame, column: str = "country") ->
 
 
 def models_of(df: DataFrame, rules: DataFrame, brand: str = "brand", text: str = "text") -> DataFrame:
-    """``df`` with specific_model and parent_model of the brand's first rule (by priority) whose ``alternate`` is in the text.
-
-    Rules of a brand are gathered in one array that is joined by the brand; they are a vocabulary of bounded size.
-    """
-    packed = rules.groupBy(brand).agg(
-        F.array_sort(F.collect_list(F.struct("priority", F.lower("alternate").alias("alternate"), "specific_model", "parent_model"))).alias("__rules")
-    )
-    joined = df.join(packed, brand, "left")
-    low = F.lower(F.col(text))
-    hit = F.get(F.filter("__rules", lambda r: F.contains(low, r["alternate"])), F.lit(0))
-    return joined.withColumns({"specific_model": hit["specific_model"], "parent_model": hit["parent_model"]}).drop("__rules")
+    """``df`` with specific_model and parent_model of the brand's first rule (by priority) whose ``alternate`` is in the text."""
+    phrases = rules.select(F.col(brand), F.lower("alternate").alias("phrase"), "priority", "specific_model", "parent_model")
+    found = {c: F.col(c) for c in ("specific_model", "parent_model")}
+    return dictionary.with_best_phrase(df, F.lower(F.col(text)), phrases, [brand], [F.col("priority")], found)
 
 
 def brand_of(df: DataFrame, brands: DataFrame, title: str = "title") -> DataFrame:
-    """``df`` with the longest of the brands (name, alias) that stands as whole words in the title; null if none.
+    """``df`` and ``brand_found``: that of the brands (name, alias) whose alias is the longest that stands as whole words in the title.
 
-    Distinct words of the title meet the first words of the names, so no row is compared with every brand.
+    Of aliases of one length the last by name is taken; null if there is none.
     """
-    word = r"[^\p{L}\p{N}]+"
-    names = brands.select("name", F.lower("alias").alias("alias")).withColumn("first_word", F.get(F.filter(F.split("alias", word), lambda w: w != ""), F.lit(0)))
-    keyed = df.withColumn("__row", F.monotonically_increasing_id())
-    words = keyed.select("__row", F.lower(title).alias("__t"), F.explode(F.array_distinct(F.split(F.lower(title), word))).alias("first_word"))
-    hits = words.join(names, "first_word").where(F.expr(r"concat(' ', regexp_replace(__t, '[^\\p{L}\\p{N}]+', ' '), ' ') LIKE concat('% ', regexp_replace(alias, '[^\\p{L}\\p{N}]+', ' '), ' %')"))
-    best = hits.groupBy("__row").agg(F.max_by("name", F.struct(F.length("alias"), "name")).alias("brand_found"))
-    return keyed.join(best, "__row", "left").drop("__row")
+    words = lambda c: F.regexp_replace(F.concat(F.lit(" "), F.lower(c), F.lit(" ")), r"[^\p{L}\p{N}]+", " ")
+    phrases = brands.select("name", F.length("alias").alias("size"), words(F.col("alias")).alias("phrase")).where("phrase <> ' '")
+    order = [F.col("size"), F.col("name")]
+    return dictionary.with_best_phrase(df, words(F.col(title)), phrases, [], order, {"brand_found": F.col("name")}, last=True)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import string
+import sys
+import unicodedata
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,10 +61,30 @@ def hash_id(*columns: Column, prefix: str | None = None) -> Column:
     return F.sha2(F.concat_ws("-", *([F.lit(prefix)] if prefix else []), *parts), 256)
 
 
+def _decompositions() -> list[tuple[str, str]]:
+    """For the first, second ... letter of what characters are in ASCII by their compatibility decomposition: characters and letters.
+
+    Characters that are ASCII letters no longer stand last, so that ``translate`` takes them out.
+    """
+    found = ((chr(c), unicodedata.normalize("NFKD", chr(c)).encode("ascii", "ignore").decode()) for c in range(0x80, sys.maxunicode + 1) if not 0xD800 <= c <= 0xDFFF)
+    plain = sorted(((c, p) for c, p in found if p), key=lambda x: -len(x[1]))
+    longest = len(plain[0][1])
+    return [("".join(c for c, _ in plain), "".join(p[k] for _, p in plain if len(p) > k)) for k in range(longest)]
+
+
+DECOMPOSITIONS = _decompositions()
+
+
+def ascii_of(c: Column) -> Column:
+    """Characters by their compatibility decomposition (NFKD), what is not ASCII then left out."""
+    expanded = lambda ch: F.concat(*[F.translate(ch, chars, letters) for chars, letters in DECOMPOSITIONS])
+    letters = F.transform(F.split(c, ""), lambda ch: F.when(non_ascii(ch), F.regexp_replace(expanded(ch), r"[^\x00-\x7F]", "")).otherwise(ch))
+    return F.when(non_ascii(c), F.array_join(letters, "")).otherwise(c)
+
+
 def slug(c: Column) -> Column:
     """Lower-case words joined by hyphens, accents and other signs left out."""
-    plain = F.regexp_replace(F.translate(c, ACCENTED, PLAIN), r"[^\x00-\x7F]", "")
-    words = F.lower(F.trim(F.regexp_replace(plain, r"[^\w\s-]", "")))
+    words = F.lower(F.regexp_replace(F.regexp_replace(ascii_of(c), r"[^\w\s-]", ""), r"^\s+|\s+$", ""))
     return F.regexp_replace(words, r"[-\s]+", "-")
 
 

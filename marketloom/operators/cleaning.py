@@ -90,9 +90,20 @@ def finalize_types(df: DataFrame, quantize_rolling: bool = False) -> DataFrame:
     return df.withColumns({c: text.floor_int(F.col(c)) for c in names if c in df.columns})
 
 
-def upsert(target: DataFrame, changes: DataFrame, key: str, updated: list[str]) -> DataFrame:
-    """``target`` with the rows of ``changes``: known keys get its ``updated`` columns, unknown ones are added."""
-    changes = changes.select(*target.columns)
+def one_per_key(changes: DataFrame, key: str, order: list[Column] | None = None) -> DataFrame:
+    """The first row by ``order`` of every key (by default that of the greatest values); rows without a key stay as they are."""
+    order = order or [F.col(c).desc_nulls_last() for c in changes.columns if c != key]
+    own = first_by(changes.where(F.col(key).isNotNull()), [key], order)
+    return own.unionByName(changes.where(F.col(key).isNull()))
+
+
+def upsert(target: DataFrame, changes: DataFrame, key: str, updated: list[str], order: list[Column] | None = None) -> DataFrame:
+    """``target`` with the rows of ``changes``: known keys get its ``updated`` columns, unknown ones are added.
+
+    Of several changes of one key the first by ``order`` counts (see ``one_per_key``), so no row
+    of ``target`` is doubled and a key is added once. A change without a key is added.
+    """
+    changes = one_per_key(changes, key, order).select(*target.columns)
     new = changes.join(target.select(key), key, "left_anti").select(*target.columns)
     renamed = changes.select(F.col(key), *[F.col(c).alias(f"__{c}") for c in updated], F.lit(True).alias("__hit"))
     joined = target.join(renamed, key, "left")

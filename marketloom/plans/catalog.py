@@ -607,3 +607,82 @@ def brand_multipliers(spark, sf_dir):
     named = listings(spark, sf_dir).withColumn("brand", F.when(n == 0, "Rolex").when(n == 1, "Omega").when(n == 2, "Hamilton").otherwise("Nobody"))
     bounds = outliers.thresholds(outliers.with_category(outliers.group_statistics(named, ["brand"])), by_reference=False)
     return bounds.select("brand", "lower_boundary", "upper_boundary")
+
+
+_REC = """A AS (SELECT 'rw-' || p_partkey || '.' AS ref, 'RW' || p_partkey AS key FROM part),
+R AS (SELECT l_orderkey * 10 + l_linenumber AS ingest_id, CASE WHEN l_linenumber = 7 THEN 'Nobody' ELSE 'REC Watches' END AS brand,
+  CASE l_linenumber % 3 WHEN 0 THEN 'new RW ' || l_partkey WHEN 2 THEN 'no number' END AS reference_number,
+  CASE WHEN l_linenumber % 3 = 1 THEN 'watch (rw/' || l_partkey || ')' ELSE 'a title' END AS listing_title FROM lineitem),
+X AS (SELECT *, regexp_replace(upper(reference_number), '[^0-9A-Z]', '', 'g') AS a, regexp_replace(upper(listing_title), '[^0-9A-Z]', '', 'g') AS b FROM R),
+T AS (SELECT a AS t FROM X UNION SELECT b FROM X), H AS (SELECT t, min(ref) AS ref FROM T JOIN A ON contains(t, key) GROUP BY t)"""
+
+
+def _rec_rows(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Listings of a brand without rules, and its accepted references: all part keys."""
+    line, key = F.col("l_linenumber"), F.col("l_partkey").cast("string")
+    rows = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + line).alias("ingest_id"), F.when(line == 7, "Nobody").otherwise("REC Watches").alias("brand"),
+        F.when(line % 3 == 0, F.concat(F.lit("new RW "), key)).when(line % 3 == 2, "no number").alias("reference_number"),
+        F.when(line % 3 == 1, F.concat(F.lit("watch (rw/"), key, F.lit(")"))).otherwise("a title").alias("listing_title"),
+    )
+    accepted = table(spark, sf_dir, "part").select(F.lit("REC Watches").alias("brand"), F.concat(F.lit("rw-"), F.col("p_partkey").cast("string"), F.lit(".")).alias("reference_number"))
+    return rows, accepted
+
+
+@register(f"""WITH {_REC} SELECT ingest_id, CASE WHEN brand = 'Nobody' THEN coalesce(reference_number, '') ELSE coalesce(x.ref, y.ref, reference_number, '') END AS reference_number
+FROM X LEFT JOIN H x ON x.t = a LEFT JOIN H y ON y.t = b""")
+def listed_references(spark, sf_dir):
+    rows, accepted = _rec_rows(spark, sf_dir)
+    return identifiers.with_references(rows, accepted).select("ingest_id", "reference_number")
+
+
+@register(f"WITH {_REC} SELECT ingest_id, ref AS accepted_reference FROM X LEFT JOIN H ON t = b")
+def accepted_reference(spark, sf_dir):
+    rows, accepted = _rec_rows(spark, sf_dir)
+    return identifiers.accepted_reference(rows, accepted, "listing_title").select("ingest_id", "accepted_reference")
+
+
+@register(f"""WITH {LISTINGS}, X AS (SELECT ingest_id, brand, 'the ' || lower(specific_model) || ' ' || lower(parent_model) || ', ' || year_introduced AS t FROM L),
+R AS (SELECT p_brand AS brand, CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN p_type ELSE split_part(p_name, ' ', 2) || ' ' || p_type END AS alternate, p_partkey AS priority, p_name AS specific_model, p_type || '/' || p_size AS parent_model FROM part),
+D AS (SELECT DISTINCT brand, t FROM X), H AS (SELECT D.brand, t, arg_min(specific_model, priority) AS specific_model, arg_min(parent_model, priority) AS parent_model
+  FROM D JOIN R ON R.brand = D.brand AND contains(t, lower(alternate)) GROUP BY ALL)
+SELECT ingest_id, specific_model, parent_model FROM X LEFT JOIN H USING (brand, t)""")
+def models_by_rules(spark, sf_dir):
+    rows = listings(spark, sf_dir)
+    rows = rows.select("ingest_id", "brand", F.concat(F.lit("The "), F.upper("specific_model"), F.lit(" "), F.col("parent_model"), F.lit(", "), F.col("year_introduced").cast("string")).alias("text"))
+    n = F.col("p_partkey") % 3
+    alternate = F.when(n == 0, F.col("p_name")).when(n == 1, F.col("p_type")).otherwise(F.concat_ws(" ", F.split_part("p_name", F.lit(" "), F.lit(2)), "p_type"))
+    rules = table(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("brand"), alternate.alias("alternate"), F.col("p_partkey").alias("priority"), F.col("p_name").alias("specific_model"),
+        F.concat_ws("/", "p_type", F.col("p_size").cast("string")).alias("parent_model"),
+    )
+    return attributes.models_of(rows, rules).select("ingest_id", "specific_model", "parent_model")
+
+
+_WORDS = r"regexp_replace(' ' || lower({c}) || ' ', '[^\p{{L}}\p{{N}}]+', ' ', 'g')"
+
+
+@register(f"""WITH B AS (SELECT DISTINCT p_brand AS name, p_brand AS alias FROM part UNION SELECT upper(p_name), p_name FROM part UNION SELECT 'one ' || split_part(p_name, ' ', 2), split_part(p_name, ' ', 2) FROM part
+  UNION SELECT p_type || ' of ' || p_brand, p_brand || ' ' || p_type FROM part),
+T AS (SELECT p_partkey, p_name || '-' || p_type || ' (' || p_brand || ' & ' || p_type || ')' AS title FROM part WHERE p_partkey % 5 <> 0 UNION ALL SELECT p_partkey, left(p_name, 4) || p_type FROM part WHERE p_partkey % 5 = 0),
+H AS (SELECT p_partkey, name, row_number() OVER (PARTITION BY p_partkey ORDER BY len(alias) DESC, name DESC) AS r FROM T JOIN B ON contains({_WORDS.format(c="title")}, {_WORDS.format(c="alias")}))
+SELECT p_partkey, name AS brand_found FROM T LEFT JOIN (SELECT * FROM H WHERE r = 1) USING (p_partkey)""")
+def brands_in_titles(spark, sf_dir):
+    part, kind, name, brand = table(spark, sf_dir, "part"), F.col("p_type"), F.col("p_name"), F.col("p_brand")
+    noun = F.split_part(name, F.lit(" "), F.lit(2))
+    pairs = [(brand, brand), (F.upper(name), name), (F.concat(F.lit("one "), noun), noun), (F.concat(kind, F.lit(" of "), brand), F.concat_ws(" ", brand, kind))]
+    brands = part.select(F.explode(F.array(*[F.struct(n.alias("name"), a.alias("alias")) for n, a in pairs])).alias("b")).select("b.*").distinct()
+    title = F.when(F.col("p_partkey") % 5 != 0, F.concat(name, F.lit("-"), kind, F.lit(" ("), brand, F.lit(" & "), kind, F.lit(")"))).otherwise(F.concat(F.substring(name, 1, 4), kind))
+    titles = part.select("p_partkey", title.alias("title")).repartition("title")
+    return attributes.brand_of(titles, brands).select("p_partkey", "brand_found")
+
+
+@register("""WITH T AS (SELECT o_custkey AS k, max(o_orderdate) AS d, count(*) AS n FROM orders WHERE o_custkey % 3 <> 0 GROUP BY o_custkey),
+C AS (SELECT o_custkey AS k, o_orderdate AS d, -o_orderkey AS n FROM orders WHERE o_custkey % 2 = 0 QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) = 1)
+SELECT T.k, cast(coalesce(C.d, T.d) AS DATE) AS d, n FROM (SELECT T.k, T.d, T.n FROM T) T LEFT JOIN (SELECT k, d FROM C) C USING (k) UNION ALL SELECT k, cast(d AS DATE), n FROM C WHERE k NOT IN (SELECT k FROM T)""")
+def upsert_repeated_keys(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    key, day = F.col("o_custkey").alias("k"), F.to_date("o_orderdate")
+    target = orders.where("o_custkey % 3 <> 0").groupBy(key).agg(F.max(day).alias("d"), F.count(F.lit(1)).alias("n"))
+    changes = orders.where("o_custkey % 2 = 0").select(key, day.alias("d"), (-F.col("o_orderkey")).alias("n"))
+    return cleaning.upsert(target, changes, "k", ["d"], order=[F.desc("d"), F.desc("n")])

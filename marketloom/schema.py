@@ -6,24 +6,32 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-_TEXT = """
-between_lugs bezel_color bezel_material bracelet_color bracelet_material brand_slug caliber case_finish case_material
-case_shape case_thickness caseback clasp_type country crystal dial_color diameter features frequency jewels listing_type
-lug_to_lug made_in movement numerals power_reserve seller_type serial_number specific_location style type
-water_resistance weight time_updated auction_end_time authenticity_guarantee
-""".split()
+_TEXT = [
+    "between_lugs", "bezel_color", "bezel_material", "bracelet_color", "bracelet_material", "brand_slug", "caliber",
+    "case_finish", "case_material", "case_shape", "case_thickness", "caseback", "clasp_type", "country", "crystal",
+    "dial_color", "diameter", "features", "frequency", "jewels", "listing_type", "lug_to_lug", "made_in", "movement",
+    "numerals", "power_reserve", "seller_type", "serial_number", "specific_location", "style", "type",
+    "water_resistance", "weight", "time_updated", "auction_end_time", "authenticity_guarantee",
+]
+_NAMES = [
+    "brand", "reference_number", "group_reference", "parent_model", "specific_model", "currency", "condition",
+    "status", "source", "listing_title", "watch_url", "price",
+]
 
 RAW = T.StructType(
     [T.StructField("date", T.DateType())]
-    + [T.StructField(c, T.StringType()) for c in "brand reference_number group_reference parent_model specific_model currency condition status source listing_title watch_url price".split()]
+    + [T.StructField(c, T.StringType()) for c in _NAMES]
     + [T.StructField(c, T.IntegerType()) for c in ("year_introduced", "year_of_production")]
     + [T.StructField(c, T.StringType()) for c in _TEXT]
 )
 
-ENRICHED = "date brand reference_number group_reference parent_model specific_model currency price condition year_introduced source listing_title watch_url hash_id".split()
+ENRICHED = [
+    "date", "brand", "reference_number", "group_reference", "parent_model", "specific_model", "currency", "price",
+    "condition", "year_introduced", "source", "listing_title", "watch_url", "hash_id",
+]
 
 LIBRARY = T.StructType(
-    [T.StructField(c, T.StringType()) for c in "brand reference_number group_reference parent_model specific_model".split()]
+    [T.StructField(c, T.StringType()) for c in ("brand", "reference_number", "group_reference", "parent_model", "specific_model")]
     + [T.StructField("year_introduced", T.IntegerType())]
 )
 RATES = T.StructType(

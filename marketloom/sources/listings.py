@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from functools import reduce
 from urllib.parse import unquote
 
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from marketloom.functions import calendar
 from marketloom.functions.text import is_nullish
+from marketloom.operators import cleaning
 from marketloom.schema import LIBRARY, RATES, RAW
 
 # The file names that mark weekly files and sold listings.
@@ -66,6 +68,24 @@ def write_weeks(df: DataFrame, path: str) -> None:
     df.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
+def merge_weeks(path: str, changes: DataFrame, key: str, updated: list[str], order: list[Column] | None = None) -> None:
+    """MERGE into parquet partitioned by date: known keys get the ``updated`` columns of ``changes``, unknown ones are added.
+
+    Only dates that hold a changed key or get a new row are read whole and written again; the
+    files of other dates stay. Several changes of a key count as in ``upsert``; a rerun changes
+    nothing, and a job that fails before its commit leaves the table as it was.
+    """
+    spark = changes.sparkSession
+    target = spark.read.parquet(path)
+    changes = cleaning.one_per_key(conform(changes, target.schema), key, order)
+    known = changes.select(F.col(key).alias("__key")).dropna().distinct()
+    own = target.join(known, F.col(key) == F.col("__key"), "left_semi").select("date")
+    new = changes.join(target.select(F.col(key).alias("__key")), F.col(key) == F.col("__key"), "left_anti").select("date")
+    touched = own.union(new).distinct()
+    rows = target.join(touched, target["date"].eqNullSafe(touched["date"]), "left_semi")
+    write_weeks(cleaning.upsert(rows, changes, key, updated, order), path)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 25_000, **options: str) -> None:
     df.write.format("jdbc").options(url=url, dbtable=table, batchsize=str(batch), **options).mode("append").save()
 
@@ -73,9 +93,9 @@ def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 25_000, **optio
 def replace_weeks_jdbc(df: DataFrame, url: str, table: str, batch: int = 25_000, **options: str) -> None:
     """The weeks of ``df`` in a database table, in place of what it held of them, so a rerun changes nothing.
 
-    Executors write a staging table; the database then moves it in one transaction.
+    Executors write a staging table of this run's own name; the database then moves it in one transaction.
     """
-    staging = f"{table}_staging"
+    staging = f"{table}_staging_{uuid.uuid4().hex[:12]}"
     write_jdbc(df.limit(0), url, table, batch, **options)
     df.write.format("jdbc").options(url=url, dbtable=staging, batchsize=str(batch), **options).mode("overwrite").save()
     jvm = df.sparkSession._jvm
@@ -90,16 +110,30 @@ def replace_weeks_jdbc(df: DataFrame, url: str, table: str, batch: int = 25_000,
         run, day = connection.createStatement(), f"{mark}date{mark}"
         run.executeUpdate(f"DELETE FROM {table} WHERE {day} IN (SELECT {day} FROM {staging})")
         run.executeUpdate(f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}")
-        run.executeUpdate(f"DROP TABLE {staging}")
         connection.commit()
     finally:
         connection.rollback()
+        # Some databases end a transaction with such a statement, so it comes after.
+        connection.createStatement().executeUpdate(f"DROP TABLE {staging}")
+        connection.commit()
         connection.close()
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
-    """A table of a database; filters and columns are pushed down to it."""
-    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
+def read_jdbc(spark: SparkSession, url: str, table: str, by: str | None = None, partitions: int = 16, **options: str) -> DataFrame:
+    """A table of a database; filters and columns are pushed down to it.
+
+    With ``by``, a column of numbers, dates or times, the table is read in ``partitions``
+    ranges of it at a time, the bounds of which the database is asked for; rows below, above
+    or without a value are in the first or last range. Without it one task reads all.
+    """
+    reader = spark.read.format("jdbc").options(url=url, **options)
+    if by is None:
+        return reader.option("dbtable", table).load()
+    low, high = reader.option("dbtable", f"(SELECT MIN({by}) AS low, MAX({by}) AS high FROM {table}) bounds").load().first()
+    ranged = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
+    if low is None:
+        return ranged.load()
+    return ranged.options(partitionColumn=by, lowerBound=str(low), upperBound=str(high), numPartitions=str(partitions)).load()
 
 
 def read_template(spark: SparkSession, sql: str, tables: dict[str, DataFrame], **parameters) -> DataFrame:
@@ -120,14 +154,11 @@ def latest_week(table: DataFrame, brands: list[str], key: str, run_date: Column)
 def history(table: DataFrame, brands: list[str], years: float) -> DataFrame:
     """The brands' rows from the Sunday nearest to ``years`` before their last date on.
 
-    The last date is fetched first, so the range is a literal that prunes partitions.
+    The last date is a subquery of this one's own run, whose result prunes partitions of dates.
     """
     own = table.where(F.col("brand").isin(brands))
-    last = own.agg(F.max("date")).first()[0]
-    if last is None:
-        return own
-    first = calendar.nearest_sunday(calendar.years_ago(F.lit(last).cast("date"), years))
-    return own.where(F.col("date").between(first, F.lit(last)))
+    last = own.agg(F.max("date").cast("date")).scalar()
+    return own.where(F.col("date").between(calendar.nearest_sunday(calendar.years_ago(last, years)), last))
 
 
 def before(table: DataFrame, brands: list[str], day: str) -> DataFrame:
