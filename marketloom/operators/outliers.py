@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions.text import is_nullish
+from marketloom.operators.quantiles import with_quantiles
 from marketloom.schema import PRE_OWNED
 
 # Multiples of the interquartile range, (upper, lower) by brand.
@@ -17,14 +18,21 @@ MULTIPLIERS = {
 DEFAULT_MULTIPLIERS = (4, 2.5)
 
 
-def group_statistics(df: DataFrame, keys: list[str], price: str = "price") -> DataFrame:
-    """Count, quartiles (linear), range and IQR of every group; null keys make no group."""
-    q = F.percentile(price, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    stats = df.dropna(subset=keys).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("count"), q.alias("q"), F.min(price).alias("min"), F.max(price).alias("max")
-    )
-    quartiles = {f"q{i + 1}": F.get("q", F.lit(i)) for i in range(3)}
-    return stats.withColumns(quartiles).withColumn("iqr", F.col("q3") - F.col("q1")).drop("q")
+def group_statistics(df: DataFrame, keys: list[str], price: str = "price", hot: bool | None = None) -> DataFrame:
+    """Count, quartiles (linear), range and IQR of every group; null keys make no group.
+
+    The quartiles of ``hot`` groups, which may hold a large part of all rows (by default those
+    of one key), are taken from counts of prices, others from the prices of the group.
+    """
+    own, shares = df.dropna(subset=keys), {"q1": 0.25, "q2": 0.5, "q3": 0.75}
+    ends = [F.count(F.lit(1)).alias("count"), F.min(price).alias("min"), F.max(price).alias("max")]
+    if len(keys) == 1 if hot is None else hot:
+        stats = with_quantiles(own.groupBy(*keys).agg(*ends), own, keys, price, shares)
+    else:
+        q = F.percentile(price, F.array(*map(F.lit, shares.values())))
+        stats = own.groupBy(*keys).agg(*ends, q.alias("q"))
+        stats = stats.withColumns({name: F.get("q", F.lit(i)) for i, name in enumerate(shares)}).drop("q")
+    return stats.withColumn("iqr", F.col("q3") - F.col("q1"))
 
 
 def with_category(stats: DataFrame) -> DataFrame:

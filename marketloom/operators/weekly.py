@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.calendar import week_end
 from marketloom.functions.text import identifier, slug
+from marketloom.operators.quantiles import with_quantiles
 from marketloom.operators.series import recent_dates, week_on_week
 from marketloom.schema import LEVELS, PRE_OWNED, Level
 
@@ -21,19 +22,25 @@ def joined_values(c: str) -> Column:
     return F.array_join(F.array_sort(F.collect_set(c)), ", ")
 
 
-def weekly(df: DataFrame, level: str | Level, order: str = "hash_id") -> DataFrame:
+def weekly(df: DataFrame, level: str | Level, order: str = "hash_id", hot: bool | None = None) -> DataFrame:
     """One row for each key of the level and date: prices, count, sources and what the level carries.
 
-    Null keys make no row. Firsts are by ``order``; the mean is not rounded here.
+    Null keys make no row. Firsts are by ``order``; the mean is not rounded here. The medians of
+    ``hot`` keys, which may hold a large part of all rows (by default whole brands), are taken
+    from counts of prices, others from the prices of the key.
     """
     level = LEVELS[level] if isinstance(level, str) else level
+    hot = len(level.keys) == 1 if hot is None else hot
     counted = F.count("reference_number") if "reference_number" in level.keys else F.count(F.lit(1))
-    out = df.dropna(subset=list(level.keys)).groupBy(*level.keys, "date").agg(
+    own, group = df.dropna(subset=list(level.keys)), [*level.keys, "date"]
+    out = own.groupBy(*group).agg(
         *[first_non_null(c, order).alias(c) for c in (*level.firsts, "currency")],
-        F.median("price").alias("median_price"), F.avg("price").alias("mean_price"),
+        *([] if hot else [F.median("price").alias("median_price")]), F.avg("price").alias("mean_price"),
         F.max("price").alias("high"), F.min("price").alias("low"),
         counted.alias("count"), joined_values("source").alias("source"),
     )
+    if hot:
+        out = with_quantiles(out, own, group, "price", {"median_price": 0.5})
     out = out.withColumns({"condition": F.lit("Mixed"), "brand_slug": slug(F.col("brand"))})
     return out.withColumn("identifier", identifier(F.col("brand_slug"), F.col(level.keys[-1]))) if len(level.keys) > 1 else out
 
