@@ -19,14 +19,15 @@ def bin_of(value: Column) -> Column:
     return F.when(value == 0, F.lit(0.0)).otherwise(F.signum(value) * F.floor(size / unit) * unit)
 
 
-def weighted_quantiles(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
+def weighted_quantiles(df: DataFrame, keys: list[str], value: str, wanted: dict[str, float], weight: str | None = None) -> DataFrame:
     """keys and a column for each of ``wanted`` (name: share), linear between neighbours; groups of at least one number.
 
-    Nulls and NaN in ``value`` don't count; null keys are keys like others.
+    A row counts as many times as its ``weight`` says, a whole number; once without one. Nulls
+    and NaN in ``value`` don't count; null keys are keys like others.
     """
     number = F.col(value).cast("double")
     own = df.where(number.isNotNull() & ~F.isnan(number))
-    counts = own.groupBy(*keys, number.alias("__v")).agg(F.count(F.lit(1)).alias("__n")).withColumn("__bin", bin_of(F.col("__v")))
+    counts = own.groupBy(*keys, number.alias("__v")).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("__n")).withColumn("__bin", bin_of(F.col("__v")))
     bins = counts.groupBy(*keys, "__bin").agg(F.sum("__n").alias("__in_bin"))
     before, whole = Window.partitionBy(*keys).orderBy("__bin"), Window.partitionBy(*keys)
     bins = bins.withColumns({"__upto": F.sum("__in_bin").over(before), "__all": F.sum("__in_bin").over(whole)})
@@ -50,9 +51,9 @@ def weighted_quantiles(df: DataFrame, keys: list[str], value: str, wanted: dict[
     )
 
 
-def with_quantiles(stats: DataFrame, df: DataFrame, keys: list[str], value: str, wanted: dict[str, float]) -> DataFrame:
+def with_quantiles(stats: DataFrame, df: DataFrame, keys: list[str], value: str, wanted: dict[str, float], weight: str | None = None) -> DataFrame:
     """``stats``, a row for each group, and the quantiles of its ``value`` in ``df``; null where it has none."""
-    found = weighted_quantiles(df, keys, value, wanted).withColumnsRenamed({k: f"__own{i}" for i, k in enumerate(keys)})
+    found = weighted_quantiles(df, keys, value, wanted, weight).withColumnsRenamed({k: f"__own{i}" for i, k in enumerate(keys)})
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"__own{i}"))

@@ -15,6 +15,7 @@ from marketloom.functions import vocabularies as V
 from marketloom.operators import cleaning, enrichment, liquidity, outliers, profile, series, volatility, weekly
 from marketloom.schema import LEVELS, PRE_OWNED
 from marketloom.sources import listings as sources
+from marketloom.streaming import history as batches
 from marketloom.streaming import weekly as streaming
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -686,3 +687,129 @@ def upsert_repeated_keys(spark, sf_dir):
     target = orders.where("o_custkey % 3 <> 0").groupBy(key).agg(F.max(day).alias("d"), F.count(F.lit(1)).alias("n"))
     changes = orders.where("o_custkey % 2 = 0").select(key, day.alias("d"), (-F.col("o_orderkey")).alias("n"))
     return cleaning.upsert(target, changes, "k", ["d"], order=[F.desc("d"), F.desc("n")])
+
+
+_SHAPE = "CASE WHEN v = '' THEN 'empties' WHEN regexp_full_match(v, '[+-]?[0-9]+') THEN 'integers' WHEN regexp_full_match(v, '[+-]?[0-9]*\\.[0-9]+') THEN 'decimals' WHEN regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN 'days' WHEN v IS NOT NULL THEN 'texts' END"
+_CELLS = [("key", "bigint", "o_orderkey"), ("status", "string", "nullif(o_orderstatus, 'F')"), ("price", "decimal(20,2)", "CAST(o_totalprice AS DECIMAL(20, 2))"), ("day", "date", "CAST(o_orderdate AS DATE)"), ("priority", "string", "o_orderpriority")]
+
+
+@register("WITH C AS (" + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", '{t}' AS type, CAST({e} AS VARCHAR) AS v FROM orders" for c, t, e in _CELLS) + f"""),
+S AS (SELECT *, {_SHAPE} AS shape, md5(v) AS digest FROM C), M AS (SELECT "column", min(digest || v) AS m FROM S WHERE v IS NOT NULL GROUP BY "column", left(digest, 1)),
+J AS (SELECT "column", string_agg(substr(m, 33), '|' ORDER BY m) AS samples FROM M GROUP BY "column")
+SELECT "column", type, count(*) AS rows, count(*) - count(v) AS nulls, {", ".join(f"count(*) FILTER (shape = '{n}') AS {n}" for n in (*profile.SHAPES, "texts"))}, samples
+FROM S LEFT JOIN J USING ("column") GROUP BY "column", type, samples""")
+def value_census(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("bigint").alias("key"), F.nullif("o_orderstatus", F.lit("F")).alias("status"), F.col("o_totalprice").cast("decimal(20,2)").alias("price"),
+        F.to_date("o_orderdate").alias("day"), F.col("o_orderpriority").alias("priority"),
+    )
+    return profile.value_census(orders).withColumn("samples", F.array_join("samples", "|"))
+
+
+@register(f"""WITH {LISTINGS} SELECT brand, parent_model, date, median(price) AS median_price, avg(price) AS mean_price, max(price) AS high, min(price) AS low, count(*) AS count
+FROM L WHERE brand IS NOT NULL AND parent_model IS NOT NULL AND date IS NOT NULL GROUP BY ALL""")
+def weeks_from_batches(spark, sf_dir):
+    rows, keys = listings(spark, sf_dir), ["brand", "parent_model"]
+    dealt = [batches.price_counts(rows.where(F.pmod("ingest_id", F.lit(3)) == k), keys) for k in range(3)]
+    return batches.weeks_from_counts(dealt[0].union(dealt[1]).union(dealt[2]), keys)
+
+
+#: A text in each brand's form and the reference in it; ①②③④⑤⑥ stand for the digits of a part's key.
+_BRAND_FORMS = [
+    ("Nomos Glashütte", "model ①②③④.ab", "①②③④.AB"), ("Meistersinger", "new s-bm①②③", "S-BM①②③"), ("Meistersinger", "model dm①②③bk", "DM①②③BK"),
+    ("Rolex", "m①②③④⑤⑥ln-0001 x", "①②③④⑤⑥LN-0001"), ("Rolex", "①②③④⑤⑥ln 0001", "①②③④⑤⑥LN-0001"),
+    ("Omega", "①②③.④⑤.⑥①.②③.④⑤.⑥①②", "①②③.④⑤.⑥①.②③.④⑤.⑥①②"), ("Omega", "no ①②③ ④⑤ ⑥① ②③ ④⑤ ⑥①②!", "①②③.④⑤.⑥①.②③.④⑤.⑥①②"),
+    ("A. Lange & Söhne", "①②③ ④⑤⑥ F", "①②③.④⑤⑥F"), ("Breitling", "ab①②③④⑤⑥ 1c-2d3", "AB①②③④⑤⑥1C2D3"),
+    ("Seiko", "seiko srp①②③k1", "SRP①②③K1"), ("Seiko", "text ①②③④-⑤⑥a1", "①②③④-⑤⑥A1"),
+    ("Longines", "l①.②③④.⑤.⑥①.②", "L①.②③④.⑤.⑥①.②"), ("Longines", "L① ②③④ ⑤ ⑥① ②", "L①.②③④.⑤.⑥①.②"), ("Longines", "l①.②③④.⑤ only", "L①.②③④.⑤"),
+    ("TAG Heuer", "wa①②③④.ba⑤⑥①②", "WA①②③④.BA⑤⑥①②"), ("TAG Heuer", "wa①②③④-ba⑤⑥①②", "WA①②③④.BA⑤⑥①②"),
+    ("Patek Philippe", "①②③④/1a ⑤⑥①", "①②③④/1A-⑤⑥①"), ("Audemars Piguet", "①②③④⑤st.oo.①②②⑤st.0⑥", "①②③④⑤ST.OO.①②②⑤ST.0⑥"),
+    ("Hublot", "①②③.nx.④⑤⑥①.lr", "①②③.NX.④⑤⑥①.LR"), ("Tissot", "t①②③.④⑤⑥.①②.③④⑤.⑥①", "T①②③.④⑤⑥.①②.③④⑤.⑥①"), ("Tudor", "m79①②③b-0001", "M79①②③B-0001"),
+    ("Citizen", "ab①②③④-50e x", "AB①②③④-50E"), ("IWC", "iw①②③④⑤⑥", "IW①②③④⑤⑥"), ("IWC", "iw-①②③④-⑤⑥", "IW①②③④⑤⑥"), ("Cartier", "ref wsbb①②③④", "WSBB①②③④"),
+    ("Chopard", "①②a③④⑤-⑥①②③", "①②A③④⑤-⑥①②③"), ("Zenith", "①②.a③④⑤.⑥①②-1/②③.m④⑤⑥①", "①②.A③④⑤.⑥①②-1/②③.M④⑤⑥①"), ("Zenith", "①②.a③④⑤.⑥①②/②③.m④⑤⑥①", "①②.A③④⑤.⑥①②/②③.M④⑤⑥①"),
+    ("Hamilton", "h70①②③④⑤⑥", "H70①②③④⑤⑥"), ("Jaeger-LeCoultre", "q ①②③④⑤⑥1a", "①②③④⑤⑥1A"), ("Baume & Mercier", "m0a①②③④⑤", "M0A①②③④⑤"), ("Bvlgari", "ref 10①②③④", "10①②③④"),
+    ("Rado", "r①②③④⑤⑥①②", "R①②③④⑤⑥①②"), ("Grand Seiko", "the sbga①②③g", "SBGA①②③G"), ("Vacheron Constantin", "①②③④v/②②0a-b③④⑤", "①②③④V/②②0A-B③④⑤"),
+    ("Vacheron Constantin", "①②③④v ②②0a b③④⑤", "①②③④V/②②0A-B③④⑤"), ("Blancpain", "①②③④ ⑤⑥①② b52a", "①②③④ ⑤⑥①② B52A"), ("Maurice Lacroix", "ai①②③④ ss⑤⑥1/②③0-1", "AI①②③④-SS⑤⑥1-②③0-1"),
+    ("Breguet", "①②③④bb⑤⑥1x/②③4aa", "①②③④BB⑤⑥1X/②③4AA"), ("Mido", "m①②③.④⑤⑥.1a.②③④.00", "M①②③.④⑤⑥.1A.②③④.00"), ("Bulova", "no ①②a③④⑤", "①②A③④⑤"),
+    ("Oris", "01 ①②③ ④⑤⑥① ②③④⑤", "01 ①②③ ④⑤⑥① ②③④⑤"), ("Oris", "01①②③④⑤⑥①②③④⑤", "01 ①②③ ④⑤⑥① ②③④⑤"), ("Montblanc", "mb①②③④⑤⑥", "①②③④⑤⑥"),
+    ("Frederique Constant", "fc-①②③ab④⑤", "FC-①②③AB④⑤"), ("Frederique Constant", "fc ①②③ab④⑤", "FC-①②③AB④⑤"), ("Panerai", "pam①②③", "PAM00①②③"), ("Nobody", "keep ①②③", None),
+]
+_QUOTED = ", ".join(f"({n}, '{b}', '{t}', {'NULL' if r is None else repr(r)})" for n, (b, t, r) in enumerate(_BRAND_FORMS))
+
+
+def _brand_forms(spark, sf_dir) -> DataFrame:
+    """Every form with the digits of every part's key."""
+    forms = F.array(*[F.struct(F.lit(n).alias("form"), F.lit(b).alias("brand"), F.lit(t).alias("text")) for n, (b, t, _) in enumerate(_BRAND_FORMS)])
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.lpad(F.col("p_partkey").cast("string"), 6, "1").alias("digits"), F.explode(forms).alias("f"))
+    return rows.select("p_partkey", "f.form", "f.brand", F.expr("translate(f.text, '①②③④⑤⑥', digits)").alias("text"))
+
+
+@register(f"""WITH V(form, brand, t, r) AS (VALUES {_QUOTED}), X AS (SELECT p_partkey, form, brand, translate(t, '①②③④⑤⑥', {_KEY}) AS t, translate(r, '①②③④⑤⑥', {_KEY}) AS r FROM part, V)
+SELECT p_partkey, form, CASE WHEN brand = 'Nobody' THEN CASE WHEN p_partkey % 2 = 0 THEN t ELSE '-' END ELSE r END AS reference_number FROM X""")
+def brand_rules(spark, sf_dir):
+    rows, even = _brand_forms(spark, sf_dir), F.col("p_partkey") % 2 == 0
+    reference, title = F.when(even, F.col("text")).otherwise("-"), F.when(~even, F.col("text")).otherwise("a title")
+    return rows.select("p_partkey", "form", identifiers.reference_of(F.col("brand"), reference, title).alias("reference_number"))
+
+
+@register(f"""WITH V(form, brand, t, r) AS (VALUES {_QUOTED}), X AS (SELECT p_partkey, form, brand, translate(t, '①②③④⑤⑥', {_KEY}) AS t, translate(r, '①②③④⑤⑥', {_KEY}) AS r FROM part, V)
+SELECT p_partkey, form, CASE WHEN p_partkey % 3 = 0 THEN coalesce(r, t) WHEN p_partkey % 3 = 1 THEN r WHEN brand = 'Nobody' THEN upper(t) ELSE r END AS reference_number FROM X""")
+def references_cleaned_again(spark, sf_dir):
+    """From the reference in small letters, from the title of a row without one, from the reference as the rule writes it."""
+    n = F.col("p_partkey") % 3
+    rows = _brand_forms(spark, sf_dir).withColumn("reference_number", F.when(n == 0, F.col("text")).when(n == 2, F.upper("text")))
+    rows = rows.withColumn("listing_title", F.when(n == 1, F.col("text")))
+    return identifiers.with_recleaned(rows, title="listing_title").select("p_partkey", "form", "reference_number")
+
+
+#: A text of each attribute and its standard value; ①② stand for the first digits of a part's key.
+_ATTRIBUTE_FORMS = [
+    ("whole_price", "US $①,②00.56", "①②00"), ("whole_price", "on request", ""), ("weight", "①②5 g", "①②5.0 g"), ("weight", "2 oz", "56.699 g"), ("weight", "heavy", ""),
+    ("water_resistance", "5 ATM / ①②0 m", "5.0 ATM"), ("water_resistance", "100 feet", "3.05 ATM"), ("water_resistance", "not water resistant", "Not water resistant"), ("water_resistance", "0 bar", "Not water resistant"), ("water_resistance", "", ""),
+    ("diameter", "①②,5 x 3① mm", "①②.5 x 3①.0 mm"), ("diameter", "4 cm", "40.0 mm"), ("diameter", "round", ""), ("power_reserve", "①② h", "①② hours"), ("power_reserve", "2 days", "48.0 hours"), ("power_reserve", "long", ""),
+    ("jewels", "①② Jewels", "①②"), ("jewels", "many", ""), ("production_year", "made in 19①②!", "19①②"), ("production_year", "no 3①②1", ""), ("millimetres", "①② mm (about)", "①②.0 mm"), ("millimetres", "2 in", "50.8 mm"),
+    ("seller_rating", "98%", "Excellent"), ("seller_rating", "3.2 of 5", "Average"), ("seller_rating", "great", "Great"), ("seller_rating", "0", "Unavailable"), ("seller_rating", "none", ""),
+    ("seller_type", "professional dealer", "Dealer"), ("seller_type", " AUCTION house", "Auction House"), ("seller_type", "shop ①", ""), ("currency_code", "①② eur", "EUR"), ("currency_code", "£①②", "GBP"), ("currency_code", "①②", ""),
+    ("production_decades", "1985 to 93", "1980s, 1990s"), ("production_decades", "2004", "2000s"), ("production_decades", "old", ""), ("authenticity", "Authenticity Guarantee ①", "Yes"), ("authenticity", "watch ①②", "No"),
+    ("case_material", "white gold & DLC case ①", "DLC, White Gold"), ("case_material", "ADLC over bronze", "ADLC, Bronze"), ("case_material", "ceramical", None), ("case_material", "yellow gold", "Gold"),
+    ("dial_color", "ROSE GOLD ①", "Rose Gold"), ("dial_color", "Green/Black", "Green, Black"), ("dial_color", "none ②", None), ("bracelet_material", "alligator", "Alligator, Leather"), ("bracelet_material", "calf and carbon", "Calfskin, Leather, Carbon"),
+    ("bracelet_color", "blue-brown ①", "Blue, Brown"), ("bracelet_color", "grey", "Gray"), ("clasp_type", "pin buckle", "Pin Buckle, Buckle"), ("clasp_type", "a buckle ①", "Buckle"), ("clasp_type", "hidden folding clasp", "Hidden Clasp, Folding Clasp"), ("clasp_type", "Velcro", "Velcro"),
+    ("style", "diver", "Dive, Sport"), ("style", "dress ①②", "Dress"), ("style", "sport, racing", "Sport, Racing / Driving"), ("crystal", "saphire / plexi", "Sapphire, Plexiglass"), ("case_shape", "barrel ①", "Tonneau"), ("case_shape", "octagonal", "Octagon"),
+    ("features", "alarm, 24 hour ②", "24-Hour Indication, Alarm, Hours"), ("features", "nothing", None), ("watch_type", " Ladies", "Women's Watches"), ("watch_type", "clocks", "Other / Clock"), ("watch_type", "ladies ①", ""),
+    ("listing_type", "place bid, buy now, other", "Auction, Buy it Now"), ("listing_type", "inquire", "Contact Seller"), ("listing_type", "①", ""),
+]
+_ATTRIBUTES = {
+    "jewels": lambda c: attributes.jewels(c, F.lit("ebay")), "millimetres": lambda c: attributes.millimetres(c, F.lit("ebay")),
+    "currency_code": lambda c: attributes.currency_code(c, ["USD", "EUR"]), "production_decades": lambda c: attributes.production_decades(F.lit(""), c),
+    "authenticity": lambda c: attributes.authenticity(c, F.lit("ebay"), {}),
+}
+_literal = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'"
+
+
+@register(f"""WITH V(form, t, r) AS (VALUES {", ".join(f"({n}, {_literal(t)}, {_literal(r)})" for n, (_, t, r) in enumerate(_ATTRIBUTE_FORMS))})
+SELECT p_partkey, form, translate(r, '①②', {_KEY}) AS value FROM part, V""")
+def attribute_forms(spark, sf_dir):
+    forms = F.array(*[F.struct(F.lit(n).alias("form"), F.lit(a).alias("attribute"), F.lit(t).alias("text")) for n, (a, t, _) in enumerate(_ATTRIBUTE_FORMS)])
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.lpad(F.col("p_partkey").cast("string"), 6, "1").alias("digits"), F.explode(forms).alias("f"))
+    rows = rows.select("p_partkey", "f.form", "f.attribute", F.expr("translate(f.text, '①②', digits)").alias("text"))
+    value = F.lit(None).cast("string")
+    for name in dict.fromkeys(a for a, _, _ in _ATTRIBUTE_FORMS):
+        rule = _ATTRIBUTES.get(name) or getattr(attributes, name)
+        value = F.when(F.col("attribute") == name, rule(F.col("text"))).otherwise(value)
+    return rows.select("p_partkey", "form", value.alias("value"))
+
+
+#: Attributes that list every value of which a synonym is in the text.
+_PLAIN = {"features": V.FEATURES, "crystal": V.CRYSTAL, "case_shape": V.CASE_SHAPE}
+_SYNONYMS = [s for v in _PLAIN.values() for words in v.values() for s in words]
+
+
+@register(f"""WITH W AS (SELECT [{", ".join(map(_literal, _SYNONYMS))}] AS w), N AS (SELECT p_partkey, unnest(range(0, len(w), 7)) AS k, w FROM part, W),
+X AS (SELECT p_partkey, k, upper(w[(k + p_partkey) % len(w) + 1]) || ' and ' || w[(k * 3 + p_partkey * 5) % len(w) + 1] AS t FROM N)
+SELECT p_partkey, k, {", ".join(f"{_vocabulary_sql(v, 't', False)} AS {n}" for n, v in _PLAIN.items())} FROM X""")
+def attribute_vocabularies(spark, sf_dir):
+    words, n, key = F.array(*map(F.lit, _SYNONYMS)), len(_SYNONYMS), F.col("p_partkey")
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.explode(F.sequence(F.lit(0), F.lit(n - 1), F.lit(7))).alias("k"), words.alias("w"))
+    at = lambda place: F.get("w", (place % n).cast("int"))
+    rows = rows.select("p_partkey", "k", F.concat(F.upper(at(F.col("k") + key)), F.lit(" and "), at(F.col("k") * 3 + key * 5)).alias("text"))
+    return rows.select("p_partkey", "k", *[getattr(attributes, name)(F.col("text")).alias(name) for name in _PLAIN])
