@@ -50,15 +50,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Jobs inside pass at most ``rows`` rows at a time to Python: Spark's own number is too many for long texts."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+def small_batches(spark: SparkSession, rows: int, size: int) -> Iterator[None]:
+    """Jobs inside pass at most ``rows`` rows and about ``size`` bytes at a time to Python: Spark's own numbers are too many for long texts."""
+    names = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, str(value))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -1,7 +1,8 @@
 """N-gram Jaccard join (operator 7): parity sketches, a pigeonhole join per size band, exact checks.
 
 1. Every text becomes its set of shingles (64-bit hashes). A set is named by 64 bits of a
-   digest, so rows with one set are one class from the start, and has a narrow parity sketch.
+   digest of 256, so rows with one set are one class from the start, and has a narrow parity
+   sketch. Where unlike sets share a name, other bits of their digests name them.
 2. If two sets are similar enough, their symmetric difference is at most ``d`` for the size
    band of the smaller one. A sketch has somewhat more than d + 1 blocks of parity bits; a
    shingle flips one bit, so what sets share cancels and a block must be equal. Equal blocks are
@@ -35,8 +36,8 @@ TILE_MEMBERS, HUB_PAIRS = 4096, 256
 MAX_BROADCAST_IDS = 200_000
 #: Arrow batches that our functions give hold about so many shingles; block keys of so many are linked within a task.
 OUT_SHINGLES, HELD_KEYS = 1_000_000, 1_000_000
-#: Rows that go to Python at a time, block keys that come back at a time, and bytes of sketches compared at a time.
-BATCH_ROWS, BATCH_KEYS, HELD_BYTES = 2000, 50_000, 1 << 20
+#: Rows and bytes that go to Python at a time, block keys that come back at a time, and bytes of sketches compared at a time.
+BATCH_ROWS, BATCH_BYTES, BATCH_KEYS, HELD_BYTES = 2000, 8 << 20, 50_000, 1 << 20
 #: Pairs whose sketches are compared at a time, and how many of its buckets a set knows, to leave a pair to an earlier one.
 HELD_PAIRS, FIRST_KEYS = 500_000, 6
 
@@ -182,29 +183,60 @@ def _word_hashes(docs: DataFrame) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _name(shingles: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
+#: 256 bits that tell a set.
+Digest = Callable[[np.ndarray], bytes]
 
 
-def _named(docs: DataFrame, size: int, bands: Bands) -> DataFrame:
-    """Of every row: doc_id, text (its hash), n, node (the name of its set) and sketch, these null for an empty set."""
+def set_digest(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=32).digest()
 
+
+class Names:
+    """Names of sets: the first 64 bits of the digest that are not ``taken``, which are those that unlike sets share."""
+
+    def __init__(self, digest: Digest, taken: frozenset[int] = frozenset()):
+        self.digest, self.taken = digest, taken
+
+    def of(self, shingles: np.ndarray) -> tuple[int, int]:
+        """The name, and 64 other bits to tell the set by."""
+        parts = np.frombuffer(self.digest(shingles), np.int64).tolist()
+        return next((x for x in parts[:3] if x not in self.taken), parts[2]), parts[3]
+
+
+def _named(docs: DataFrame, size: int, bands: Bands, digest: Digest) -> tuple[DataFrame, Names]:
+    """Of every row: doc_id, text (its hash), n, node (the name of its set) and sketch, these null for an empty set; and the names.
+
+    Of 10^10 sets some three pairs share a name at first; those names are fetched, and the sets named anew.
+    """
+    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.xxhash64(text_of(docs)).alias("text"), _word_hashes(docs).alias("words"))
+    names = Names(digest)
+    while True:
+        out = checkpointed(rows.mapInArrow(_namer(size, bands, names), "doc_id bigint, text bigint, n bigint, node bigint, mark bigint, sketch binary"))
+        shared = out.where("n > 0").groupBy("node").agg(F.min("mark").alias("a"), F.max("mark").alias("b")).where("a <> b")
+        found = {r["node"] for r in shared.select("node").collect()}
+        if found <= names.taken:
+            return out.drop("mark"), names
+        names = Names(digest, names.taken | found)
+
+
+def _namer(size: int, bands: Bands, names: Names) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(words, size) for words in _lists(batch.column(2))]
-            found = [pa.array([len(s) for s in sets], pa.int64())]
-            found += [pa.array([f(s) if len(s) else None for s in sets], t) for f, t in ((_name, pa.int64()), (lambda s: sketch(s, bands), pa.binary()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found], ["doc_id", "text", "n", "node", "sketch"])
+            both = [names.of(s) if len(s) else (None, None) for s in sets]
+            found = [[len(s) for s in sets], [b[0] for b in both], [b[1] for b in both]]
+            sketches = pa.array([sketch(s, bands) if len(s) else None for s in sets], pa.binary())
+            columns = [*batch.columns[:2], *[pa.array(x, pa.int64()) for x in found], sketches]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n", "node", "mark", "sketch"])
 
-    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), F.xxhash64(text_of(docs)).alias("text"), _word_hashes(docs).alias("words"))
-    return checkpointed(rows.mapInArrow(named, "doc_id bigint, text bigint, n bigint, node bigint, sketch binary"))
+    return named
 
 
 #: A set's numbers of the buckets where it meets others.
 Keys = Callable[[np.ndarray, Bands], np.ndarray]
 
 
-def _members(docs: DataFrame, size: int, bands: Bands, keys_of: Keys) -> DataFrame:
+def _members(docs: DataFrame, size: int, bands: Bands, keys_of: Keys, names: Names) -> DataFrame:
     """(key, node): the sets of each bucket of two or more."""
 
     def linked(keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
@@ -230,7 +262,7 @@ def _members(docs: DataFrame, size: int, bands: Bands, keys_of: Keys) -> DataFra
                 s = shingle_set(words, size)
                 own = keys_of(s, bands).view(np.int64)
                 keys.append(own)
-                nodes.append(np.full(len(own), _name(s), np.int64))
+                nodes.append(np.full(len(own), names.of(s)[0] if len(own) else 0, np.int64))
                 n += len(own)
                 if n >= HELD_KEYS:
                     yield from parts(keys, nodes)
@@ -392,7 +424,7 @@ def _checked(docs: DataFrame, pairs: DataFrame, classes: DataFrame, size: int, b
     return kept.mapInArrow(check, "a bigint, b bigint")
 
 
-def _grouped(docs: DataFrame, named: DataFrame, size: int, bands: Bands, by_id: bool, keys: Keys = block_keys) -> DataFrame:
+def _grouped(docs: DataFrame, named: DataFrame, names: Names, size: int, bands: Bands, by_id: bool, keys: Keys = block_keys) -> DataFrame:
     """node, doc_id, text, root of every set: where its first document is, and the group's name.
 
     ``by_id``: unlike sets of one doc_id are linked, too.
@@ -400,7 +432,7 @@ def _grouped(docs: DataFrame, named: DataFrame, size: int, bands: Bands, by_id:
     at = F.min(F.struct("doc_id", "text", "n", "sketch")).alias("at")
     classes = named.where("n > 0 AND doc_id IS NOT NULL").groupBy("node").agg(at)
     classes = checkpointed(classes.select("node", "at.*"))
-    members = _members(docs, size, bands, keys)
+    members = _members(docs, size, bands, keys, names)
     links = checkpointed(_checked(docs, _likely(members, classes, bands), classes, size, bands))
     groups = component_roots(links)
     links = links.union(_checked(docs, _across(members, groups, classes, bands), classes, size, bands))
@@ -412,7 +444,7 @@ def _grouped(docs: DataFrame, named: DataFrame, size: int, bands: Bands, by_id:
     return classes.join(roots, "node", "left").select("node", "doc_id", "text", F.coalesce("root", "node").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10, keys: Keys = block_keys) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10, keys: Keys = block_keys, digest: Digest = set_digest) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased; the set of a text is
@@ -421,12 +453,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10,
     doc_id that links reach. A null, empty or blank text has no shingles and no links, its
     component is itself. Rows with one doc_id are one document; a row without doc_id links
     with nothing and has a null component. Other columns are not used. ``keys`` names the
-    buckets of a set; the usual ones lose no link.
+    buckets of a set; the usual ones lose no link. ``digest`` tells sets apart.
     """
     bands = Bands(num, den)
-    with small_batches(docs.sparkSession, BATCH_ROWS):
-        named = _named(docs, size, bands)
-        groups = checkpointed(_grouped(docs, named, size, bands, by_id=True, keys=keys))
+    with small_batches(docs.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        named, names = _named(docs, size, bands, digest)
+        groups = checkpointed(_grouped(docs, named, names, size, bands, by_id=True, keys=keys))
     first = checkpointed(groups.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     groups = checkpointed(groups.join(first, "root").select("node", "component_id"))
     found = named.select("doc_id", "n", "node").join(groups, "node", "left")
@@ -452,7 +484,7 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int
     return kept
 
 
-def drop_near_duplicate_texts(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+def drop_near_duplicate_texts(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10, digest: Digest = set_digest) -> DataFrame:
     """``docs`` with one row for each group of near duplicates, decided by texts: no group goes because of its ids.
 
     Where ids repeat with unlike texts, each such text is a document of its own. The row
@@ -460,9 +492,9 @@ def drop_near_duplicate_texts(docs: DataFrame, size: int = 5, num: int = 8, den:
     rows with equal doc_id and text one stays, the same in every run.
     """
     bands = Bands(num, den)
-    with small_batches(docs.sparkSession, BATCH_ROWS):
-        named = _named(docs, size, bands)
-        groups = checkpointed(_grouped(docs, named, size, bands, by_id=False))
+    with small_batches(docs.sparkSession, BATCH_ROWS, BATCH_BYTES):
+        named, names = _named(docs, size, bands, digest)
+        groups = checkpointed(_grouped(docs, named, names, size, bands, by_id=False))
     first = groups.groupBy("root").agg(F.min(F.struct("doc_id", "text")).alias("first"))
     first = checkpointed(first.select("root", F.col("first.doc_id").alias("first_id"), F.col("first.text").alias("first_text")))
     groups = checkpointed(groups.join(first, "root").select("node", "first_id", "first_text"))

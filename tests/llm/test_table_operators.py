@@ -99,6 +99,23 @@ def test_repeated_and_null_ids(spark):
     assert near_duplicates.near_duplicates(df.limit(0)).count() == 0 and near_duplicates.drop_near_duplicates(df.limit(0)).count() == 0
 
 
+def test_unlike_sets_on_one_name_stay_apart(spark):
+    """Digests whose first 64 bits, and for some the next 64, are the same for unlike sets."""
+
+    def digest(shingles):
+        own = near_duplicates.set_digest(shingles)
+        return bytes(8) + (bytes(8) if own[0] % 2 else own[8:16]) + own[16:]
+
+    texts = [f"{k} " + " ".join(f"w{(7 * k + j) % 90}" for j in range(12)) for k in range(40)]
+    rows = [(k, t) for k, t in enumerate([*texts, *texts[:9]])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = near_duplicates.near_duplicates(df, digest=digest)
+    want = near_duplicates.near_duplicates(df)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    kept = near_duplicates.drop_near_duplicate_texts(df, digest=digest)
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(40))
+
+
 def test_unlike_texts_of_one_id_stay(spark):
     rows = [(5, "a b c d e f", 1), (3, "a b c d e f", 2), (5, "q r s t u v", 3), (9, "q r s t u v", 4), (None, "a b c d e f", 5), (None, None, 6), (1, "", 7)]
     rows += [(1, "least id, first text", 8), (1, "least id, other text", 9), (2, "Least ID, other text", 10), (7, "same row here", 12), (7, "same row here", 11)]
