@@ -813,3 +813,50 @@ def attribute_vocabularies(spark, sf_dir):
     at = lambda place: F.get("w", (place % n).cast("int"))
     rows = rows.select("p_partkey", "k", F.concat(F.upper(at(F.col("k") + key)), F.lit(" and "), at(F.col("k") * 3 + key * 5)).alias("text"))
     return rows.select("p_partkey", "k", *[getattr(attributes, name)(F.col("text")).alias(name) for name in _PLAIN])
+
+
+@register(f"""WITH {LISTINGS}, W AS (SELECT brand, parent_model, cast(day + cast((7 - isodow(day)) % 7 AS INT) AS DATE) AS date, avg(price) AS mean_price, count(price) AS count FROM L WHERE condition = 'New' GROUP BY 1, 2, 3),
+C AS (SELECT brand, parent_model, date, mean_price - lag(mean_price) OVER w AS "mean_price_$_change", (mean_price - lag(mean_price) OVER w) / lag(mean_price) OVER w * 100 AS "mean_price_%_change",
+  count - lag(count) OVER w AS "count_$_change", (count - lag(count) OVER w) / lag(count) OVER w * 100 AS "count_%_change" FROM W WINDOW w AS (PARTITION BY brand, parent_model ORDER BY date))
+SELECT brand, parent_model, date, "count_$_change", {", ".join(f'round("{c}", 6) AS "{c}"' for c in ("mean_price_$_change", "mean_price_%_change", "count_%_change"))} FROM C WHERE date = (SELECT max(date) FROM C)""")
+def active_listing_changes(spark, sf_dir):
+    out = weekly.active_listings(listings(spark, sf_dir).withColumn("date", F.col("day")), ["brand", "parent_model"], "New", order="ingest_id")
+    rounded = [F.round(c, 6).alias(c) for c in ("mean_price_$_change", "mean_price_%_change", "count_%_change")]
+    return out.select("brand", "parent_model", "date", "count_$_change", *rounded)
+
+
+@register(f"""WITH {LISTINGS}, W AS ({_weekly_sql("brand")}), M AS (SELECT brand, last_day(date) AS period_end, avg(median_price) AS mean_price FROM W GROUP BY ALL)
+SELECT brand, period_end, round(mean_price, 6) AS mean_price, round((mean_price - lag(mean_price) OVER w) / lag(mean_price) OVER w * 100, 6) AS pct_change FROM M WINDOW w AS (PARTITION BY brand ORDER BY period_end)""")
+def resample_means(spark, sf_dir):
+    out = volatility.resample(weekly.weekly(listings(spark, sf_dir), "brand", order="ingest_id"), ["brand"], "1M", "median_price")
+    return out.select("brand", "period_end", F.round("mean_price", 6).alias("mean_price"), F.round("pct_change", 6).alias("pct_change"))
+
+
+@register(f"WITH {LISTINGS} SELECT ingest_id, source FROM L WHERE ingest_id % 4 <> 0")
+def rows_that_name_their_source(spark, sf_dir):
+    rows = listings(spark, sf_dir).withColumn("source", F.when(F.col("ingest_id") % 4 != 0, F.col("source")))
+    return cleaning.with_source(rows).select("ingest_id", "source")
+
+
+#: Raw reference, price, year of production, currency, status; cleaned reference (none: the row goes), price, year. ①②③④ are digits of a part's key.
+_RAW_FORMS = [
+    ("ref.①②③", "1,234.5", "1990s", "USD", None, "①②③", 1234.5, 1990), ("(ab①②)", "5", "2001", "EUR", "", "AB①②", 5.0, 2001), ("x①, does not apply", "7", None, "USD", "Live", "X①", 7.0, 0),
+    ("k\u202e④", "1,000,000", "about", "USD", None, "K④", 1e6, 0), ("'a\"①[②]", "3", "1985.0", "USD", None, "A①②", 3.0, 1985), ("#-z③", "2", "2010", "USD", None, "Z③", 2.0, 2010),
+    ("does not apply", "1", "2000", "USD", None, None, None, None), ("n/a", "1", "2000", "USD", None, None, None, None), ("--", "1", "2000", "USD", None, None, None, None), ("0 - 0", "1", "2000", "USD", None, None, None, None),
+    ("", "1", "2000", "USD", None, None, None, None), (None, "1", "2000", "USD", None, None, None, None), ("a①", "abc", "2000", "USD", None, None, None, None), ("a②", None, "2000", "USD", None, None, None, None),
+    ("a③", "9", "2000", None, None, None, None, None), ("a④", "9", "2000", "USD", "Deleted", None, None, None),
+]
+
+
+@register(f"""WITH V(form, ref, price, year) AS (VALUES {", ".join(f"({n}, {_literal(r)}, {p}::DOUBLE, {y})" for n, (_, _, _, _, _, r, p, y) in enumerate(_RAW_FORMS) if r is not None)})
+SELECT p_partkey, form, translate(ref, '①②③④', {_KEY}) AS reference_number, price, year AS year_of_production, 'eBay Sold' AS source FROM part, V""")
+def clean_raw_forms(spark, sf_dir):
+    names = ("ref", "price", "year", "currency", "status")
+    forms = F.array(*[F.struct(F.lit(n).alias("form"), *[F.lit(v).cast("string").alias(c) for c, v in zip(names, row[:5], strict=True)]) for n, row in enumerate(_RAW_FORMS)])
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.lpad(F.col("p_partkey").cast("string"), 6, "1").alias("digits"), F.explode(forms).alias("f"))
+    raw = rows.select(
+        "p_partkey", "f.form", F.expr("translate(f.ref, '①②③④', digits)").alias("reference_number"), "f.price", F.col("f.year").alias("year_of_production"), "f.currency", "f.status",
+        F.lit("2024-01-07").cast("date").alias("date"), F.concat_ws("/", "p_partkey", "f.form").alias("watch_url"), F.lit("EBAY Sold").alias("source"), F.lit("A").alias("brand"),
+        F.lit(None).cast("string").alias("year_introduced"), F.col("p_partkey").alias("ingest_id"),
+    )
+    return cleaning.clean_listings(raw).select("p_partkey", "form", "reference_number", "price", "year_of_production", "source")
