@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marketloom.functions import attributes, calendar, identifiers, text
 from marketloom.functions import vocabularies as V
@@ -860,3 +861,60 @@ def clean_raw_forms(spark, sf_dir):
         F.lit(None).cast("string").alias("year_introduced"), F.col("p_partkey").alias("ingest_id"),
     )
     return cleaning.clean_listings(raw).select("p_partkey", "form", "reference_number", "price", "year_of_production", "source")
+
+
+@register(f"""WITH X AS (SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'Rolex' ELSE 'Omega' END AS brand, left({_KEY}, 3) || '.' || right({_KEY}, 3) AS r, left({_KEY}, 3) || '.0' || right({_KEY}, 3) AS padded FROM part),
+Y AS (SELECT *, brand = 'Omega' AND right(r, 3) <> '000' AS matched FROM X), Z AS (SELECT *, CASE WHEN matched AND padded IN (SELECT padded FROM X WHERE p_partkey % 2 = 0) THEN padded ELSE r END AS own FROM Y)
+SELECT p_partkey, brand, own AS reference_number, CASE WHEN matched THEN own ELSE 'old' END AS group_reference FROM Z""")
+def omega_padding(spark, sf_dir):
+    digits, key = F.lpad(F.col("p_partkey").cast("string"), 6, "1"), F.col("p_partkey")
+    part = table(spark, sf_dir, "part")
+    number = lambda join: F.concat(F.substring(digits, 1, 3), F.lit(join), F.substring(digits, 4, 3))
+    library = part.where(key % 2 == 0).select(F.lit("Omega").alias("brand"), number(".0").alias("group_reference"))
+    rows = part.select("p_partkey", F.when(key % 5 == 0, "Rolex").otherwise("Omega").alias("brand"), number(".").alias("reference_number"), F.lit("old").alias("group_reference"))
+    return identifiers.pad_omega(rows, library)
+
+
+@register(f"""WITH {LISTINGS}, D AS (SELECT DISTINCT day, cast(isodow(day) AS INT) AS w FROM L)
+SELECT day, CASE WHEN w IN (7, 1, 2, 3) THEN array_to_string(list_transform(range(0, (w % 7) + 4), lambda i: strftime(cast(day - ((w % 7) + 3) + cast(i AS INT) AS DATE), '%Y-%m-%d')), ',') END AS days FROM D""")
+def ingest_windows(spark, sf_dir):
+    days = F.array_join(F.transform(calendar.ingest_days(F.col("day")), lambda d: d.cast("string")), ",")
+    return listings(spark, sf_dir).select("day").distinct().select("day", days.alias("days"))
+
+
+@register("""SELECT try_cast(CASE WHEN o_orderkey % 7 = 0 THEN 'no ' || o_orderkey ELSE cast(o_orderkey AS VARCHAR) END AS BIGINT) AS k, try_cast(o_orderstatus AS INT) AS s,
+cast(CASE WHEN o_custkey % 3 = 0 THEN NULL ELSE cast(o_orderdate AS DATE) END AS DATE) AS d, CAST(NULL AS DOUBLE) AS missing FROM orders""")
+def coerced_columns(spark, sf_dir):
+    key = F.col("o_orderkey").cast("string")
+    rows = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("no "), key)).otherwise(key).alias("k"), F.col("o_orderstatus").alias("s"),
+        F.when(F.col("o_custkey") % 3 == 0, "some day").otherwise(F.to_date("o_orderdate").cast("string")).alias("d"), F.lit("x").alias("other"),
+    )
+    return cleaning.coerce(rows, StructType.fromDDL("k bigint, s int, d date, missing double"))
+
+
+@register("""SELECT p_partkey, cast(CASE WHEN p_size % 3 = 0 THEN 0 ELSE floor(p_retailprice) END AS INT) AS year_introduced, cast(floor(p_size / 2) AS INT) AS count,
+cast(floor(p_retailprice / 3) AS INT) AS rolling_avg_of_median_price FROM part""")
+def final_types(spark, sf_dir):
+    price, size = F.col("p_retailprice"), F.col("p_size")
+    rows = table(spark, sf_dir, "part").select(
+        "p_partkey", F.when(size % 3 != 0, price).alias("year_introduced"), (size / 2).alias("count"), (price / 3).alias("rolling_avg_of_median_price")
+    )
+    return cleaning.finalize_types(rows, quantize_rolling=True)
+
+
+@register("""WITH X AS (SELECT p_partkey, CASE WHEN p_partkey % 6 = 0 THEN 'é ' ELSE '' END || p_name || ' & ' || p_brand AS t, p_size FROM part)
+SELECT p_partkey, CASE WHEN len(repeat(t, p_size)) > 255 THEN left(repeat(t, p_size), 252) || '...' ELSE repeat(t, p_size) END AS capped,
+lower(regexp_replace(t, '[^A-Za-z0-9_-]', '_', 'g')) AS group_name, translate(t, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS upper_text, p_partkey % 6 = 0 AS non_ascii,
+sha256('part-' || p_partkey || '-' || CASE WHEN p_size % 2 = 0 THEN '<NA>' ELSE t END) AS hash_id, CASE WHEN p_size % 4 = 0 THEN NULL ELSE p_size * 1000.5::DOUBLE END AS price,
+CASE p_size % 4 WHEN 0 THEN 1990 WHEN 1 THEN 0 WHEN 2 THEN 1900 + p_size ELSE 0 END AS year FROM X""")
+def text_functions(spark, sf_dir):
+    size, key = F.col("p_size"), F.col("p_partkey").cast("string")
+    rows = table(spark, sf_dir, "part").withColumn("t", F.concat(F.when(F.col("p_partkey") % 6 == 0, "é ").otherwise(""), "p_name", F.lit(" & "), "p_brand"))
+    price = F.when(size % 4 == 0, "on request").otherwise(F.format_number(size * 1000.5, 1))
+    year = F.when(size % 4 == 0, "1990s").when(size % 4 == 1, "unknown").when(size % 4 == 2, (size + 1900).cast("string"))
+    return rows.select(
+        "p_partkey", text.cap(F.expr("repeat(t, p_size)")).alias("capped"), text.group_name(F.col("t")).alias("group_name"), text.upper_ascii(F.col("t")).alias("upper_text"),
+        text.non_ascii(F.col("t")).alias("non_ascii"), text.hash_id(key, F.when(size % 2 != 0, F.col("t")), prefix="part").alias("hash_id"),
+        text.price_number(price).alias("price"), text.year_number(year).alias("year"),
+    )
