@@ -42,3 +42,14 @@ def duration_report(df: DataFrame, stats: DataFrame) -> DataFrame:
 
 def top_models(stats: DataFrame, column: str, n: int = 5) -> DataFrame:
     return stats.orderBy(F.desc_nulls_last(column), "brand", "reference_number").limit(n)
+
+
+def full_report(df: DataFrame, stats: DataFrame, n: int = 5) -> DataFrame:
+    """``duration_report`` and the ``n`` models that stay longest and that have most urls, as lists of (brand, reference_number, value)."""
+    out = duration_report(df, stats)
+    for name, column in (("longest", "mean_days"), ("most_urls", "count")):
+        value = F.col(column).cast("double")
+        rows = top_models(stats, column, n).select(F.struct((-value).alias("order"), "brand", "reference_number", value.alias("value")).alias("row"))
+        found = F.transform(F.array_sort(F.collect_list("row")), lambda r: F.struct(r["brand"].alias("brand"), r["reference_number"].alias("reference_number"), r["value"].alias("value")))
+        out = out.withColumn(name, rows.agg(found.alias(name)).scalar())  # n rows
+    return out

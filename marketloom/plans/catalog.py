@@ -918,3 +918,15 @@ def text_functions(spark, sf_dir):
         text.non_ascii(F.col("t")).alias("non_ascii"), text.hash_id(key, F.when(size % 2 != 0, F.col("t")), prefix="part").alias("hash_id"),
         text.price_number(price).alias("price"), text.year_number(year).alias("year"),
     )
+
+
+_TOP = "(SELECT string_agg(brand || ' ' || reference_number || ' ' || cast(round({c}, 3) AS DECIMAL(20, 3)), '; ' ORDER BY {c} DESC, brand, reference_number) FROM (SELECT * FROM A ORDER BY {c} DESC, brand, reference_number LIMIT 5))"
+
+
+@register(f"""WITH {LISTINGS}, {_DURATION} SELECT (SELECT count(*) FROM D) AS urls, (SELECT count(*) FROM D WHERE active) AS active, count(*) AS models,
+{_TOP.format(c="mean_days")} AS longest, {_TOP.format(c="count")} AS most_urls FROM A""")
+def full_duration_report(spark, sf_dir):
+    rows = listings(spark, sf_dir).withColumnRenamed("ingest_id", "hash_id")
+    out = liquidity.full_report(rows, liquidity.listing_durations(rows))
+    as_text = lambda c: F.array_join(F.transform(c, lambda r: F.concat_ws(" ", r["brand"], r["reference_number"], F.round(r["value"], 3).cast("decimal(20,3)").cast("string"))), "; ")
+    return out.select("urls", "active", "models", as_text("longest").alias("longest"), as_text("most_urls").alias("most_urls"))
