@@ -58,12 +58,12 @@ class Pack:
         self.path, self.keys = self.path[:shared], self.keys[:shared]
         for role, text in turns[shared:]:
             piece, a, b = render(role, text)
-            above = [self.nodes[i] for i in self.path]
+            above = self.nodes[self.path[-1]] if self.path else None
             self.nodes.append(
                 {
                     "start": self.size, "end": self.size + len(piece), "text_start": self.size + a, "text_end": self.size + b,
-                    "position": sum(n["end"] - n["start"] for n in above), "depth": len(above),
-                    "parent": self.path[-1] if self.path else -1, "loss": role == LEARNED_ROLE, "attends": _joined(above),
+                    "position": above["position"] + above["end"] - above["start"] if above else 0, "depth": len(self.path),
+                    "parent": self.path[-1] if self.path else -1, "loss": role == LEARNED_ROLE, "attends": _attended(above),
                 }
             )
             self.path.append(len(self.nodes) - 1)
@@ -76,15 +76,14 @@ class Pack:
         return {"text": "".join(self.parts), "nodes": self.nodes, "conversations": self.conversations}
 
 
-def _joined(nodes: list[dict]) -> list[dict]:
-    """Ranges of nodes along a path; touching ones become one."""
-    out: list[dict] = []
-    for n in nodes:
-        if out and out[-1]["end"] == n["start"]:
-            out[-1] = {"start": out[-1]["start"], "end": n["end"]}
-        else:
-            out.append({"start": n["start"], "end": n["end"]})
-    return out
+def _attended(parent: dict | None) -> list[dict]:
+    """What a node under ``parent`` attends to: what the parent does, and the parent; touching ranges become one."""
+    if parent is None:
+        return []
+    out, start = list(parent["attends"]), parent["start"]
+    if out and out[-1]["end"] == start:
+        start = out.pop()["start"]
+    return [*out, {"start": start, "end": parent["end"]}]
 
 
 def format_conversations(turns: DataFrame, pack_chars: int = PACK_CHARS) -> DataFrame:
@@ -105,7 +104,7 @@ def format_conversations(turns: DataFrame, pack_chars: int = PACK_CHARS) -> Data
     turn = F.struct("turn", "role", "text", "digest")
     conversations = rows.where("conv_id IS NOT NULL").groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     conversations = conversations.union(rows.where("conv_id IS NULL").select("conv_id", F.array(turn)))
-    path = F.aggregate("turns", F.lit("").cast("binary"), lambda p, t: F.concat(p, t["digest"]))
+    path = F.unhex(F.array_join(F.transform("turns", lambda t: F.hex(t["digest"])), ""))
     conversations = conversations.withColumn("path", path)
     # The id as a second key lets one conversation that many rows repeat lie in several ranges.
     laid = conversations.repartitionByRange("path", "conv_id").sortWithinPartitions("path", "conv_id")
