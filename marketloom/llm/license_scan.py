@@ -10,6 +10,7 @@ words that tell licenses and versions apart; of templates that align with one sp
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from importlib.resources import files
@@ -92,11 +93,17 @@ def _notices() -> dict[str, str]:
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
         "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
     )
+    for v, where in (("1.0", "v10.html"), ("2.0", "2.0/")):
+        found[f"epl-{v}-notice"] = f"This work is licensed under the Eclipse Public License, version {v}."
+        found[f"epl-{v}-header"] = (
+            f"This program and the accompanying materials are made available under the terms of the Eclipse Public License {v} "
+            f"which is available at https://www.eclipse.org/legal/epl-{where}"
+        )
     for name in ("BSD 2-Clause", "BSD 3-Clause", "ISC"):
         found[f"{name.lower().replace(' ', '-')}-notice"] = f"Released under the {name} License."
     for name in (
         "MIT ISC BSD-2-Clause BSD-3-Clause Apache-2.0 MPL-1.1 MPL-2.0 GPL-1.0 GPL-2.0 GPL-3.0 LGPL-2.0 LGPL-2.1 LGPL-3.0 AGPL-3.0 "
-        "CC0-1.0 Unlicense OFL-1.1"
+        "CC0-1.0 Unlicense OFL-1.1 EPL-1.0 EPL-2.0"
     ).split():
         found[f"{name.lower()}-spdx"] = f"SPDX-License-Identifier: {name}"
     return found
@@ -111,7 +118,7 @@ TEMPLATES |= {
 }
 
 #: Words that tell licenses apart; numbers tell versions where they follow one of these or of VERSIONED, or such a number.
-TELLING = "affero lesser noncommercial sharealike noderivatives noderivs nc sa nd mit apache bsd isc mozilla gnu gpl lgpl agpl mpl cc0"
+TELLING = "affero lesser noncommercial sharealike noderivatives noderivs nc sa nd mit apache bsd isc mozilla eclipse gnu gpl lgpl agpl mpl epl cc0"
 VERSIONED = "version v license attribution by"
 #: From so many words on, a text's telling words are compared by their counts, and not in their order with the numbers.
 LONG = 200
@@ -200,6 +207,24 @@ _TELLING, _VERSIONED = ({int(h) for h in word_hashes(words)} for words in (TELLI
 _NUMBERS = {int(h) for h in word_hashes(" ".join(map(str, range(100))))}
 
 
+class Spans:
+    """Spans by their lengths' powers of two, sorted by start: those that meet another one are found without looking at all."""
+
+    def __init__(self):
+        self.by_length: dict[int, list[tuple[int, int]]] = {}
+
+    def add(self, first: int, last: int) -> None:
+        insort(self.by_length.setdefault((last - first + 1).bit_length(), []), (first, last))
+
+    def met(self, first: int, last: int) -> Iterator[tuple[int, int]]:
+        for bits, spans in self.by_length.items():
+            for at in range(bisect_left(spans, (first - (1 << bits),)), len(spans)):
+                if spans[at][0] > last:
+                    break
+                if spans[at][1] >= first:
+                    yield spans[at]
+
+
 class Index:
     """Templates and an inverted index of their fingerprints."""
 
@@ -248,16 +273,20 @@ class Index:
                 pairs = banded_match(template, part, shift + band // 2 - a, band + band // 2)
                 if len(pairs) >= min_coverage * len(template) and _is_told(template, part[pairs[0][1] : pairs[-1][1] + 1]):
                     matches.append((name, len(pairs), a + pairs[0][1], a + pairs[-1][1]))
+            kept = Spans()
             for m in sorted(matches, key=lambda m: (-m[1], m[2])):
-                if not any(o[0] == name and m[2] <= o[3] and o[2] <= m[3] for o in found):
+                if not any(kept.met(m[2], m[3])):
+                    kept.add(m[2], m[3])
                     found.append(m)
         # Templates that share the most of a span compete: coverage times matched words, so that a whole text
         # goes before a notice in it, and the text of the right version before the like one of another.
         best: list[tuple[str, int, int, int]] = []
+        kept = Spans()
         for m in sorted(found, key=lambda m: (-m[1] * m[1] / len(self.words[m[0]]), m[2], m[0])):
-            shared = lambda o: min(m[3], o[3]) - max(m[2], o[2]) + 1  # noqa: B023, E731
-            if not any(2 * shared(o) > min(m[3] - m[2], o[3] - o[2]) + 1 for o in best):
+            shared = lambda o: min(m[3], o[1]) - max(m[2], o[0]) + 1  # noqa: B023, E731
+            if not any(2 * shared(o) > min(m[3] - m[2], o[1] - o[0]) + 1 for o in kept.met(m[2], m[3])):
                 best.append(m)
+                kept.add(m[2], m[3])
         return sorted(best, key=lambda m: (m[2], m[0]))
 
 
