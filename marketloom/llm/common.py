@@ -73,6 +73,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(names: list[str]) -> list[str]:
+    """Names of columns as ``select`` takes them; one may hold a dot."""
+    return ["`" + name.replace("`", "``") + "`" for name in names]
+
+
 def hidden(df: DataFrame, *names: str) -> dict[str, str]:
     """Names for working columns that clash with none of the table's own."""
     taken = {c.lower() for c in df.columns}

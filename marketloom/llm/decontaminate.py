@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORD, checkpointed, hidden, text_of, words_of
+from .common import ALNUM_WORD, checkpointed, hidden, quoted, text_of, words_of
 
 WIDTH = 10
 #: The same words before lower-casing.
@@ -171,4 +171,4 @@ def cut_spans(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> Data
         ),
     )
     cut = F.concat(F.array_join(kept, ""), F.element_at(gaps, -1))
-    return joined.withColumn("text", F.when(cuts.isNotNull(), cut).otherwise(F.col("text"))).select(*docs.columns)
+    return joined.withColumn("text", F.when(cuts.isNotNull(), cut).otherwise(F.col("text"))).select(*quoted(docs.columns))

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, hidden
+from .common import checkpointed, hidden, quoted
 
 #: Rows that the models are fitted on, over all languages together, at most.
 SAMPLE_ROWS = 1600
@@ -160,7 +160,7 @@ def identify(docs: DataFrame, model: Model | None, pred: str = "lang_pred", scor
     A null text, or one without a letter, is ``und`` with score 0; so is every text where
     no model could be fitted. Own columns of these names are replaced, repeated rows stay.
     """
-    docs = docs.select(*[c for c in docs.columns if c.lower() not in (pred, score)])
+    docs = docs.select(*quoted([c for c in docs.columns if c.lower() not in (pred, score)]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     # Only texts go to Python and only predictions come back.
@@ -179,7 +179,7 @@ def identify(docs: DataFrame, model: Model | None, pred: str = "lang_pred", scor
 
     own = hidden(docs, "scored")["scored"]
     found = docs.withColumn(own, scored(docs["text"].cast("string")))
-    return found.select(*docs.columns, found[own]["lang"].alias(pred), found[own]["score"].alias(score))
+    return found.select(*quoted(docs.columns), found[own]["lang"].alias(pred), found[own]["score"].alias(score))
 
 
 def held_out(docs: DataFrame):
@@ -197,4 +197,4 @@ def drop_unidentified(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
         return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     own = hidden(docs, "pred", "score")
     found = identify(docs, model, own["pred"], own["score"])
-    return found.where((F.col(own["pred"]) != UNKNOWN) & (F.col(own["score"]) >= min_score)).select(*docs.columns)
+    return found.where((F.col(own["pred"]) != UNKNOWN) & (F.col(own["score"]) >= min_score)).select(*quoted(docs.columns))

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORD, checkpointed, hidden, text_of
+from .common import SPACE_WORD, checkpointed, hidden, quoted, text_of
 
 #: No source is taken, and no document repeated, more often than this.
 MAX_REPEATS = 3
@@ -67,7 +67,7 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     kept = [c for c in docs.columns if c.lower() not in new]
     digits = max(1, math.ceil(math.log(max(math.sqrt(docs.count()) / 16, 1), 16)))
     sized = docs.select(
-        *kept,
+        *quoted(kept),
         F.regexp_count(text_of(docs), F.lit(SPACE_WORD)).cast("bigint").alias("size"),
         F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias(n["src"]),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), text_of(docs))).alias(n["ord"]),
@@ -94,11 +94,17 @@ def mix(docs: DataFrame, seed: str = SEED) -> DataFrame:
     # Buckets are many and small, so a large side can't be skewed by a source; the join keeps their layout.
     laid = sized.join(starts.hint("merge"), keys).withColumn(n["first"], place)
     copies = (passed(F.col(n["first"])) - passed(F.col(n["first"]) - 1)).cast("int").alias("copies")
-    return laid.select(*kept, "size", "source_size", "target", copies)
+    return laid.select(*quoted(kept), "size", "source_size", "target", copies)
 
 
 def mixture(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """The mixed corpus itself: the columns of ``docs`` and copy_no, a row for every copy."""
-    mixed = mix(docs, seed).where("copies > 0")
-    kept = [c for c in docs.columns if c in mixed.columns and c not in ("copies", "size", "source_size", "target")]
-    return mixed.select(*kept, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy_no"))
+    """The mixed corpus itself: the columns of ``docs`` and copy_no (from 1), a row for every copy.
+
+    An own column copy_no is replaced; others keep their values, whatever their names.
+    """
+    kept = [c for c in docs.columns if c.lower() != "copy_no"]
+    clashing = [c for c in kept if c.lower() in ("size", "source_size", "target", "copies")]
+    aside = hidden(docs, *clashing)
+    mixed = mix(docs.select(*[F.col(q).alias(aside.get(c, c)) for c, q in zip(kept, quoted(kept), strict=True)]), seed)
+    own = [F.col(q).alias(c) for c, q in zip(kept, quoted([aside.get(c, c) for c in kept]), strict=True)]
+    return mixed.where("copies > 0").select(*own, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy_no"))

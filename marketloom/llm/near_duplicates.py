@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORD, ascii_lower, checkpointed, hidden, small_batches, text_of
+from .common import SPACE_WORD, ascii_lower, checkpointed, hidden, quoted, small_batches, text_of
 from .components import component_roots
 
 #: Members of a bucket that are compared in one task at most, and partners of a set that are checked in one.
@@ -466,24 +466,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10,
     return found.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
-    """``docs`` with one document, that of the smallest doc_id, for each group of near duplicates.
-
-    Rows without doc_id or without words stay; of rows with equal doc_id one stays.
-    """
-    found = checkpointed(near_duplicates(docs, size, num, den))
-    gone = checkpointed(found.where("component_id <> doc_id").select("doc_id").distinct())
-    if gone.count() <= MAX_BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    ids = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    if not ids.isEmpty():
-        twice = kept.join(ids.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
-        once = kept.join(ids.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-        kept = once.union(_one_each(twice, ["doc_id"], docs.columns).select(*docs.columns))
-    return kept
-
-
 def drop_near_duplicate_texts(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10, digest: Digest = set_digest) -> DataFrame:
     """``docs`` with one row for each group of near duplicates, decided by texts: no group goes because of its ids.
 
@@ -506,15 +488,15 @@ def drop_near_duplicate_texts(docs: DataFrame, size: int = 5, num: int = 8, den:
     own = checkpointed(own)
     few = F.broadcast(own) if own.count() <= MAX_BROADCAST_IDS else own
     rows = docs.join(few, (docs["doc_id"].cast("bigint") == few[names["id"]]) & (F.xxhash64(text_of(docs)) == few[names["hash"]]), "left")
-    once = rows.where(F.col(names["stays"]).isNull()).select(*docs.columns)
+    once = rows.where(F.col(names["stays"]).isNull()).select(*quoted(docs.columns))
     twice = rows.where(F.col(names["stays"]))
     if own.where(names["stays"]).isEmpty():
         return once
-    return once.union(_one_each(twice, [names["id"], names["hash"]], docs.columns).select(*docs.columns))
+    return once.union(_one_each(twice, [names["id"], names["hash"]], docs.columns).select(*quoted(docs.columns)))
 
 
 def _one_each(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """One row for each key, chosen by the contents of ``columns``."""
     place = hidden(rows, "place")["place"]
-    order = Window.partitionBy(*keys).orderBy(F.to_json(F.struct(*columns)))
+    order = Window.partitionBy(*keys).orderBy(F.to_json(F.struct(*quoted(columns))))
     return rows.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)

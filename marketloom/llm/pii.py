@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hidden, text_of
+from .common import hidden, quoted, text_of
 
 # Letters after the check digits of an IBAN by country (public registry).
 IBAN_LENGTHS = {
@@ -197,4 +197,4 @@ def redact(docs: DataFrame) -> DataFrame:
     out = found.withColumn("text", F.when(F.size(name) > 0, clean).otherwise(text))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size(name) > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return out.select(*quoted(docs.columns))

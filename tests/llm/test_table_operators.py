@@ -92,11 +92,9 @@ def test_repeated_and_null_ids(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = near_duplicates.near_duplicates(df).collect()
     assert Counter((r["doc_id"], r["component_id"]) for r in got) == Counter([(5, 3), (3, 3), (5, 3), (9, 3), (None, None), (None, None), (1, 1)])
-    kept = near_duplicates.drop_near_duplicates(df)
-    assert sorted((str(r["doc_id"]), r["text"] or "") for r in kept.collect()) == [("1", ""), ("3", "a b c d e f"), ("None", ""), ("None", "a b c d e f")]
     twice = spark.createDataFrame([(1, "a b c", 1), (1, "a b c", 1)], "doc_id bigint, text string, label int")
-    assert near_duplicates.drop_near_duplicates(twice).count() == 1
-    assert near_duplicates.near_duplicates(df.limit(0)).count() == 0 and near_duplicates.drop_near_duplicates(df.limit(0)).count() == 0
+    assert near_duplicates.drop_near_duplicate_texts(twice).count() == 1
+    assert near_duplicates.near_duplicates(df.limit(0)).count() == 0 and near_duplicates.drop_near_duplicate_texts(df.limit(0)).count() == 0
 
 
 def test_unlike_sets_on_one_name_stay_apart(spark):
@@ -271,6 +269,15 @@ def test_mixing(spark):
     assert "Python" not in plan
 
 
+def test_names_in_a_mixture(spark):
+    rows = [(1, "a b c", "s", 7, "old", 0.5, "x", 9), (2, "d e", "s", 8, None, None, None, 9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, size int, target string, `a.b` double, Copies string, copy_no int")
+    got = mixing.mixture(df)
+    assert got.columns == [*df.columns[:-1], "copy_no"]
+    kept = {tuple(r)[:-1] for r in got.collect()}
+    assert kept and kept <= {r[:-1] for r in rows} and {r["copy_no"] for r in got.collect()} <= {1, 2, 3}
+
+
 # ---- pipeline ----
 
 
@@ -299,6 +306,10 @@ def test_pipeline_on_odd_rows(spark, tmp_path):
     spark.createDataFrame([(1, None)], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["text"] for r in got} <= {"mail [EMAIL] now", "the cat sat on the mat"}
+    wide = spark.createDataFrame([(*r, 1, 2, 3.0) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, copy_no int, size int, `a.b` double")
+    for _, stage in corpus_pipeline.STAGES:
+        wide = stage(spark, wide, str(tmp_path))
+        assert {(r["size"], r["a.b"]) for r in wide.collect()} == {(2, 3.0)}
     empty = spark.read.parquet(str(tmp_path / "documents.parquet")).limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0

@@ -5,6 +5,7 @@ import html as html_lib
 import json
 import random
 import re
+import time
 
 import duckdb
 import pytest
@@ -164,6 +165,32 @@ def test_banded_match_is_a_longest_common_subsequence():
         assert len(pairs) == best[-1][-1] and all(a[i] == b[j] for i, j in pairs) and pairs == sorted(pairs)
 
 
+def test_many_notices_take_linear_time():
+    index, notice = license_scan.Index(license_scan.TEMPLATES), "Licensed under the GPL version 2. Then something else, unlike it. "
+    for n in (3, 20_000):
+        began = time.perf_counter()
+        found = index.scan(license_scan.word_hashes(notice * n), license_scan.MIN_COVERAGE)
+        assert [f[0] for f in found] == ["gpl-2.0-short"] * n
+        assert time.perf_counter() - began < 30
+
+
+def test_met_spans():
+    rng, kept, plain = random.Random(8), license_scan.Spans(), []
+    for _ in range(2000):
+        a = rng.randrange(3000)
+        b = a + int(rng.paretovariate(0.7)) % 500
+        assert sorted(kept.met(a, b)) == sorted(s for s in plain if s[0] <= b and a <= s[1])
+        if rng.random() < 0.3:
+            kept.add(a, b)
+            plain.append((a, b))
+
+
+@pytest.mark.parametrize("text", ["SPDX-License-Identifier: EPL-2.0", "This work is licensed under the Eclipse Public License, version 1.0."])
+def test_notices_of_epl(text):
+    (found,) = license_scan.Index(license_scan.TEMPLATES).scan(license_scan.word_hashes(text), license_scan.MIN_COVERAGE)
+    assert found[0].startswith("epl-" + ("2.0" if "2.0" in text else "1.0"))
+
+
 # ---- pages ----
 
 
@@ -267,6 +294,23 @@ def test_chat_round_trip(spark):
     assert chat.format_conversations(table.limit(0)).count() == 0
 
 
+def test_long_conversations_take_linear_time():
+    turns = [(role, f"turn {i}") for i in range(50_000) for role in ("user", "assistant")]
+    pack, began = chat.Pack(), time.perf_counter()
+    pack.add(1, turns)
+    pack.add(2, [*turns[:70_000], ("user", "other"), ("assistant", "end")])
+    assert time.perf_counter() - began < 5
+    last, fork = pack.nodes[99_999], pack.nodes[-1]
+    assert last["attends"] == [{"start": 0, "end": last["start"]}] and last["position"] == last["start"]
+    assert [a["end"] for a in fork["attends"]] == [pack.nodes[69_999]["end"], fork["start"]]
+
+
+def test_long_conversations_in_a_table(spark):
+    table = spark.range(20_000).selectExpr("cast(1 AS bigint) conv_id", "id turn", "if(id % 2 = 0, 'user', 'assistant') role", "string(id) text")
+    row = chat.read_packs(chat.format_conversations(table)).collect()
+    assert len(row) == 1 and [t["text"] for t in row[0]["turns"]] == [str(i) for i in range(20_000)]
+
+
 # ---- tokens ----
 
 
