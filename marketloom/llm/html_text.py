@@ -12,7 +12,8 @@ from __future__ import annotations
 import itertools
 import math
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -43,18 +44,19 @@ BOX_WORDS = {
     "navbar", "navigation", "newsletter", "notice", "notices", "pagination", "popup", "promo", "promoted", "related",
     "replies", "reply", "respond", "search", "share", "sharing", "sidebar", "sidebars", "signup", "social", "sponsor",
     "sponsored", "subscribe", "toolbar", "widget", "alert", "contentinfo", "complementary",
+    "adsbygoogle", "gdpr", "cta", "discussion", "discussions",
 }
 #: Words that a class made of several may have besides those; any other, as in no-sidebar, says something else.
 PLACE_WORDS = {
     "", "site", "page", "top", "bottom", "left", "right", "main", "primary", "secondary", "global", "box", "slot", "unit", "container",
     "wrapper", "wrap", "inner", "outer", "list", "links", "link", "bar", "block", "area", "section", "region", "panel", "posts", "articles",
-    "icons", "buttons", "button", "form", "google", "mobile", "desktop", "js",
+    "icons", "buttons", "button", "form", "google", "mobile", "desktop", "js", "inline", "x",
 }
 #: Readers' words, which are no main text even where they are most of a page.
-READER_WORDS = {"comment", "comments", "disqus", "replies", "reply", "respond"}
+READER_WORDS = {"comment", "comments", "discussion", "discussions", "disqus", "replies", "reply", "respond"}
 #: Elements that can hold a whole page.
 CONTAINERS = {"div", "section", "article", "main", "form", "fieldset", "table", "td", "tr"}
-BOX_TAGS = {"div", "section", "ul", "ol", "p", "article", "table", "span", "details", "dl", "figure", "td", "tr", "li", "h2", "h3"}
+BOX_TAGS = {"div", "section", "ul", "ol", "p", "article", "table", "span", "details", "dl", "figure", "td", "tr", "li", "h2", "h3", "ins"}
 ARTICLES = {"article", "main"}
 #: Tags inside running text, and what a tag scores that the labelled pages don't show.
 TEXT_TAGS = INLINE - {"a"} | {"p", "br", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "hr", "img", "figcaption"}
@@ -65,6 +67,10 @@ _TOKEN = re.compile(
 )
 _NAMED = re.compile(r"""(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
+#: An element that is not shown says so by an attribute, or in its style.
+_UNSEEN, _NO_DISPLAY = re.compile(r"(?<![\w-])hidden(?![\w-])", re.I), re.compile(r"(?<![\w-])display\s*:\s*none", re.I)
+_QUOTED = re.compile(r"""=\s*(?:"[^"]*"|'[^']*')""")
+
 
 @dataclass
 class Token:
@@ -72,6 +78,7 @@ class Token:
     name: str  # the class that is scored
     text: str = ""
     words: int = 0
+    link: bool = False
     box: bool = False
     stop: bool = False  # ends a block
 
@@ -80,8 +87,6 @@ class Token:
 class Page:
     tokens: list[Token] = field(default_factory=list)
     articles: list[tuple[int, int]] = field(default_factory=list)  # token ranges
-    boxes: list[tuple[int, int]] = field(default_factory=list)  # of containers: where in the html, plain words
-    plain: int = 0  # words outside links
 
 
 def _is_box_name(name: str) -> bool:
@@ -96,27 +101,51 @@ def _names(attributes: str) -> Iterator[str]:
 
 
 def _is_box(tag: str, attributes: str) -> bool:
-    return tag in BOXES or tag in BOX_TAGS and bool(attributes) and any(map(_is_box_name, _names(attributes)))
+    if tag in BOXES or not attributes.strip():
+        return tag in BOXES
+    return _is_unseen(attributes) or tag in BOX_TAGS and any(map(_is_box_name, _names(attributes)))
+
+
+def _is_unseen(attributes: str) -> bool:
+    return bool(_UNSEEN.search(_QUOTED.sub("=", attributes)) or _NO_DISPLAY.search(attributes))
+
+
+@dataclass
+class Box:
+    start: int  # token
+    tag: str
+    level: int  # of its tag, when it began
+    may_open: bool
+    end: int = 0
 
 
 def parse(html: str) -> Page:
-    """Tokens of a page, and where its article elements are. A container with most of its plain words is no box."""
-    opened: set[int] = set()
-    while True:
-        page = _parse(html, opened)
-        most = {at for at, words in page.boxes if 2 * words > page.plain}
-        if not most:
-            return page
-        opened |= most
-
-
-def _parse(html: str, opened: set[int]) -> Page:
-    """A page in which the tags at the places ``opened`` begin no boxes."""
-    page, at, n = Page(), 0, len(html)
-    box, depth, links = "", 0, 0
-    begun: list[int] = []
-    counted: list[list[int]] = []
-    held: list[int] | None = None  # place and plain words of the container that is the box
+    """Tokens of a page, and where its article elements are. A container with most of its plain words is no box.
+
+    All boxes are kept while the page is read once, and decided from the outside in: a box
+    that is one hides those in it, one with most of the words gives way to them.
+    """
+    page, boxes, begun, entries = Page(), [], [], []
+    opened: list[Box] = []
+    of_tag: dict[str, list[Box]] = defaultdict(list)
+    level: Counter = Counter()
+
+    def shut(box: Box, closed: bool) -> None:
+        """End a box and those in it; without a closing tag it ends where an article starts."""
+        end = len(page.tokens)
+        while opened:
+            last = opened.pop()
+            of_tag[last.tag].pop()
+            last.end = end
+            if not (closed and last is box):
+                at = bisect_right(entries, last.start)
+                last.end = min(entries[at], end) if at < len(entries) else end
+            if last is box:
+                break
+        while begun and begun[-1] > box.start:
+            page.articles.append((begun.pop(), end))
+
+    at, n, links = 0, len(html), 0
     unclosed: set[str] = set()
     while at < n:
         m = _TOKEN.match(html, at)
@@ -127,56 +156,69 @@ def _parse(html: str, opened: set[int]) -> Page:
             if raw[0] == "<" and len(raw) > 1:
                 continue
             text = unescape(raw)
-            name = "word:box" if box else "word:link" if links else "word"
-            words = len(text.split())
-            page.tokens.append(Token("word", name, text, words, bool(box)))
-            if not links:
-                page.plain += words
-                if box and held:
-                    held[1] += words
+            page.tokens.append(Token("word", "word:link" if links else "word", text, len(text.split()), bool(links)))
             continue
         closing = bool(m[1])
+        token = Token("tag", tag, stop=tag not in INLINE)
         if not closing and tag in RAW | SKIPPED and tag not in unclosed and not m[3].rstrip().endswith("/"):
             end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
             if end or tag in RAW:
                 at = end.end() if end else n
-                page.tokens.append(Token("tag", tag, box=bool(box), stop=True))
+                token.stop = True
+                page.tokens.append(token)
                 continue
             unclosed.add(tag)
         void = tag in VOID or m[3].rstrip().endswith("/") and tag not in INLINE
         if tag == "a":
             links = max(0, links + (-1 if closing else 1))
-        if box:
-            if tag in ARTICLES and box not in ARTICLES and not closing and not _is_box(tag, m[3]):
-                box = ""  # an unclosed box ends where an article starts
-            elif tag == "body" and box == "head" or box == "p" and not closing and tag not in INLINE | VOID:
-                box = ""  # these end without a closing tag
-            elif tag == box and not void:
-                depth += -1 if closing else 1
-                if not depth:
-                    page.tokens.append(Token("tag", tag, box=True, stop=tag not in INLINE))
-                    box = ""
-                    continue
-        if not box and not closing and not void and m.start() not in opened and _is_box(tag, m[3]):
-            box, depth, held = tag, 1, None
-            if tag in CONTAINERS and not any(READER_WORDS & set(re.split(r"[^a-z]+", name)) for name in _names(m[3])):
-                held = [m.start(), 0]
-                counted.append(held)
-        if tag in ARTICLES and not box:
-            if not closing:
-                begun.append(len(page.tokens))
-            elif begun:
+        if tag == "body" and of_tag["head"]:
+            shut(of_tag["head"][0], True)  # these two end without a closing tag
+        if of_tag["p"] and not closing and tag not in INLINE | VOID:
+            shut(of_tag["p"][0], True)
+        if void:
+            page.tokens.append(token)
+            continue
+        level[tag] += -1 if closing else 1
+        if closing:
+            if tag in ARTICLES and begun:
                 page.articles.append((begun.pop(), len(page.tokens) + 1))
-        page.tokens.append(Token("tag", tag, box=bool(box), stop=tag not in INLINE))
+            page.tokens.append(token)
+            if of_tag[tag] and of_tag[tag][-1].level > level[tag]:
+                shut(of_tag[tag][-1], True)
+            continue
+        if _is_box(tag, m[3]):
+            readers = any(READER_WORDS & set(re.split(r"[^a-z]+", name)) for name in _names(m[3]))
+            boxes.append(Box(len(page.tokens), tag, level[tag], tag in CONTAINERS and not readers))
+            opened.append(boxes[-1])
+            of_tag[tag].append(boxes[-1])
+        elif tag in ARTICLES:
+            entries.append(len(page.tokens))
+        if tag in ARTICLES:
+            begun.append(len(page.tokens))
+        page.tokens.append(token)
+    if opened:
+        shut(opened[0], False)
     page.articles += [(b, len(page.tokens)) for b in begun]
-    page.boxes = [(place, words) for place, words in counted]
+    plain = [0, *itertools.accumulate(0 if t.link else t.words for t in page.tokens)]
+    shown = 0
+    for box in boxes:
+        if box.start < shown or box.may_open and 2 * (plain[box.end] - plain[box.start]) > plain[-1]:
+            continue
+        for t in page.tokens[box.start : box.end]:
+            t.box = True
+            t.name = "word:box" if t.kind == "word" else t.name
+        shown = box.end
+    page.articles = [a for a in page.articles if not page.tokens[a[0]].box]
     return page
 
 
 def count_classes(html: str) -> Counter:
     """(class, inside the article) -> count, for a page that marks one article; else nothing."""
     page, found = parse(html), Counter()
-    outer = [a for a in page.articles if not any(b != a and b[0] <= a[0] and a[1] <= b[1] for b in page.articles)]
+    outer: list[tuple[int, int]] = []
+    for a in sorted(page.articles, key=lambda a: (a[0], -a[1])):
+        if not outer or a[1] > outer[-1][1]:
+            outer.append(a)
     if len(outer) == 1:
         start, end = outer[0]
         for i, t in enumerate(page.tokens):
@@ -219,10 +261,10 @@ def snapped(run: tuple[int, int], articles: list[tuple[int, int]], scores: list[
     value = lambda a, b: max(sums[b] - sums[a], 0.0) if a < b else 0.0
     shared = lambda a: value(max(a[0], run[0]), min(a[1], run[1]))
     met = [a for a in articles if shared(a) > 0]
-    inside = [a for a in met if 2 * shared(a) >= value(*a)]
+    inside = {a for a in met if 2 * shared(a) >= value(*a)}
     around = [a for a in met if 2 * shared(a) >= value(*run)]
-    if around and not any(a in inside for a in around):
-        inside.append(min(around, key=lambda a: a[1] - a[0]))
+    if around and inside.isdisjoint(around):
+        inside.add(min(around, key=lambda a: a[1] - a[0]))
     return min([run[0], *(a[0] for a in inside)]), max([run[1], *(a[1] for a in inside)])
 
 
@@ -257,8 +299,8 @@ def learn_weights(pages: DataFrame, rows: int = SAMPLE_PAGES) -> dict[str, float
         yield pd.DataFrame([(k, inside, v) for (k, inside), v in total.items()], columns=["name", "inside", "n"])
 
     sums = chosen.mapInPandas(counted, "name string, inside boolean, n bigint").groupBy("name", "inside").agg(F.sum("n").alias("n"))
-    # Classes are tag names: the commonest are enough, the others have the default.
-    return weights({(r["name"], r["inside"]): r["n"] for r in sums.orderBy(F.desc("n"), "name", "inside").limit(500).collect()})
+    # Classes are tag names, no more than the sample holds.
+    return weights({(r["name"], r["inside"]): r["n"] for r in sums.collect()})
 
 
 def extract(pages: DataFrame, weight: dict[str, float]) -> DataFrame:

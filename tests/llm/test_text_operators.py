@@ -228,6 +228,34 @@ def test_boxes_are_named_by_whole_classes():
         assert of(f"<p>{few}</p><{tag}>x</{tag}><p>{long}</p>") == f"{few} {long}"
 
 
+OUTSIDE = (
+    "<section id='discussion'><p>{}</p><p>{}</p></section>", "<div class='gdpr-bar-x'><p>{}</p></div>", "<ins class='adsbygoogle'>{}</ins>",
+    "<div class='ad-wrapper-300x250'>{}</div>", "<div class='inline-newsletter-cta'><h3>{}</h3><p>{}</p></div>", "<div hidden>{}</div>",
+    "<p style='color: red; display : none'>{}</p>", "<section class='related'><article class='teaser'><p>{}</p></article><article><p>{}</p></article></section>",
+)
+
+
+@pytest.mark.parametrize("block", OUTSIDE)
+def test_boxes_inside_and_after_the_text(block):
+    long, said = " ".join(f"word{i}" for i in range(60)), "some plain words that a reader or an advert says"
+    block = block.format(said, said)
+    for weight in (html_text.weights({}), {"word": 3.0, "word:link": -0.5, "word:box": -4.0}):
+        of = lambda h: html_text.main_text(h, weight)  # noqa: B023, E731
+        for page in ("<article><p>{0}</p>{1}<p>{0}</p></article>{1}", "<div class=content><p>{0}</p>{1}<p>{0}</p>{1}</div>"):
+            assert of(page.format(long, block)) == f"{long} {long}"
+    shown = "<div data-hidden=1 class='hidden-x' title='a hidden thing'><p>{0}</p></div>"
+    assert of(f"<p>{long}</p>" + shown.format("tail of it")) == f"{long} tail of it"
+
+
+@pytest.mark.parametrize("page", ["{0}{2}{1}", "{0}{2}", "{0}{2}{0}", "{0}<article>{2}</article>{0}{1}"])
+@pytest.mark.parametrize("tag", ["div class=sidebar", "nav", "article", "p class=ad", "span class=ad"])
+def test_deep_pages_take_linear_time(tag, page):
+    began = time.perf_counter()
+    html_text.count_classes(page.format(f"<{tag}>" * 8000, f"</{tag.split()[0]}>" * 8000, "plain words here " * 20))
+    text = html_text.main_text(page.format(f"<{tag}>" * 8000, f"</{tag.split()[0]}>" * 8000, "plain words here " * 20), html_text.weights({}))
+    assert time.perf_counter() - began < 5 and text in ("", ("plain words here " * 20).strip())
+
+
 def test_the_run_decides_and_not_the_tag():
     of = lambda h: html_text.main_text(h, html_text.weights({}))
     long = " ".join(f"word{i}" for i in range(60))
