@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,16 +16,17 @@ def _quoted(word: str) -> str:
     return rf"\Q{word.lower()}\E"
 
 
-def _pattern(synonyms: list[str], words: bool) -> str:
-    any_of = "|".join(map(_quoted, synonyms))
-    return rf"\b(?:{any_of})\b" if words else any_of
+def _holds(low: Column, synonyms: list[str], words: bool) -> Column:
+    """Whether a lower-case text holds one of the synonyms; as words, only texts that hold one at all are searched by a pattern."""
+    found = reduce(Column.__or__, [low.contains(s.lower()) for s in synonyms], F.lit(False))
+    return found & low.rlike(rf"\b(?:{'|'.join(map(_quoted, synonyms))})\b") if words and synonyms else found
 
 
 def one_of(text: Column, vocabulary: dict[str, list[str]]) -> Column:
     """The first canonical value of which a synonym is in the text; else null."""
     found = F.lit(None).cast("string")
     for key, synonyms in reversed(vocabulary.items()):
-        found = F.when(F.lower(text).rlike(_pattern(synonyms, False)), key).otherwise(found)
+        found = F.when(_holds(F.lower(text), synonyms, False), key).otherwise(found)
     return found
 
 
@@ -36,11 +39,11 @@ def many_of(text: Column, vocabulary: dict[str, list[str]], words: bool = False,
     own, unless, narrowed = vocabulary, unless or {}, narrowed or {}
 
     def found(low: Column, key: str) -> Column:
-        hit = low.rlike(_pattern(own[key], words))
+        hit = _holds(low, own[key], words)
         for (value, synonym), other in narrowed.items():
             if value == key:
                 rest = [s for s in own[key] if s != synonym]
-                hit = F.when(found(low, other), low.rlike(_pattern(rest, words)) if rest else F.lit(False)).otherwise(hit)
+                hit = F.when(found(low, other), _holds(low, rest, words)).otherwise(hit)
         for other in unless.get(key, ()):
             hit = hit & ~found(low, other)
         return hit

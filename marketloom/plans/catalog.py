@@ -763,6 +763,31 @@ def references_cleaned_again(spark, sf_dir):
     return identifiers.with_recleaned(rows, title="listing_title").select("p_partkey", "form", "reference_number")
 
 
+#: The same for the older rules: a reference (or none), a title, what is found and its group.
+_EARLIER_FORMS = [
+    ("Rolex", "m①②③④⑤⑥ln-0001 new", "x", "m①②③④⑤⑥ln-0001", "①②③④⑤⑥ln"), ("Rolex", "①②③④⑤", "①②③④⑤⑥", "①②③④⑤", "①②③④⑤"), ("Rolex", None, "it is ①②③④⑤⑥LN", "①②③④⑤⑥LN", "①②③④⑤⑥LN"),
+    ("Omega", "no ①②③.④⑤.⑥①.②③.④⑤.⑥①②", "x", "①②③.④⑤.⑥①.②③.④⑤.⑥①②", ""), ("Omega", "①②③ ④⑤ ⑥①-②③ ④⑤ ⑥①②", "x", "①②③.④⑤.⑥①.②③.④⑤.⑥①②", ""), ("Omega", "①②③④.⑤⑥ x", "x", "①②③④.⑤⑥.00", ""),
+    ("Omega", "", "①②③④.⑤⑥.①②", "①②③④.⑤⑥.①②", ""), ("Omega", "①②③.④⑤⑥-①②", "x", "①②③.④⑤⑥-①②", ""), ("Omega", "BA ①②③.④⑤⑥①", "x", "BA ①②③.④⑤⑥①", ""), ("Omega", "①②.③④⑤.⑥①②③", "x", "①②.③④⑤.⑥①②③", ""),
+    ("Breitling", "AB①②③④⑤⑥1C-2D3", "x", "AB①②③④⑤⑥1C-2D3", ""), ("Breitling", None, "in AB①②③④⑤⑥1C2D3.", "AB①②③④⑤⑥1C2D3", ""), ("Seiko", "SRP①②③K1", "x", "SRP①②③K1", ""), ("Seiko", "srp①②③k1", "SRP①②③K1", "srp①②③k1", ""),
+    ("Longines", "L①.②③④.⑤.⑥①.② x", "x", "L①.②③④.⑤.⑥①.②", ""), ("Longines", None, "L① ②③④ ⑤", "", ""), ("TAG Heuer", "the WAY①②③④.BA⑤⑥①②", "x", "WAY①②③④.BA⑤⑥①②", ""),
+    ("Patek Philippe", "x①②③④/1A-⑤⑥①", "x", "①②③④/1A-⑤⑥①", ""), ("Patek Philippe", None, "a ①②③④g-⑤⑥①", "①②③④g-⑤⑥①", ""), ("Audemars Piguet", "x ①②③④⑤ST.OO.①②②⑤ST.0⑥-A", "x", "①②③④⑤ST.OO.①②②⑤ST.0⑥-A", ""),
+    ("Tudor", "M79①②③B-0001 x", "x", "M79①②③B-0001", "79①②③B"), ("Tudor", None, "①②③④", "", ""), ("IWC", "IW①②③④⑤⑥", "x", "IW①②③④⑤⑥", ""), ("IWC", "IW-①②③④-⑤⑥", "x", "IW①②③④⑤⑥", ""), ("IWC", "IW-①②③④", "x", "IW①②③④", ""),
+    ("IWC", "Ref ①②③", "x", "Reference ①②③", ""), ("IWC", None, "reference ①②③", "Reference ①②③", ""), ("Jaeger-LeCoultre", "no Q①②③④⑤⑥1", "x", "Q①②③④⑤⑥1", ""), ("Jaeger-LeCoultre", None, "①②③④⑤⑥1", "", ""),
+    ("Vacheron Constantin", "①②③④v/②②0a b③④⑤", "x", "①②③④v/②②0a b③④⑤", ""), ("Maurice Lacroix", "x AI①②③④-SS⑤⑥1-②③0-1", "x", "AI①②③④-SS⑤⑥1-②③0-1", ""), ("Hamilton", None, "new H70①②③④⑤⑥", "H70①②③④⑤⑥", ""),
+    ("Oris", "01①②③④⑤⑥", "x", "01①②③④⑤⑥", ""), ("Oris", None, "01 ①②③ ④⑤⑥① ②③④⑤", "", ""), ("Nobody", "keep ①②③", "x", "keep ①②③", ""), (None, None, None, "", ""),
+]
+
+@register(f"""WITH V(form, r, g) AS (VALUES {", ".join(f"({n}, '{f[3]}', '{f[4]}')" for n, f in enumerate(_EARLIER_FORMS))})
+SELECT p_partkey, form, translate(r, '①②③④⑤⑥', {_KEY}) AS reference_number, translate(g, '①②③④⑤⑥', {_KEY}) AS group_reference FROM part, V""")
+def earlier_brand_rules(spark, sf_dir):
+    kind = "array<struct<form:int,brand:string,reference:string,title:string>>"
+    forms = F.array(*[F.struct(F.lit(n), *map(F.lit, f[:3])) for n, f in enumerate(_EARLIER_FORMS)]).cast(kind)
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.lpad(F.col("p_partkey").cast("string"), 6, "1").alias("digits"), F.explode(forms).alias("f"))
+    reference, title = (F.expr(f"translate(f.{c}, '①②③④⑤⑥', digits)") for c in ("reference", "title"))
+    rows = rows.select("p_partkey", "f.form", "f.brand", identifiers.earlier_reference_of(F.col("f.brand"), reference, title).alias("reference_number"))
+    return rows.select("p_partkey", "form", "reference_number", identifiers.earlier_group_reference(F.col("brand"), F.col("reference_number")).alias("group_reference"))
+
+
 #: A text of each attribute and its standard value; ①② stand for the first digits of a part's key.
 _ATTRIBUTE_FORMS = [
     ("whole_price", "US $①,②00.56", "①②00"), ("whole_price", "on request", ""), ("weight", "①②5 g", "①②5.0 g"), ("weight", "2 oz", "56.699 g"), ("weight", "heavy", ""),
