@@ -15,7 +15,9 @@ from marketloom.functions import attributes, calendar, identifiers, text
 from marketloom.functions import vocabularies as V
 from marketloom.operators import cleaning, enrichment, liquidity, outliers, profile, series, volatility, weekly
 from marketloom.schema import LEVELS, PRE_OWNED
+from marketloom.schema import RATES as RATE_SCHEMA
 from marketloom.sources import listings as sources
+from marketloom.sources.shared import run_folder
 from marketloom.streaming import history as batches
 from marketloom.streaming import weekly as streaming
 
@@ -955,3 +957,37 @@ def full_duration_report(spark, sf_dir):
     out = liquidity.full_report(rows, liquidity.listing_durations(rows))
     as_text = lambda c: F.array_join(F.transform(c, lambda r: F.concat_ws(" ", r["brand"], r["reference_number"], F.round(r["value"], 3).cast("decimal(20,3)").cast("string"))), "; ")
     return out.select("urls", "active", "models", as_text("longest").alias("longest"), as_text("most_urls").alias("most_urls"))
+
+
+_SPRING = "date BETWEEN DATE '1996-01-31' AND DATE '1996-03-31'"
+
+
+@register(f"""WITH {LISTINGS}, M AS (SELECT last_day(date) AS date, ingest_id, brand, price FROM L WHERE date IS NOT NULL),
+C AS (SELECT ingest_id, max(price) * 3 AS new FROM M WHERE {_SPRING} AND ingest_id % 7 = 0 GROUP BY ingest_id)
+SELECT * FROM (SELECT date, ingest_id, brand, CASE WHEN new IS NOT NULL THEN new WHEN date BETWEEN DATE '1995-01-31' AND DATE '1995-12-31' THEN price * 2 ELSE price END AS price FROM M LEFT JOIN C USING (ingest_id)
+UNION ALL (SELECT date, -ingest_id, brand, price FROM M WHERE {_SPRING} AND ingest_id % 11 = 0 QUALIFY row_number() OVER (PARTITION BY ingest_id ORDER BY price DESC, date DESC, brand DESC) = 1))
+WHERE date BETWEEN DATE '1994-06-30' AND DATE '1997-05-31'""")
+def weeks_merged(spark, sf_dir):
+    """All dates (here months) written, a year of them once more, changes merged by date, a range of dates read back."""
+    path = run_folder(spark, "weeks")
+    rows = listings(spark, sf_dir).where("date IS NOT NULL").select(F.last_day("date").alias("date"), "ingest_id", "brand", "price")
+    sources.write_weeks(rows, path)
+    sources.write_weeks(rows.where("date BETWEEN DATE '1995-01-31' AND DATE '1995-12-31'").withColumn("price", F.col("price") * 2), path)
+    spring = rows.where(_SPRING)
+    tripled = spring.where("ingest_id % 7 = 0").withColumn("price", F.col("price") * 3)
+    new = spring.where("ingest_id % 11 = 0").withColumn("ingest_id", -F.col("ingest_id"))
+    changes = tripled.union(tripled.withColumn("price", F.lit(0.0))).union(new)
+    sources.merge_weeks(path, changes, "ingest_id", ["price"], order=[F.desc("price"), F.desc("date"), F.desc("brand")])
+    return sources.read_lake(spark, path, rows.schema, first="1994-06-30", last="1997-05-31")
+
+
+@register("""WITH R AS (SELECT left(o_orderpriority, 3) AS currency, CAST(o_orderdate AS DATE) AS as_of, floor(max(o_totalprice)) AS rate FROM orders GROUP BY ALL)
+SELECT currency, arg_max(rate, as_of) AS rate FROM R WHERE as_of <= DATE '1996-06-30' GROUP BY currency""")
+def rates_from_csv(spark, sf_dir):
+    """Rates of every day written as CSV and read back up to a day; the last one of each currency."""
+    path = run_folder(spark, "rates")
+    orders = table(spark, sf_dir, "orders")
+    days = orders.groupBy(F.substring("o_orderpriority", 1, 3).alias("currency"), F.to_date("o_orderdate").alias("as_of"))
+    rates = days.agg(F.floor(F.max("o_totalprice")).cast("double").alias("rate"))
+    rates.select(*RATE_SCHEMA.names).write.option("header", True).csv(path)
+    return cleaning.latest_rates(sources.read_rates(spark, path, "1996-06-30"))
