@@ -840,7 +840,7 @@ def attribute_vocabularies(spark, sf_dir):
     rows = table(spark, sf_dir, "part").select("p_partkey", F.explode(F.sequence(F.lit(0), F.lit(n - 1), F.lit(7))).alias("k"), words.alias("w"))
     at = lambda place: F.get("w", (place % n).cast("int"))
     rows = rows.select("p_partkey", "k", F.concat(F.upper(at(F.col("k") + key)), F.lit(" and "), at(F.col("k") * 3 + key * 5)).alias("text"))
-    return rows.select("p_partkey", "k", *[getattr(attributes, name)(F.col("text")).alias(name) for name in _PLAIN])
+    return rows.select("p_partkey", F.col("k").cast("bigint").alias("k"), *[getattr(attributes, name)(F.col("text")).alias(name) for name in _PLAIN])
 
 
 @register(f"""WITH {LISTINGS}, W AS (SELECT brand, parent_model, cast(day + cast((7 - isodow(day)) % 7 AS INT) AS DATE) AS date, avg(price) AS mean_price, count(price) AS count FROM L WHERE condition = 'New' GROUP BY 1, 2, 3),
