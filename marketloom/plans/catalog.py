@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -514,6 +514,11 @@ def slug_identifier(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", slug.alias("slug"), text.identifier(slug, F.col("p_size").cast("string")).alias("identifier"))
 
 
+def _digits() -> Column:
+    """The last six digits of a part's key, after ones where it has fewer."""
+    return F.right(F.concat(F.lit("1" * 6), F.col("p_partkey").cast("string")), F.lit(6))
+
+
 def _titles(spark, sf_dir) -> DataFrame:
     """References made of part keys in the forms of some brands, with noise around."""
     key = F.lpad(F.col("p_partkey").cast("string"), 6, "1")
@@ -743,7 +748,7 @@ _QUOTED = ", ".join(f"({n}, '{b}', '{t}', {'NULL' if r is None else repr(r)})" f
 def _brand_forms(spark, sf_dir) -> DataFrame:
     """Every form with the digits of every part's key."""
     forms = F.array(*[F.struct(F.lit(n).alias("form"), F.lit(b).alias("brand"), F.lit(t).alias("text")) for n, (b, t, _) in enumerate(_BRAND_FORMS)])
-    rows = table(spark, sf_dir, "part").select("p_partkey", F.lpad(F.col("p_partkey").cast("string"), 6, "1").alias("digits"), F.explode(forms).alias("f"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", _digits().alias("digits"), F.explode(forms).alias("f"))
     return rows.select("p_partkey", "f.form", "f.brand", F.expr("translate(f.text, '①②③④⑤⑥', digits)").alias("text"))
 
 
@@ -784,7 +789,7 @@ SELECT p_partkey, form, translate(r, '①②③④⑤⑥', {_KEY}) AS reference_
 def earlier_brand_rules(spark, sf_dir):
     kind = "array<struct<form:int,brand:string,reference:string,title:string>>"
     forms = F.array(*[F.struct(F.lit(n), *map(F.lit, f[:3])) for n, f in enumerate(_EARLIER_FORMS)]).cast(kind)
-    rows = table(spark, sf_dir, "part").select("p_partkey", F.lpad(F.col("p_partkey").cast("string"), 6, "1").alias("digits"), F.explode(forms).alias("f"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", _digits().alias("digits"), F.explode(forms).alias("f"))
     reference, title = (F.expr(f"translate(f.{c}, '①②③④⑤⑥', digits)") for c in ("reference", "title"))
     rows = rows.select("p_partkey", "f.form", "f.brand", identifiers.earlier_reference_of(F.col("f.brand"), reference, title).alias("reference_number"))
     return rows.select("p_partkey", "form", "reference_number", identifiers.earlier_group_reference(F.col("brand"), F.col("reference_number")).alias("group_reference"))
@@ -818,7 +823,7 @@ _literal = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'"
 SELECT p_partkey, form, translate(r, '①②', {_KEY}) AS value FROM part, V""")
 def attribute_forms(spark, sf_dir):
     forms = F.array(*[F.struct(F.lit(n).alias("form"), F.lit(a).alias("attribute"), F.lit(t).alias("text")) for n, (a, t, _) in enumerate(_ATTRIBUTE_FORMS)])
-    rows = table(spark, sf_dir, "part").select("p_partkey", F.lpad(F.col("p_partkey").cast("string"), 6, "1").alias("digits"), F.explode(forms).alias("f"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", _digits().alias("digits"), F.explode(forms).alias("f"))
     rows = rows.select("p_partkey", "f.form", "f.attribute", F.expr("translate(f.text, '①②', digits)").alias("text"))
     value = F.lit(None).cast("string")
     for name in dict.fromkeys(a for a, _, _ in _ATTRIBUTE_FORMS):
@@ -881,7 +886,7 @@ SELECT p_partkey, form, translate(ref, '①②③④', {_KEY}) AS reference_numb
 def clean_raw_forms(spark, sf_dir):
     names = ("ref", "price", "year", "currency", "status")
     forms = F.array(*[F.struct(F.lit(n).alias("form"), *[F.lit(v).cast("string").alias(c) for c, v in zip(names, row[:5], strict=True)]) for n, row in enumerate(_RAW_FORMS)])
-    rows = table(spark, sf_dir, "part").select("p_partkey", F.lpad(F.col("p_partkey").cast("string"), 6, "1").alias("digits"), F.explode(forms).alias("f"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", _digits().alias("digits"), F.explode(forms).alias("f"))
     raw = rows.select(
         "p_partkey", "f.form", F.expr("translate(f.ref, '①②③④', digits)").alias("reference_number"), "f.price", F.col("f.year").alias("year_of_production"), "f.currency", "f.status",
         F.lit("2024-01-07").cast("date").alias("date"), F.concat_ws("/", "p_partkey", "f.form").alias("watch_url"), F.lit("EBAY Sold").alias("source"), F.lit("A").alias("brand"),
@@ -894,7 +899,7 @@ def clean_raw_forms(spark, sf_dir):
 Y AS (SELECT *, brand = 'Omega' AND right(r, 3) <> '000' AS matched FROM X), Z AS (SELECT *, CASE WHEN matched AND padded IN (SELECT padded FROM X WHERE p_partkey % 2 = 0) THEN padded ELSE r END AS own FROM Y)
 SELECT p_partkey, brand, own AS reference_number, CASE WHEN matched THEN own ELSE 'old' END AS group_reference FROM Z""")
 def omega_padding(spark, sf_dir):
-    digits, key = F.lpad(F.col("p_partkey").cast("string"), 6, "1"), F.col("p_partkey")
+    digits, key = _digits(), F.col("p_partkey")
     part = table(spark, sf_dir, "part")
     number = lambda join: F.concat(F.substring(digits, 1, 3), F.lit(join), F.substring(digits, 4, 3))
     library = part.where(key % 2 == 0).select(F.lit("Omega").alias("brand"), number(".0").alias("group_reference"))
