@@ -521,7 +521,7 @@ def _digits() -> Column:
 
 def _titles(spark, sf_dir) -> DataFrame:
     """References made of part keys in the forms of some brands, with noise around."""
-    key = F.lpad(F.col("p_partkey").cast("string"), 6, "1")
+    key = _digits()
     n = F.col("p_partkey") % 4
     brand = F.when(n == 0, "Rolex").when(n == 1, "Hamilton").when(n == 2, "Citizen").otherwise("Nobody")
     ref = (

@@ -19,7 +19,7 @@ def parts(spark, tmp_path_factory):
     return folder
 
 
-@pytest.mark.parametrize("name", ["clean_raw_forms", "brand_rules", "references_cleaned_again", "earlier_brand_rules", "omega_padding"])
+@pytest.mark.parametrize("name", ["clean_raw_forms", "identifier_extract", "group_reference", "brand_rules", "references_cleaned_again", "earlier_brand_rules", "omega_padding"])
 def test_keys_of_seven_digits(spark, parts, name):
     got = catalog.QUERIES[name](spark, parts)
     duck = duckdb.connect()
