@@ -13,8 +13,9 @@ from marketloom.schema import LEVELS, PRE_OWNED, Level
 
 
 def first_non_null(c: str, order: str) -> Column:
-    """The value of the first row, by ``order``, where it isn't null."""
-    return F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order)))
+    """The value of the first row, by ``order``, where neither is null; of rows alike in ``order`` the smallest value."""
+    own = F.struct(F.col(order).alias("order"), F.col(c).alias("value"))
+    return F.min(F.when(F.col(c).isNotNull() & F.col(order).isNotNull(), own))["value"]
 
 
 def joined_values(c: str) -> Column:

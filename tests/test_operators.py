@@ -199,3 +199,10 @@ def test_standardise(spark):
     assert (r["condition"], r["movement"], r["clasp_type"], r["currency"], r["price"], r["year_of_production"]) == ("New", "Automatic", "Pin Buckle, Buckle", "USD", 3000.0, 1988)
     assert (r["decade_of_production"], r["between_lugs"], r["authenticity_guarantee"], len(r["brand"]), r["listing_title"]) == ("1980s", "20.5 mm", "No", 255, "Unworn automatic & box")
     assert "description" not in r.asDict()
+
+
+def test_firsts_that_tie_are_the_smallest(spark):
+    rows = [(1, "b", "JPY"), (1, "b", "GBP"), (1, "b", "USD"), (0, "b", None), (None, "b", "AUD")]
+    for k in range(3):
+        df = spark.createDataFrame(rows[k:] + rows[:k], "n int, brand string, currency string").coalesce(1)
+        assert df.groupBy("brand").agg(weekly.first_non_null("currency", "n").alias("c")).first()["c"] == "GBP"
