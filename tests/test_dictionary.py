@@ -118,3 +118,21 @@ def test_slug_is_the_compatibility_decomposition(spark):
     names = ["A. Lange & Söhne", " Ångström—Œuvre ", "ﬁne ½ №9 ㎏", "Łódź ", "日本", None, "a_b -- c"]
     slugs = [r["s"] for r in spark.createDataFrame([(n,) for n in names], "n string").select(text.slug(F.col("n")).alias("s")).collect()]
     assert slugs == ["a-lange-sohne", "angstromuvre", "fine-12-no9-kg", "odz", "", None, "a_b-c"]
+
+
+def test_rows_of_hot_texts_are_dealt_and_equal_phrases_are_looked_for_once(spark):
+    rng = random.Random(5)
+    texts = [None, "a title", "no number", *[f"watch {k}" for k in range(40)]]
+    rows = [(k, rng.choice("xy"), rng.choice(texts[:3] if k % 2 else texts)) for k in range(600)] + [(600, None, "watch 1")]
+    phrases = [(g, f"{k}", n) for g in "xy" for k in range(12) for n in range(5)] + [("x", "title", 7)]
+    df = spark.createDataFrame(rows, "id int, g string, text string").repartition(3)
+    listed = spark.createDataFrame(phrases, "g string, phrase string, n int")
+    want = {k: min(((p, n) for h, p, n in phrases if g == h and t is not None and p in t), default=None, key=lambda v: (v[1], v[0])) for k, g, t in rows}
+    for hot in (0, 50, 10_000):
+        out = dictionary.with_best_phrase(df, F.col("text"), listed, ["g"], [F.col("n")], {"p": F.col("phrase"), "n": F.col("n")}, hot=hot)
+        assert {r["id"]: r["p"] and (r["p"], r["n"]) for r in out.collect()} == want and out.count() == len(rows)
+    twice = dictionary.with_best_phrases(df, {"a": F.col("text"), "b": F.lit("my title")}, listed, ["g"], [F.col("n")], F.col("n"), hot=50).collect()
+    assert {r["id"]: r["a"] for r in twice} == {k: v and v[1] for k, v in want.items()} and {r["b"] for r in twice if r["g"] == "x"} == {7}
+    many = spark.createDataFrame([(f"RW{k}",) for k in range(3000)], "phrase string")
+    filed = dictionary._index(many, []).groupBy("__gram").count().agg(F.max("count")).first()[0]
+    assert filed <= 12, filed
