@@ -514,6 +514,16 @@ def slug_identifier(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", slug.alias("slug"), text.identifier(slug, F.col("p_size").cast("string")).alias("identifier"))
 
 
+#: A task makes many rows of each part: so many parts go to one.
+PARTS_A_TASK = 5_000
+
+
+def _parts(spark, sf_dir) -> DataFrame:
+    """The parts dealt over tasks by their number: a file of a few MB is one task otherwise, however many rows its parts become."""
+    part = table(spark, sf_dir, "part")
+    return part.repartition(max(1, -(-part.count() // PARTS_A_TASK)), "p_partkey")  # the count is in the file's footers
+
+
 def _digits() -> Column:
     """The last six digits of a part's key, after ones where it has fewer."""
     return F.right(F.concat(F.lit("1" * 6), F.col("p_partkey").cast("string")), F.lit(6))
@@ -748,7 +758,7 @@ _QUOTED = ", ".join(f"({n}, '{b}', '{t}', {'NULL' if r is None else repr(r)})" f
 def _brand_forms(spark, sf_dir) -> DataFrame:
     """Every form with the digits of every part's key."""
     forms = F.array(*[F.struct(F.lit(n).alias("form"), F.lit(b).alias("brand"), F.lit(t).alias("text")) for n, (b, t, _) in enumerate(_BRAND_FORMS)])
-    rows = table(spark, sf_dir, "part").select("p_partkey", _digits().alias("digits"), F.explode(forms).alias("f"))
+    rows = _parts(spark, sf_dir).select("p_partkey", _digits().alias("digits"), F.explode(forms).alias("f"))
     return rows.select("p_partkey", "f.form", "f.brand", F.expr("translate(f.text, '①②③④⑤⑥', digits)").alias("text"))
 
 
@@ -789,7 +799,7 @@ SELECT p_partkey, form, translate(r, '①②③④⑤⑥', {_KEY}) AS reference_
 def earlier_brand_rules(spark, sf_dir):
     kind = "array<struct<form:int,brand:string,reference:string,title:string>>"
     forms = F.array(*[F.struct(F.lit(n), *map(F.lit, f[:3])) for n, f in enumerate(_EARLIER_FORMS)]).cast(kind)
-    rows = table(spark, sf_dir, "part").select("p_partkey", _digits().alias("digits"), F.explode(forms).alias("f"))
+    rows = _parts(spark, sf_dir).select("p_partkey", _digits().alias("digits"), F.explode(forms).alias("f"))
     reference, title = (F.expr(f"translate(f.{c}, '①②③④⑤⑥', digits)") for c in ("reference", "title"))
     rows = rows.select("p_partkey", "f.form", "f.brand", identifiers.earlier_reference_of(F.col("f.brand"), reference, title).alias("reference_number"))
     return rows.select("p_partkey", "form", "reference_number", identifiers.earlier_group_reference(F.col("brand"), F.col("reference_number")).alias("group_reference"))
@@ -823,7 +833,7 @@ _literal = lambda v: "NULL" if v is None else "'" + v.replace("'", "''") + "'"
 SELECT p_partkey, form, translate(r, '①②', {_KEY}) AS value FROM part, V""")
 def attribute_forms(spark, sf_dir):
     forms = F.array(*[F.struct(F.lit(n).alias("form"), F.lit(a).alias("attribute"), F.lit(t).alias("text")) for n, (a, t, _) in enumerate(_ATTRIBUTE_FORMS)])
-    rows = table(spark, sf_dir, "part").select("p_partkey", _digits().alias("digits"), F.explode(forms).alias("f"))
+    rows = _parts(spark, sf_dir).select("p_partkey", _digits().alias("digits"), F.explode(forms).alias("f"))
     rows = rows.select("p_partkey", "f.form", "f.attribute", F.expr("translate(f.text, '①②', digits)").alias("text"))
     value = F.lit(None).cast("string")
     for name in dict.fromkeys(a for a, _, _ in _ATTRIBUTE_FORMS):
@@ -842,7 +852,7 @@ X AS (SELECT p_partkey, k, upper(w[(k + p_partkey) % len(w) + 1]) || ' and ' ||
 SELECT p_partkey, k, {", ".join(f"{_vocabulary_sql(v, 't', False)} AS {n}" for n, v in _PLAIN.items())} FROM X""")
 def attribute_vocabularies(spark, sf_dir):
     words, n, key = F.array(*map(F.lit, _SYNONYMS)), len(_SYNONYMS), F.col("p_partkey")
-    rows = table(spark, sf_dir, "part").select("p_partkey", F.explode(F.sequence(F.lit(0), F.lit(n - 1), F.lit(7))).alias("k"), words.alias("w"))
+    rows = _parts(spark, sf_dir).select("p_partkey", F.explode(F.sequence(F.lit(0), F.lit(n - 1), F.lit(7))).alias("k"), words.alias("w"))
     at = lambda place: F.get("w", (place % n).cast("int"))
     rows = rows.select("p_partkey", "k", F.concat(F.upper(at(F.col("k") + key)), F.lit(" and "), at(F.col("k") * 3 + key * 5)).alias("text"))
     return rows.select("p_partkey", F.col("k").cast("bigint").alias("k"), *[getattr(attributes, name)(F.col("text")).alias(name) for name in _PLAIN])

@@ -26,3 +26,9 @@ def test_keys_of_seven_digits(spark, parts, name):
     duck.execute(f"CREATE VIEW part AS SELECT * FROM '{parts}/part.parquet/*.parquet'")
     want = duck.sql(f"SELECT {', '.join(got.columns)} FROM ({catalog.ORACLES[name]})").fetchall()
     assert sorted(tuple(map(plain, r)) for r in got.collect()) == sorted(tuple(map(plain, r)) for r in want)
+
+
+def test_parts_of_one_file_are_dealt_over_tasks(spark, parts, monkeypatch):
+    monkeypatch.setattr(catalog, "PARTS_A_TASK", 3)
+    for name in ("brand_rules", "references_cleaned_again", "earlier_brand_rules", "attribute_forms", "attribute_vocabularies"):
+        assert catalog.QUERIES[name](spark, parts).rdd.getNumPartitions() == 4
