@@ -20,22 +20,35 @@ def lifetimes(df: DataFrame, order: str = "hash_id") -> DataFrame:
     return urls.withColumn("active", F.col("last_seen") == df.agg(F.max("date")).scalar())
 
 
-def listing_durations(df: DataFrame, order: str = "hash_id") -> DataFrame:
-    """Statistics of the days and weeks that delisted urls stayed, by brand and reference."""
-    gone = lifetimes(df, order).where("NOT active").dropna(subset=["brand", "reference_number"])
-    gone = gone.withColumn("weeks", F.round(F.col("days") / 7, 1))
+def durations_by_model(df: DataFrame, order: str = "hash_id") -> DataFrame:
+    """By brand and reference, null ones too: number of urls, and of the delisted ones number, statistics of days and weeks and last date."""
+    urls = lifetimes(df, order).withColumn("weeks", F.round(F.col("days") / 7, 1))
+    gone = lambda c: F.when(~F.col("active"), F.col(c))
     stats = [("mean", F.avg), ("median", F.median), ("std", F.stddev_samp), ("min", F.min), ("max", F.max)]
-    out = gone.groupBy("brand", "reference_number").agg(
-        F.count(F.lit(1)).alias("count"),
-        *[f(c).alias(f"{name}_{c}") for c in ("days", "weeks") for name, f in stats],
-        F.max("last_seen").alias("date"),
+    return urls.groupBy("brand", "reference_number").agg(
+        F.count(F.lit(1)).alias("urls"), F.count_if(~F.col("active")).alias("count"),
+        *[f(gone(c)).alias(f"{name}_{c}") for c in ("days", "weeks") for name, f in stats],
+        F.max(gone("last_seen")).alias("date"),
     )
-    return out.withColumn("identifier", identifier(slug(F.col("brand")), F.col("reference_number")))
+
+
+def of_models(models: DataFrame) -> DataFrame:
+    """The rows of ``durations_by_model`` that name brand and reference and have delisted urls."""
+    own = models.where("count > 0").dropna(subset=["brand", "reference_number"]).drop("urls")
+    return own.withColumn("identifier", identifier(slug(F.col("brand")), F.col("reference_number")))
+
+
+def listing_durations(df: DataFrame, order: str = "hash_id") -> DataFrame:
+    """Statistics of the days and weeks that delisted urls stayed, by brand and reference."""
+    return of_models(durations_by_model(df, order))
 
 
 def duration_report(df: DataFrame, stats: DataFrame) -> DataFrame:
     """One row: urls in all, delisted and active, models, and the means of their mean and median days."""
-    urls = lifetimes(df).agg(F.count(F.lit(1)).alias("urls"), F.count_if(~F.col("active")).alias("inactive"))
+    return _report(lifetimes(df).agg(F.count(F.lit(1)).alias("urls"), F.count_if(~F.col("active")).alias("inactive")), stats)
+
+
+def _report(urls: DataFrame, stats: DataFrame) -> DataFrame:
     models = stats.agg(F.count(F.lit(1)).alias("models"), F.avg("mean_days").alias("mean_of_means"), F.avg("median_days").alias("mean_of_medians"))
     return urls.crossJoin(models).withColumn("active", F.col("urls") - F.col("inactive"))
 
@@ -46,7 +59,17 @@ def top_models(stats: DataFrame, column: str, n: int = 5) -> DataFrame:
 
 def full_report(df: DataFrame, stats: DataFrame, n: int = 5) -> DataFrame:
     """``duration_report`` and the ``n`` models that stay longest and that have most urls, as lists of (brand, reference_number, value)."""
-    out = duration_report(df, stats)
+    return _with_tops(duration_report(df, stats), stats, n)
+
+
+def full_report_of_models(models: DataFrame, n: int = 5) -> DataFrame:
+    """The same from the rows of ``durations_by_model``, which are read several times: write them first."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    stats = of_models(models)
+    return _with_tops(_report(models.agg(total("urls").alias("urls"), total("count").alias("inactive")), stats), stats, n)
+
+
+def _with_tops(out: DataFrame, stats: DataFrame, n: int) -> DataFrame:
     for name, column in (("longest", "mean_days"), ("most_urls", "count")):
         value = F.col(column).cast("double")
         rows = top_models(stats, column, n).select(F.struct((-value).alias("order"), "brand", "reference_number", value.alias("value")).alias("row"))

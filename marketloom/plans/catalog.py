@@ -968,8 +968,10 @@ _TOP = "(SELECT string_agg(brand || ' ' || reference_number || ' ' || cast(round
 @register(f"""WITH {LISTINGS}, {_DURATION} SELECT (SELECT count(*) FROM D) AS urls, (SELECT count(*) FROM D WHERE active) AS active, count(*) AS models,
 {_TOP.format(c="mean_days")} AS longest, {_TOP.format(c="count")} AS most_urls FROM A""")
 def full_duration_report(spark, sf_dir):
-    rows = listings(spark, sf_dir).withColumnRenamed("ingest_id", "hash_id")
-    out = liquidity.full_report(rows, liquidity.listing_durations(rows))
+    """All urls are gone through once: a row for each model is written and read again."""
+    path = run_folder(spark, "durations")
+    liquidity.durations_by_model(listings(spark, sf_dir).withColumnRenamed("ingest_id", "hash_id")).write.parquet(path)
+    out = liquidity.full_report_of_models(spark.read.parquet(path))
     as_text = lambda c: F.array_join(F.transform(c, lambda r: F.concat_ws(" ", r["brand"], r["reference_number"], F.round(r["value"], 3).cast("decimal(20,3)").cast("string"))), "; ")
     return out.select("urls", "active", "models", as_text("longest").alias("longest"), as_text("most_urls").alias("most_urls"))
 

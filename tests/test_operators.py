@@ -206,3 +206,16 @@ def test_firsts_that_tie_are_the_smallest(spark):
     for k in range(3):
         df = spark.createDataFrame(rows[k:] + rows[:k], "n int, brand string, currency string").coalesce(1)
         assert df.groupBy("brand").agg(weekly.first_non_null("currency", "n").alias("c")).first()["c"] == "GBP"
+
+
+def test_the_report_from_models_is_that_from_listings(spark):
+    day = lambda k: dt.date(2024, 1, 7) + dt.timedelta(days=k)
+    rows = [(f"{k % 9}", day(7 * (k % 4)), "A" if k % 9 < 6 else None, f"r{k % 9 % 2}", f"{k}") for k in range(20)] + [("9", day(28), "A", "r0", "99"), (None, day(28), "A", "r1", "98")]
+    df = spark.createDataFrame(rows, "watch_url string, date date, brand string, reference_number string, hash_id string")
+    models = liquidity.durations_by_model(df)
+    stats = liquidity.listing_durations(df)
+    assert [tuple(r) for r in liquidity.full_report_of_models(models).collect()] == [tuple(r) for r in liquidity.full_report(df, stats).collect()]
+    nothing = liquidity.full_report_of_models(liquidity.durations_by_model(df.where("date IS NULL"))).first()
+    assert (nothing["urls"], nothing["active"], nothing["models"]) == (0, 0, 0)
+    one = models.agg(F.sum("urls"), F.sum("count")).first()
+    assert tuple(one) == (10, 9)
