@@ -105,12 +105,16 @@ def upsert(target: DataFrame, changes: DataFrame, key: str, updated: list[str],
     """
     changes = one_per_key(changes, key, order).select(*target.columns)
     new = changes.join(target.select(key), key, "left_anti").select(*target.columns)
+    return updated_rows(target, changes, key, updated).unionByName(new)
+
+
+def updated_rows(target: DataFrame, changes: DataFrame, key: str, updated: list[str]) -> DataFrame:
+    """All rows of ``target``, with the ``updated`` columns of the row of ``changes`` of their key, which has one at most."""
     renamed = changes.select(F.col(key), *[F.col(c).alias(f"__{c}") for c in updated], F.lit(True).alias("__hit"))
     joined = target.join(renamed, key, "left")
-    kept = joined.select(
+    return joined.select(
         *[F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(F.col(c)).alias(c) if c in updated else F.col(c) for c in target.columns]
     )
-    return kept.unionByName(new)
 
 
 def coerce(df: DataFrame, schema) -> DataFrame:

@@ -15,6 +15,7 @@ from marketloom.functions import calendar
 from marketloom.functions.text import is_nullish
 from marketloom.operators import cleaning
 from marketloom.schema import LIBRARY, RATES, RAW
+from marketloom.sources.shared import remove, run_folder
 
 # The file names that mark weekly files and sold listings.
 WEEKLY, SOLD_FILE = "(?i)weekly", "ebay_completed_sold"
@@ -68,22 +69,43 @@ def write_weeks(df: DataFrame, path: str) -> None:
     df.hint("rebalance", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
 
 
+#: Changes of more rows aren't broadcast; then a task gets about so many rows of the table and the changes together.
+MAX_BROADCAST_CHANGES, ROWS_A_TASK = 100_000, 1_000_000
+
+
 def merge_weeks(path: str, changes: DataFrame, key: str, updated: list[str], order: list[Column] | None = None) -> None:
     """MERGE into parquet partitioned by date: known keys get the ``updated`` columns of ``changes``, unknown ones are added.
 
     Only dates that hold a changed key or get a new row are read whole and written again; the
     files of other dates stay. Several changes of a key count as in ``upsert``; a rerun changes
     nothing, and a job that fails before its commit leaves the table as it was.
+
+    The changes, then one for each key, and the keys and dates they meet are written to a folder of the run and
+    read again. To join them tasks hold changes only; the table's rows go past them and are not sorted by key.
     """
     spark = changes.sparkSession
-    target = spark.read.parquet(path)
-    changes = cleaning.one_per_key(conform(changes, target.schema), key, order)
-    known = changes.select(F.col(key).alias("__key")).dropna().distinct()
-    own = target.join(known, F.col(key) == F.col("__key"), "left_semi").select("date")
-    new = changes.join(target.select(F.col(key).alias("__key")), F.col(key) == F.col("__key"), "left_anti").select("date")
-    touched = own.union(new).distinct()
-    rows = target.join(touched, target["date"].eqNullSafe(touched["date"]), "left_semi")
-    write_weeks(cleaning.upsert(rows, changes, key, updated, order), path)
+    target, folder = spark.read.parquet(path), run_folder(spark, "merge")
+    try:
+        conform(changes, target.schema).write.parquet(f"{folder}/given")
+        cleaning.one_per_key(spark.read.parquet(f"{folder}/given"), key, order).write.parquet(f"{folder}/changes")
+        changes = spark.read.parquet(f"{folder}/changes")
+        count, keyed = changes.count(), F.col(key).isNotNull()
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(target.count() + count) // ROWS_A_TASK))
+
+        def held(df: DataFrame) -> DataFrame:
+            return F.broadcast(df) if count <= MAX_BROADCAST_CHANGES else df.repartition(tasks, F.col(key)).hint("shuffle_hash")
+
+        known = changes.where(keyed)
+        target.where(keyed).select(key, "date").join(held(known.select(key)), key, "left_semi").write.parquet(f"{folder}/found")
+        found = spark.read.parquet(f"{folder}/found")
+        new = changes.join(held(found.select(key).distinct()), key, "left_anti").select(*target.columns)
+        touched = F.broadcast(found.select("date").union(new.select("date")).distinct())
+        rows = target.join(touched, target["date"].eqNullSafe(touched["date"]), "left_semi")
+        # Rows without a key meet nothing; they would all be one task's.
+        merged = cleaning.updated_rows(rows.where(keyed), held(known), key, updated).unionByName(rows.where(~keyed))
+        write_weeks(merged.unionByName(new), path)
+    finally:
+        remove(spark, folder)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, batch: int = 25_000, **options: str) -> None:

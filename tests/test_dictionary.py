@@ -82,6 +82,50 @@ def test_merge_rewrites_only_weeks_that_it_touches(spark, tmp_path):
     assert len(kept) == 2 and len(before) == 3
 
 
+def test_merge_takes_changes_once_and_does_not_sort_the_table(spark, tmp_path, monkeypatch):
+    """Few changes and many, which aren't broadcast: the same rows; changes are computed once, no task sorts or gathers the table by key."""
+    week = lambda k: dt.date(2024, 1, 7) + dt.timedelta(days=7 * (k % 4))
+    schema, one, write = "hash_id string, date date, price double, brand string", dt.date(2024, 1, 7), sources.write_weeks
+    # Keys that stand on several dates, one that is in very many rows, rows without a key or a date.
+    table = [(str(k % 40), week(k // 3), float(k), "A") for k in range(120)] + [("hot", one, float(k), "B") for k in range(60)]
+    table += [(None, week(k), 7.0, "N") for k in range(3)] + [("dateless", None, 1.0, "D")]
+    fresh = [(str(k), one, 1000.0 + k, "C") for k in range(30, 50)] + [("hot", one, 5.0, "C"), ("30", one, 1.0, "C"), ("dateless", one, 2.0, "C"), (None, week(1), 8.0, "C")]
+    best = {k: (k, d, max(p for j, _, p, _ in fresh if j == k), b) for k, d, _, b in fresh if k is not None}
+    known = {k for k, *_ in table}
+    want = [(k, d, best[k][2] if k in best else p, b) for k, d, p, b in table] + [r for k, r in best.items() if k not in known] + [fresh[-1]]
+    plans, times = [], spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for rows in parts:
+            times.add(len(rows))
+            yield rows
+
+    def planned(df, path):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write(df, path)
+
+    monkeypatch.setattr(sources, "write_weeks", planned)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, rows_a_task in ((100, 1_000_000), (3, 1_000_000), (3, 30)):
+            monkeypatch.setattr(sources, "MAX_BROADCAST_CHANGES", most)
+            monkeypatch.setattr(sources, "ROWS_A_TASK", rows_a_task)
+            path = str(tmp_path / f"lake-{most}-{rows_a_task}")
+            write(spark.createDataFrame(table, schema), path)
+            times.value = 0
+            changes = spark.createDataFrame(fresh, schema).mapInPandas(counted, schema)
+            sources.merge_weeks(path, changes, "hash_id", ["price"], order=[F.desc("price")])
+            assert times.value == len(fresh)
+            got = spark.read.parquet(path).select("hash_id", "date", "price", "brand").collect()
+            assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    few, many, dealt = plans
+    assert not any("SortMergeJoin" in p for p in plans) and "ShuffledHashJoin" not in few and "BroadcastHashJoin" in few
+    assert "ShuffledHashJoin" in many and ", 4), REPARTITION_BY_NUM" in many
+    assert "ShuffledHashJoin" in dealt and ", 7), REPARTITION_BY_NUM" in dealt  # 184 rows and 23 changes
+
+
 def test_a_database_is_read_by_ranges(spark, tmp_path):
     url = f"jdbc:derby:{tmp_path}/db;create=true"
     rows = [(k, dt.date(2024, 1, 1) + dt.timedelta(days=k)) for k in range(40)] + [(99, None)]
