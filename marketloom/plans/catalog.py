@@ -41,9 +41,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Dimension sides of more rows are hashed over tasks, each of which gets about so many rows of the side and the line items together.
+MAX_LEFT_TO_SPARK, ROWS_A_TASK = 2_000_000, 1_000_000
+
+
+def _side(line: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """A side as line items meet it: one of many rows is held by tasks in parts, so that line items are not sorted for it."""
+    count = side.count()
+    if count <= MAX_LEFT_TO_SPARK:
+        return side
+    tasks = max(int(side.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(line.count() + count) // ROWS_A_TASK))
+    return side.repartition(tasks, key).hint("shuffle_hash")
+
+
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as listings. The small dimension sides are left to Spark to broadcast by their size."""
     line, part, supplier, nation, orders = (table(spark, sf_dir, t) for t in ("lineitem", "part", "supplier", "nation", "orders"))
+    part, supplier, orders = _side(line, part, "p_partkey"), _side(line, supplier, "s_suppkey"), _side(line, orders, "o_orderkey")
     joined = (
         line.join(part, line.l_partkey == part.p_partkey).join(supplier, line.l_suppkey == supplier.s_suppkey)
         .join(nation, supplier.s_nationkey == nation.n_nationkey).join(orders, line.l_orderkey == orders.o_orderkey)
